@@ -17,7 +17,7 @@ from ledgerline.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcas
 
 def opening_balance(balances: DataFrame, rates: DataFrame, on_date: dt.date,
                     rate_rule: str = "exact",
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """on_date, account_rk, balance_out, balance_out_rub for the seed day.
 
     ``exact`` (default): the rate whose validity starts on ``on_date``,
@@ -56,37 +56,58 @@ def account_days(accounts: DataFrame, period: Period) -> DataFrame:
                     .alias("on_date"))
 
 
+def movements(base: DataFrame, turnover: DataFrame, rates: DataFrame | None = None) -> DataFrame:
+    """Each account row of ``base`` (account_rk, currency_rk, first_day,
+    last_day, ...) with its turnover days inside its validity (J3), or one
+    row with NULL ``on_date`` when it has none. A single join on account_rk.
+
+    ``turnover`` is the valued mart (with ``*_rub`` columns), or, when
+    ``rates`` is given, the plain daily turnover: it is then valued here
+    with the currency the account row already carries (J2), which saves a
+    second scan and shuffle of the accounts.
+    """
+    cols = ["account_rk", "on_date", "credit_amount", "debet_amount"]
+    if rates is None:
+        cols += ["credit_amount_rub", "debet_amount_rub"]
+    t = turnover.select(*cols).alias("_t")
+    b = base.alias("_b")
+    cond = ((F.col("_b.account_rk") == F.col("_t.account_rk"))
+            & F.col("_t.on_date").between(F.col("_b.first_day"), F.col("_b.last_day")))
+    mv = b.join(t, cond, "left").select("_b.*", *[F.col(f"_t.{c}") for c in cols[1:]])
+    if rates is None:
+        return mv
+    mv = with_rate_on(mv, rates, "on_date", "currency_rk", out="_rate")
+    k = F.coalesce(F.col("_rate"), F.lit(1))
+    return (mv.withColumn("credit_amount_rub", F.col("credit_amount") * k)
+            .withColumn("debet_amount_rub", F.col("debet_amount") * k).drop("_rate"))
+
+
 def daily_balance(accounts: DataFrame, opening: DataFrame, turnover: DataFrame,
-                  period: Period) -> DataFrame:
+                  period: Period, rates: DataFrame | None = None) -> DataFrame:
     """on_date, account_rk, balance_out, balance_out_rub for every day each
     account is valid in the period (``fill_account_balance`` for all days).
 
     out(d) = opening + sum of signed turnover up to d (active: debit minus
     credit, passive: credit minus debit); the rouble balance rolls the
     rouble turnover the same way from the rouble opening. A missing opening
-    counts as 0.
+    counts as 0. ``turnover``/``rates`` as in :func:`movements`.
 
     Plan: accounts + opening + turnover meet in one join on account_rk (the
     turnover keeps only days with movement), a running sum per account
     orders at most one row per movement day, and only then is every row
-    expanded over the days until the next movement. The window never sees
-    the full accounts x days grid and the grid is never shuffled.
+    expanded over the days until the next movement. The window reuses the
+    join's partitioning, never sees the full accounts x days grid, and the
+    grid is never shuffled.
     """
     acc = accounts_in_period(accounts, period).select(
-        "account_rk", "char_type", "first_day", "last_day")
+        "account_rk", "char_type", "currency_rk", "first_day", "last_day")
     op = opening.select("account_rk", F.col("balance_out").alias("_open"),
                         F.col("balance_out_rub").alias("_open_rub"))
-    base = acc.join(op, "account_rk", "left").alias("_b")
-    t = turnover.select("account_rk", "on_date", "credit_amount", "credit_amount_rub",
-                        "debet_amount", "debet_amount_rub").alias("_t")
-    cond = ((F.col("_b.account_rk") == F.col("_t.account_rk"))
-            & F.col("_t.on_date").between(F.col("_b.first_day"), F.col("_b.last_day")))
-    mv = base.join(t, cond, "left").select(
-        "_b.account_rk", "_b.char_type", "_b.first_day", "_b.last_day",
-        F.coalesce("_b._open", F.lit(0)).alias("_open"),
-        F.coalesce("_b._open_rub", F.lit(0)).alias("_open_rub"),
-        "_t.on_date", "_t.credit_amount", "_t.credit_amount_rub",
-        "_t.debet_amount", "_t.debet_amount_rub")
+    base = acc.join(op, "account_rk", "left").select(
+        "account_rk", "char_type", "currency_rk", "first_day", "last_day",
+        F.coalesce("_open", F.lit(0)).alias("_open"),
+        F.coalesce("_open_rub", F.lit(0)).alias("_open_rub"))
+    mv = movements(base, turnover, rates)
 
     w = Window.partitionBy("account_rk").orderBy("on_date")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

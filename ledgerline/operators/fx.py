@@ -40,7 +40,7 @@ def rate_intervals(rates: DataFrame) -> DataFrame:
 
 def with_rate_on(df: DataFrame, rates: DataFrame, date_col: str = "on_date",
                  currency_col: str = "currency_rk", out: str = "reduced_cource",
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Left interval join (J2): the rate of ``currency_col`` valid on
     ``date_col``; NULL when there is none.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import lit_date
 from ledgerline.functions.ledger import currency_class_sums, is_domestic, ledger_code, signed_movement
 from ledgerline.model import Period
-from ledgerline.operators.balance import accounts_in_period
+from ledgerline.operators.balance import accounts_in_period, movements
 from ledgerline.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from ledgerline.operators.turnover import in_period
 
@@ -22,7 +22,7 @@ def ledgers_in_period(ledger: DataFrame, period: Period) -> DataFrame:
 
 
 def assign_ledger(accounts: DataFrame, ledger: DataFrame, period: Period,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Each account with the ledger named by the first five characters of
     its number: accounts columns + ledger_account, chapter, characteristic.
     The ledger is a small dimension, joined by broadcast when proven so."""
@@ -43,30 +43,37 @@ def orphan_balances(balances: DataFrame, accounts: DataFrame, period: Period) ->
 
 def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
             turnover: DataFrame, period: Period, closing: DataFrame | None = None,
-            broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            rates: DataFrame | None = None,
+            broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Monthly trial balance per ledger, split domestic / foreign.
 
     from_date, to_date, chapter, ledger_account (text), characteristic and
     {balance_in, turn_deb, turn_cre, balance_out} x {rub, val, total}, all
     in roubles. ``opening`` holds the rouble balances of the day before the
-    period (account_rk, balance_out_rub); ``turnover`` the valued daily
-    turnover; ``closing`` the balance mart on the last day if it was built,
-    else the closing balance is rolled here from opening and turnover
-    (the same recurrence as the mart).
+    period (account_rk, balance_out_rub); ``turnover`` the daily turnover,
+    valued, or plain together with ``rates`` (see ``balance.movements``);
+    ``closing`` the balance mart on the last day if it was built, else the
+    closing balance is rolled here from opening and turnover (the same
+    recurrence as the mart).
 
-    Turnover is summed per account before it meets the accounts, so each
-    account contributes its balances once, whatever the number of its
-    movement days. An account without turnover keeps NULL turnover: its
-    class column adds nothing, the other class column adds 0, the total
-    stays NULL if no account of the ledger moved.
+    Turnover is summed per account before the accounts meet their opening
+    balance, so each account contributes its balances once, whatever the
+    number of its movement days. An account without turnover keeps NULL
+    turnover: its class column adds nothing, the other class column adds 0,
+    the total stays NULL if no account of the ledger moved. The per-ledger
+    sums are combined map-side, so a ledger holding most accounts is no hot
+    spot.
     """
     acc = assign_ledger(accounts_in_period(accounts, period), ledger, period, broadcast_rows)
-    acc = acc.select("account_rk", "currency_code", "char_type", "chapter",
-                     "ledger_account", "characteristic")
-    turn = (in_period(turnover, "on_date", period).groupBy("account_rk")
-            .agg(F.sum("debet_amount_rub").alias("_deb"), F.sum("credit_amount_rub").alias("_cre")))
+    keys = ["account_rk", "currency_rk", "currency_code", "char_type", "chapter",
+            "ledger_account", "characteristic"]
+    base = acc.select(*keys, "first_day", "last_day")
+    mv = movements(base, in_period(turnover, "on_date", period), rates)
+    # grouped on the join key (plus attributes of the account): no shuffle
+    per_account = mv.groupBy(*keys).agg(F.sum("debet_amount_rub").alias("_deb"),
+                                        F.sum("credit_amount_rub").alias("_cre"))
     bin_ = opening.select("account_rk", F.col("balance_out_rub").alias("_in"))
-    rows = acc.join(bin_, "account_rk", "left").join(turn, "account_rk", "left")
+    rows = per_account.join(bin_, "account_rk", "left")
     if closing is not None:
         bout = closing.where(F.col("on_date") == lit_date(period.end)).select(
             "account_rk", F.col("balance_out_rub").alias("_out"))

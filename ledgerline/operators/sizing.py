@@ -1,23 +1,42 @@
-"""Broadcast only what is proven small."""
+"""Broadcast only what is proven small.
+
+Two ways to prove it:
+
+Joins on a low-cardinality key (ledger code, currency) must not become
+shuffle joins at all: the shuffle would send every row of a hot ledger or
+currency to one task. Their dimension side is therefore broadcast behind a
+row-count check (the default below); only beyond it does the join fall back
+to a shuffle join, which AQE's skew handling then splits.
+
+* ``broadcast_rows=None``: leave it to Spark. The planner
+  broadcasts a side only when its estimated size is under
+  ``spark.sql.autoBroadcastJoinThreshold``; with AQE the decision is taken
+  again on the actual size of the finished shuffle stage
+  (``spark.sql.adaptive.autoBroadcastJoinThreshold``). Above the threshold
+  the join stays a shuffle join. No extra job.
+* ``broadcast_rows=N`` (default N = 1,000,000): count at most N+1 rows of
+  the side first and hint ``broadcast`` when it has at most N rows. One
+  small extra job; the size estimate of a derived dimension (an aggregate
+  over a fact table) is the size of the fact table, so it cannot be
+  trusted.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension under this many rows is shipped to every task; above it the
-# join stays a shuffle join (and AQE may still broadcast it at run time if
-# its shuffle output turns out small).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS: int | None = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``
+    unchanged (and so subject to the planner's own size threshold).
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even
     when the answer is "too big".
     """
-    if max_rows <= 0:
+    if max_rows is None or max_rows <= 0:
         return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -39,43 +39,79 @@ def _money_out(df: DataFrame, cols) -> DataFrame:
                        for c in df.columns])
 
 
+def _once(method):
+    """Build a view once per Model: the same DataFrame object is reused by
+    every query step that needs it (plan construction is not free)."""
+    name = method.__name__
+
+    def wrapper(self):
+        if name not in self._views:
+            self._views[name] = method(self)
+        return self._views[name]
+
+    wrapper.__name__ = name
+    wrapper.__doc__ = method.__doc__
+    return wrapper
+
+
 class Model:
     """The banking tables of one period over one driver-table folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD):
         self.spark, self.period = spark, period
         self.db = fx.DriverTables(spark, sf_dir)
+        self._views: dict[str, DataFrame] = {}
 
+    @_once
     def accounts(self) -> DataFrame:
         return fx.accounts(self.db, self.period)
 
+    @_once
     def balances(self) -> DataFrame:
         return fx.opening_balances(self.db, self.period)
 
+    @_once
     def postings(self) -> DataFrame:
         return fx.postings(self.db)
 
+    @_once
     def rates_raw(self) -> DataFrame:
         return fx.exchange_rates_raw(self.db, self.period)
 
+    @_once
     def rates(self) -> DataFrame:
         return cf.keep_first(self.rates_raw(), EXCHANGE_RATE.dedupe_keys, EXCHANGE_RATE.dedupe_order)
 
+    @_once
     def ledger(self) -> DataFrame:
         return fx.ledger(self.db)
 
+    @_once
     def currencies(self) -> DataFrame:
         return fx.currencies(self.db, self.period)
 
+    @_once
     def opening(self) -> DataFrame:
         return bal.opening_balance(self.balances(), self.rates(), self.period.opening)
 
+    @_once
     def turnover(self) -> DataFrame:
         return tov.turnover_fx(self.postings(), self.accounts(), self.rates(), self.period)
 
+    @_once
+    def daily_turnover(self) -> DataFrame:
+        """Turnover of the period in account currency (not yet valued)."""
+        return tov.daily_turnover(self.postings(), self.period)
+
+    @_once
+    def daily_balance(self) -> DataFrame:
+        return bal.daily_balance(self.accounts(), self.opening(), self.daily_turnover(),
+                                 self.period, rates=self.rates())
+
+    @_once
     def form101(self) -> DataFrame:
-        return rep.form101(self.accounts(), self.ledger(), self.opening(), self.turnover(),
-                           self.period)
+        return rep.form101(self.accounts(), self.ledger(), self.opening(), self.daily_turnover(),
+                           self.period, rates=self.rates())
 
 
 # --- step 1: the opening valuation -----------------------------------------
@@ -186,8 +222,7 @@ def q_turnover_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- step 4: balances ------------------------------------------------------
 
 def q_daily_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Model(spark, sf_dir)
-    b = bal.daily_balance(m.accounts(), m.opening(), m.turnover(), m.period)
+    b = Model(spark, sf_dir).daily_balance()
     return _money_out(b, ["balance_out", "balance_out_rub"])
 
 
