@@ -52,9 +52,10 @@ def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
     in roubles. ``opening`` holds the rouble balances of the day before the
     period (account_rk, balance_out_rub); ``turnover`` the daily turnover,
     valued, or plain together with ``rates`` (see ``balance.movements``);
-    ``closing`` the balance mart on the last day if it was built, else the
-    closing balance is rolled here from opening and turnover (the same
-    recurrence as the mart).
+    ``closing`` the balance mart if it was built (its row on each account's
+    last valid day of the period is the closing balance), else the closing
+    balance is rolled here from opening and turnover (the same recurrence as
+    the mart).
 
     Turnover is summed per account before the accounts meet their opening
     balance, so each account contributes its balances once, whatever the
@@ -66,8 +67,8 @@ def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
     """
     acc = assign_ledger(accounts_in_period(accounts, period), ledger, period, broadcast_rows)
     keys = ["account_rk", "currency_rk", "currency_code", "char_type", "chapter",
-            "ledger_account", "characteristic"]
-    base = acc.select(*keys, "first_day", "last_day")
+            "ledger_account", "characteristic", "first_day", "last_day"]
+    base = acc.select(*keys)
     mv = movements(base, in_period(turnover, "on_date", period), rates)
     # grouped on the join key (plus attributes of the account): no shuffle
     per_account = mv.groupBy(*keys).agg(F.sum("debet_amount_rub").alias("_deb"),
@@ -75,9 +76,10 @@ def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
     bin_ = opening.select("account_rk", F.col("balance_out_rub").alias("_in"))
     rows = per_account.join(bin_, "account_rk", "left")
     if closing is not None:
-        bout = closing.where(F.col("on_date") == lit_date(period.end)).select(
-            "account_rk", F.col("balance_out_rub").alias("_out"))
-        rows = rows.join(bout, "account_rk", "left")
+        # the balance of the account's last valid day in the period
+        bout = in_period(closing, "on_date", period).select(
+            "account_rk", F.col("on_date").alias("last_day"), F.col("balance_out_rub").alias("_out"))
+        rows = rows.join(bout, ["account_rk", "last_day"], "left")
     else:
         rows = rows.withColumn(
             "_out", F.coalesce(F.col("_in"), F.lit(0))

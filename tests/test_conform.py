@@ -1,0 +1,66 @@
+"""Scans, date parsing, rejects, dedupe, folder ingest."""
+
+import datetime as dt
+from decimal import Decimal
+
+from ledgerline.operators.conform import conform, keep_first
+from ledgerline.sources.csv import read_text_columns, read_typed
+from ledgerline.sources.ingest import ingest_folder
+from ledgerline.sources.specs import BALANCE, EXCHANGE_RATE, POSTING, REGISTRY
+
+
+def _write(spark, path, lines):
+    spark.sparkContext.parallelize(lines, 1).saveAsTextFile(path)
+
+
+def test_three_date_patterns_and_bad_date(spark, workdir):
+    _write(spark, f"{workdir}/bal", ["ON_DATE;ACCOUNT_RK;CURRENCY_RK;BALANCE_OUT",
+                                      "31.12.2017;1;34;10.5", "2017-12-31;2;34;1", ";3;34;1",
+                                      "31.12.2017;;34;1", "31.12.2017;5;34;0E-8"])
+    c = conform(read_typed(spark, f"{workdir}/bal", BALANCE), BALANCE)
+    ok = {r.account_rk: r for r in c.table.collect()}
+    assert set(ok) == {1, 5}
+    assert ok[1].on_date == dt.date(2017, 12, 31) and ok[1].balance_out == Decimal("10.5")
+    assert ok[5].balance_out == 0
+    reasons = {r.account_rk: r._reject_reason for r in c.rejects.collect()}
+    assert reasons[2] == "bad_date:on_date"
+    assert reasons[3] == "missing:on_date"
+    assert reasons[None] == "missing:account_rk"
+
+
+def test_dashed_posting_date_and_identical_postings_kept(spark, workdir):
+    _write(spark, f"{workdir}/post", ["h", "05-01-2018;1;2;100.00;100.00", "05-01-2018;1;2;100.00;100.00"])
+    t = conform(read_typed(spark, f"{workdir}/post", POSTING), POSTING).table
+    got = t.collect()
+    assert len(got) == 2 and {r.oper_date for r in got} == {dt.date(2018, 1, 5)}
+
+
+def test_rate_key_dedupe_keeps_lowest(spark, workdir):
+    _write(spark, f"{workdir}/rate", ["h", "2018-01-01;2018-01-31;5;2.5;978", "2018-01-01;2018-01-31;5;2.0;978",
+                                       "2018-01-01;2018-01-31;5;2.0;978", "2018-01-01;2018-01-31;6;3;840"])
+    t = conform(read_typed(spark, f"{workdir}/rate", EXCHANGE_RATE), EXCHANGE_RATE).table
+    got = sorted((r.currency_rk, float(r.reduced_cource)) for r in t.collect())
+    assert got == [(5, 2.0), (6, 3.0)]
+
+
+def test_keep_first_hot_key_is_deterministic(spark):
+    df = spark.range(0, 20000).selectExpr("0 AS k", "id % 97 AS o", "id AS v")
+    r = keep_first(df, ["k"], ["o", "v"]).collect()
+    assert [(x.k, x.o, x.v) for x in r] == [(0, 0, 0)]
+
+
+def test_untyped_scan_gives_strings(spark, workdir):
+    _write(spark, f"{workdir}/u", ["a,b", "1,x", "2,0E-8"])
+    df = read_text_columns(spark, f"{workdir}/u")
+    assert all(t == "string" for _, t in df.dtypes)
+    assert sorted(r.b for r in df.collect()) == ["0E-8", "x"]
+
+
+def test_folder_ingest_reports_unknown_files(spark, workdir):
+    _write(spark, f"{workdir}/land/ft_balance_f.csv", ["h", "31.12.2017;1;34;10", "31.12.2017;1;34;10", "bad;2;34;1"])
+    _write(spark, f"{workdir}/land/part-00000-report.csv", ["x"])
+    res = ingest_folder(spark, f"{workdir}/land", REGISTRY)
+    assert res.unknown == ["part-00000-report.csv"]
+    counts = {r.table_name: (r.rows_in, r.rows_out, r.rows_rejected) for r in res.counts().collect()}
+    # identical dimension rows collapse (A1 is on for balances), the bad date is rejected
+    assert counts == {"ft_balance_f": (3, 1, 1)}

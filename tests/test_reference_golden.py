@@ -1,0 +1,138 @@
+"""Form 101 against the shipped report for the ledgers whose figures need
+no missing input (no postings, so neither the missing turnover nor the
+double-counting of balances touches them).
+
+The rows below are copies of the shipped inputs (account master, balances,
+ledger) for those six ledgers, in their delivered layout, and the matching
+report lines. The report prints six significant digits.
+"""
+
+import datetime as dt
+import math
+
+import pytest
+
+from ledgerline.model import Period
+from ledgerline.operators import balance as bal
+from ledgerline.operators import report as rep
+from ledgerline.operators.conform import conform
+from ledgerline.sources.csv import read_typed
+from ledgerline.sources.specs import ACCOUNT, BALANCE, EXCHANGE_RATE, LEDGER, POSTING
+
+# Shipped input rows (';' separated, with header).
+ACCOUNT_CSV = """DATA_ACTUAL_DATE;DATA_ACTUAL_END_DATE;ACCOUNT_RK;ACCOUNT_NUMBER;CHAR_TYPE;CURRENCY_RK;CURRENCY_CODE
+2018-01-01;2018-01-31;36237725;30425840700000583001;А;35;840
+2018-01-01;2018-01-31;48829156;30425810700000583002;А;34;643
+2018-01-01;2018-01-31;19492;30126810800000600100;П;34;810
+2018-01-01;2018-01-31;13843;30126810800000008100;П;34;810
+2018-01-01;2018-01-31;19491;30126810600000583100;П;34;810
+2018-01-01;2018-01-31;277937699;30221810900000026000;А;34;643
+2018-01-01;2018-01-31;13712;30221978600000003100;А;44;978
+2018-01-01;2018-01-31;13842;30221840800000009100;А;35;840
+2018-01-01;2018-01-31;13661;30221840500000008100;А;35;840
+2018-01-01;2018-01-31;13660;30221810200000008100;А;34;643
+2018-01-01;2018-01-31;222537244;30221978600000051000;А;44;978
+2018-01-01;2018-01-31;13811;30221978100000008100;А;44;978
+2018-01-01;2018-01-31;13872;30221978900000004100;А;44;978
+2018-01-01;2018-01-31;18849846;30109810500000435003;П;34;643
+2018-01-01;2018-01-31;18165;30232978900450001001;П;44;978
+2018-01-01;2018-01-31;18164;30232810000450001001;П;34;810
+2018-01-01;2018-01-31;18006;30233978800450003001;А;44;978
+2018-01-01;2018-01-31;18007;30233810900450003001;А;34;810
+2018-01-01;2018-01-31;44195;30233978100450003002;А;44;978
+"""
+BALANCE_CSV = """ON_DATE;ACCOUNT_RK;CURRENCY_RK;BALANCE_OUT
+31.12.2017;36237725;35;38318.13
+31.12.2017;48829156;34;87620.47
+31.12.2017;19492;34;42507.15
+31.12.2017;13843;34;17933.5
+31.12.2017;19491;34;6783.41
+31.12.2017;277937699;34;35341.17
+31.12.2017;13712;44;94155.66
+31.12.2017;13842;35;45684.38
+31.12.2017;13661;35;98296.65
+31.12.2017;13660;34;34543.9
+31.12.2017;222537244;44;34044.09
+31.12.2017;13811;44;10135.8
+31.12.2017;13872;44;52671.97
+31.12.2017;18849846;34;63891.96
+31.12.2017;18165;44;65593.48
+31.12.2017;18164;34;86904.66
+31.12.2017;18006;44;80422.81
+31.12.2017;18007;34;58966.57
+31.12.2017;44195;44;3818.77
+31.12.2017;31824186;34;1000
+"""
+LEDGER_CSV = """CHAPTER;CHAPTER_NAME;SECTION_NUMBER;SECTION_NAME;SUBSECTION_NAME;LEDGER1_ACCOUNT;LEDGER1_ACCOUNT_NAME;LEDGER_ACCOUNT;LEDGER_ACCOUNT_NAME;CHARACTERISTIC;START_DATE;END_DATE
+А;;3;;;301;;30109;;П;2008-01-01;2050-12-31
+А;;3;;;301;;30126;;П;2008-01-01;2050-12-31
+А;;3;;;302;;30221;;А;2008-01-01;2050-12-31
+А;;3;;;302;;30232;;П;2014-01-01;2050-12-31
+А;;3;;;304;;30425;;А;2013-01-01;2050-12-31
+А;;3;;;302;;30233;;А;2014-01-01;2050-12-31
+"""
+# The shipped report lines (balance_in, turn_deb, turn_cre,
+# balance_out; each rub, val, total; None = empty field).
+GOLDEN = {
+    "30425": (87620.5, 38318.1, 125939, 0, 0, None, 0, 0, None, 87620.5, 38318.1, 125939),
+    "30126": (67224.1, 0, 67224.1, None, 0, None, None, 0, None, 67224.1, 0, 67224.1),
+    "30221": (69885.1, 334989, 404874, 0, 0, None, 0, 0, None, 69885.1, 334989, 404874),
+    "30109": (63892, 0, 63892, None, 0, None, None, 0, None, 63892, 0, 63892),
+    "30232": (86904.7, 65593.5, 152498, 0, 0, None, 0, 0, None, 86904.7, 65593.5, 152498),
+    "30233": (58966.6, 84241.6, 143208, 0, 0, None, 0, 0, None, 58966.6, 84241.6, 143208),
+}
+MEASURES = [f"{m}_{c}" for m in ("balance_in", "turn_deb", "turn_cre", "balance_out")
+            for c in ("rub", "val", "total")]
+
+
+def _load(spark, folder, name, text, spec):
+    path = f"{folder}/{name}.csv"
+    spark.sparkContext.parallelize(text.strip().split("\n"), 1).saveAsTextFile(path)
+    return conform(read_typed(spark, path, spec), spec).table
+
+
+@pytest.fixture(scope="module")
+def report(spark):
+    from ledgerline.session import shared_dir
+    folder = shared_dir(spark, "golden")
+    accounts = _load(spark, folder, "acc", ACCOUNT_CSV, ACCOUNT)
+    balances = _load(spark, folder, "bal", BALANCE_CSV, BALANCE)
+    ledger = _load(spark, folder, "led", LEDGER_CSV, LEDGER)
+    rates = spark.createDataFrame([], EXCHANGE_RATE.schema)  # no rate rows: factor 1
+    rates = rates.selectExpr("to_date(data_actual_date) AS data_actual_date",
+                             "to_date(data_actual_end_date) AS data_actual_end_date",
+                             "currency_rk", "reduced_cource", "code_iso_num")
+    postings = spark.createDataFrame([], POSTING.schema).selectExpr(
+        "to_date(oper_date) AS oper_date", "credit_account_rk", "debet_account_rk",
+        "credit_amount", "debet_amount")
+    period = Period.month(2018, 1)
+    opening = bal.opening_balance(balances, rates, period.opening)
+    from ledgerline.operators.turnover import daily_turnover
+    f = rep.form101(accounts, ledger, opening, daily_turnover(postings, period), period, rates=rates)
+    return {r["ledger_account"]: r.asDict() for r in f.collect()}
+
+
+def test_all_golden_ledgers_present(report):
+    assert set(report) == set(GOLDEN)
+
+
+@pytest.mark.parametrize("ledger", sorted(GOLDEN))
+def test_golden_measures(report, ledger):
+    got = report[ledger]
+    assert got["from_date"] == dt.date(2018, 1, 1) and got["to_date"] == dt.date(2018, 1, 31)
+    for name, want in zip(MEASURES, GOLDEN[ledger]):
+        have = got[name]
+        if want is None:
+            assert have is None, (ledger, name, have)
+        else:
+            assert have is not None, (ledger, name)
+            assert math.isclose(float(have), want, rel_tol=5e-6, abs_tol=1e-9), (ledger, name, have, want)
+
+
+def test_orphan_balance_reported(spark, report):
+    from ledgerline.session import shared_dir
+    folder = shared_dir(spark, "golden-orphan")
+    accounts = _load(spark, folder, "acc", ACCOUNT_CSV, ACCOUNT)
+    balances = _load(spark, folder, "bal", BALANCE_CSV, BALANCE)
+    o = rep.orphan_balances(balances, accounts, Period.month(2018, 1))
+    assert [r.account_rk for r in o.collect()] == [31824186]
