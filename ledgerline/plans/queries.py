@@ -13,7 +13,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.functions.dates import parse_date, render_date
 from ledgerline.model import DASHED_DATE, DEFAULT_PERIOD, DOTTED_DATE, ISO_DATE, Period
@@ -265,12 +264,9 @@ def q_posting_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream")
     landing, table = f"{root}/landing/{POSTING.name}", f"{root}/ds/{POSTING.name}"
     csvio.write_delimited(csvio.to_source_layout(m.postings(), POSTING), landing, sep=POSTING.sep)
-    q = stream_ingest(spark, POSTING, landing, table, f"{root}/_checkpoint/{POSTING.name}",
-                      partition_by=("oper_date",))
+    q = stream_ingest(spark, POSTING, landing, table, f"{root}/_checkpoint/{POSTING.name}")
     q.awaitTermination()
-    schema = T.StructType([f for f in POSTING.schema.fields if f.name != "oper_date"]
-                          + [T.StructField("oper_date", T.DateType())])
-    back = spark.read.schema(schema).parquet(table)
+    back = spark.read.parquet(table)
     return _money_out(back.select(*POSTING.columns), ["credit_amount", "debet_amount"])
 
 
