@@ -35,10 +35,20 @@ def assign_ledger(accounts: DataFrame, ledger: DataFrame, period: Period,
 
 def orphan_balances(balances: DataFrame, accounts: DataFrame, period: Period) -> DataFrame:
     """Opening balances whose account is not valid in the period: they
-    would silently drop out of every mart. A left anti join."""
-    valid = accounts_in_period(accounts, period).select("account_rk")
+    would silently drop out of every mart.
+
+    An anti join, written as a left join that keeps the unmatched rows: the
+    optimizer pushes a ``left_anti`` into every branch of a union on the
+    left (the balance table often is one), which would shuffle the large
+    account side once per branch; the left join shuffles it once. Matched
+    rows are dropped however many account versions match, so nothing
+    multiplies.
+    """
+    valid = (accounts_in_period(accounts, period).select("account_rk")
+             .withColumn("_valid", F.lit(True)))
     b = balances.where(F.col("on_date") == lit_date(period.opening))
-    return b.join(valid, "account_rk", "left_anti")
+    return (b.join(valid, "account_rk", "left").where(F.col("_valid").isNull())
+            .drop("_valid").select(*b.columns))
 
 
 def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,

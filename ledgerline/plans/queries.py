@@ -58,7 +58,7 @@ class Model:
 
     def __init__(self, spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD):
         self.spark, self.period = spark, period
-        self.db = fx.DriverTables(spark, sf_dir)
+        self.db = fx.DriverTables.shared(spark, sf_dir)
         self._views: dict[str, DataFrame] = {}
 
     @_once
@@ -254,7 +254,7 @@ def q_report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_run_log_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runlog.run_state(fx.run_events(fx.DriverTables(spark, sf_dir)))
+    return runlog.run_state(fx.run_events(fx.DriverTables.shared(spark, sf_dir)))
 
 
 def q_posting_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

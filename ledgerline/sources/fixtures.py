@@ -46,7 +46,18 @@ RATE_IN = "decimal(10,4)"
 
 class DriverTables:
     """Lazy access to ``{sf_dir}/{name}.parquet``; only the columns a view
-    selects are read."""
+    selects are read. ``shared`` hands out one instance per session and
+    folder: the driver tables are read-only, so their DataFrames (file
+    listing, footer schema) are built once."""
+
+    _shared: dict = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "DriverTables":
+        key = (id(spark), sf_dir.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark

@@ -27,16 +27,24 @@ class IngestResult:
     unknown: list[str] = field(default_factory=list)
 
     def counts(self) -> DataFrame:
-        """table_name, rows_in, rows_out, rows_rejected (bigint)."""
+        """table_name, rows_in, rows_out, rows_rejected (bigint).
+
+        One pass over each file; a table with a dedupe rule needs a second
+        pass over its deduped output to count what is kept.
+        """
         parts = []
         for name, c in sorted(self.tables.items()):
             rejected = (F.col(REJECT_REASON) != "").cast("bigint")
-            parts.append(c.staged.select(F.lit(name).alias("table_name"), F.lit(1).cast("bigint").alias("rows_in"),
-                                         F.lit(0).cast("bigint").alias("rows_out"),
-                                         rejected.alias("rows_rejected")))
-            parts.append(c.table.select(F.lit(name).alias("table_name"), F.lit(0).cast("bigint").alias("rows_in"),
-                                        F.lit(1).cast("bigint").alias("rows_out"),
-                                        F.lit(0).cast("bigint").alias("rows_rejected")))
+            deduped = c.spec.drop_identical_rows or bool(c.spec.dedupe_keys)
+            kept = F.lit(0).cast("bigint") if deduped else 1 - rejected
+            parts.append(c.staged.select(F.lit(name).alias("table_name"),
+                                         F.lit(1).cast("bigint").alias("rows_in"),
+                                         kept.alias("rows_out"), rejected.alias("rows_rejected")))
+            if deduped:
+                parts.append(c.table.select(F.lit(name).alias("table_name"),
+                                            F.lit(0).cast("bigint").alias("rows_in"),
+                                            F.lit(1).cast("bigint").alias("rows_out"),
+                                            F.lit(0).cast("bigint").alias("rows_rejected")))
         marks = reduce(DataFrame.unionByName, parts)
         return marks.groupBy("table_name").agg(
             F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"),
