@@ -76,3 +76,8 @@ class RunJournal:
 
     def state(self) -> DataFrame:
         return run_state(self.events())
+
+    def run(self, log_id: str) -> DataFrame:
+        """State of one run: the key filter is applied to the events, before
+        the fold, and reaches the parquet scan as a pushed filter."""
+        return run_state(self.events().where(F.col("log_id") == log_id))

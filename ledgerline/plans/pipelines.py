@@ -177,14 +177,23 @@ def read_report_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_report(spark: SparkSession, csv_path: str, warehouse: str,
-                journal: RunJournal | None = None) -> None:
-    """Edited report CSV -> dm.f101_round_f_v2. Each (from_date,
-    to_date) period in the file replaces the same period in the table, so a
-    daily re-run does not duplicate rows."""
+                journal: RunJournal | None = None, mode: str = "replace_period") -> None:
+    """Edited report CSV -> dm.f101_round_f_v2.
+
+    ``replace_period`` (default): each (from_date, to_date) period in the
+    file replaces the same period in the table, so a daily re-run does not
+    duplicate rows. ``append``: the source system's behaviour, every run
+    adds its rows."""
+    if mode not in ("replace_period", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
+
     def work():
         df = read_report_csv(spark, csv_path).select(*REPORT.columns)
-        sinks.refresh_partitions(df, sinks.table_path(warehouse, "dm", REPORT_V2),
-                                 list(REPORT_KEYS[:2]))
+        path, keys = sinks.table_path(warehouse, "dm", REPORT_V2), list(REPORT_KEYS[:2])
+        if mode == "append":
+            sinks.append(df, path, keys)
+        else:
+            sinks.refresh_partitions(df, path, keys)
     if journal is None:
         work()
     else:

@@ -1,0 +1,69 @@
+"""Invariants of the marts on the sf0.001 model."""
+
+import pytest
+from conftest import SF_SMALL
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ledgerline.functions.ledger import signed_movement
+from ledgerline.plans.queries import Model
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return Model(spark, SF_SMALL)
+
+
+def test_rub_plus_val_equals_total(model):
+    f = model.form101()
+    for m in ("balance_in", "turn_deb", "turn_cre", "balance_out"):
+        bad = f.where(F.col(f"{m}_total").isNotNull()
+                      & (F.col(f"{m}_rub") + F.col(f"{m}_val") != F.col(f"{m}_total")))
+        assert bad.count() == 0, m
+
+
+def test_rows_are_accounts_times_days(model):
+    p = model.period
+    acc = model.accounts().where((F.col("data_actual_date") <= F.lit(p.end))
+                                 & (F.col("data_actual_end_date") >= F.lit(p.start)))
+    n_full = acc.where((F.col("data_actual_date") <= F.lit(p.start))
+                       & (F.col("data_actual_end_date") >= F.lit(p.end))).count()
+    assert n_full == acc.count()            # the fixture keeps valid accounts all month
+    assert model.daily_balance().count() == n_full * p.days
+
+
+def test_roll_forward_step_is_signed_turnover(model):
+    b = model.daily_balance()
+    w = Window.partitionBy("account_rk").orderBy("on_date")
+    step = b.select("account_rk", "on_date",
+                    (F.col("balance_out") - F.lag("balance_out").over(w)).alias("d"),
+                    (F.col("balance_out_rub") - F.lag("balance_out_rub").over(w)).alias("d_rub"))
+    t = model.turnover().select("account_rk", "on_date", "credit_amount", "debet_amount",
+                                "credit_amount_rub", "debet_amount_rub")
+    acc = model.accounts().select("account_rk", "char_type")
+    j = step.where(F.col("d").isNotNull()).join(t, ["account_rk", "on_date"], "left").join(acc, "account_rk")
+    want = signed_movement(F.col("debet_amount"), F.col("credit_amount"))
+    want_rub = signed_movement(F.col("debet_amount_rub"), F.col("credit_amount_rub"))
+    assert j.where((F.col("d") != want) | (F.col("d_rub") != want_rub)).count() == 0
+
+
+def test_first_day_is_opening_plus_first_turnover(model):
+    p = model.period
+    first = model.daily_balance().where(F.col("on_date") == F.lit(p.start))
+    o = model.opening().select("account_rk", F.col("balance_out").alias("o"))
+    t = model.turnover().where(F.col("on_date") == F.lit(p.start)).select(
+        "account_rk", "credit_amount", "debet_amount")
+    acc = model.accounts().select("account_rk", "char_type")
+    j = first.join(o, "account_rk", "left").join(t, "account_rk", "left").join(acc, "account_rk")
+    want = F.coalesce(F.col("o"), F.lit(0)) + signed_movement(F.col("debet_amount"), F.col("credit_amount"))
+    assert j.where(F.col("balance_out") != want).count() == 0
+
+
+def test_report_closing_equals_mart_last_day(model):
+    p = model.period
+    f = {r.ledger_account: r.balance_out_total for r in model.form101().collect()}
+    last = model.daily_balance().where(F.col("on_date") == F.lit(p.end))
+    led = model.accounts().select("account_rk", F.substring("account_number", 1, 5).alias("ledger_account"))
+    sums = {r.ledger_account: r.s for r in last.join(led, "account_rk").groupBy("ledger_account")
+            .agg(F.sum("balance_out_rub").alias("s")).collect()}
+    assert sums == f

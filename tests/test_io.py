@@ -75,6 +75,10 @@ def test_run_journal_success_failure_and_state(spark, workdir):
     failed = [r for r in state.values() if r.status.startswith("Failed_")]
     assert len(failed) == 1 and failed[0].status == "Failed_Start_fill_account_balance"
     assert state[running].end_time is None and state[running].status == "Started_etl_process"
+    one = j.run(ok_id)
+    assert [r.status for r in one.collect()] == ["Finished_fill_dm_account_turnover"]
+    assert "PushedFilters: [IsNotNull(log_id), EqualTo(log_id," in \
+        one._jdf.queryExecution().executedPlan().toString()
 
 
 def test_run_state_end_wins_ties(spark):

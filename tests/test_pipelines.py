@@ -55,6 +55,8 @@ def test_fill_procedure_then_export_and_reload(spark, workdir):
     pl.load_report(spark, out, wh_root)
     v2 = wh.read("dm", pl.REPORT_V2)
     assert v2.count() == len(want)
+    pl.load_report(spark, out, wh_root, mode="append")
+    assert wh.read("dm", pl.REPORT_V2).count() == 2 * len(want)
 
     # rerunning the whole procedure changes nothing (fresh reads: a
     # DataFrame keeps the file listing it was created with)

@@ -136,3 +136,104 @@ def test_orphan_balance_reported(spark, report):
     balances = _load(spark, folder, "bal", BALANCE_CSV, BALANCE)
     o = rep.orphan_balances(balances, accounts, Period.month(2018, 1))
     assert [r.account_rk for r in o.collect()] == [31824186]
+
+# Shipped input rows for ledgers whose opening columns are
+# golden (30110: the VAL column only; its RUB accounts are multiplied in the
+# shipped report).
+ACCOUNT_CSV_IN = """DATA_ACTUAL_DATE;DATA_ACTUAL_END_DATE;ACCOUNT_RK;ACCOUNT_NUMBER;CHAR_TYPE;CURRENCY_RK;CURRENCY_CODE
+2018-01-01;2018-01-31;13905;30202810900000002001;А;34;643
+2018-01-01;2018-01-31;13560;30110810300000008001;А;34;643
+2018-01-01;2018-01-31;13904;30204810500000002001;А;34;643
+2018-01-01;2018-01-31;34156756;30110810600000198006;А;34;643
+2018-01-01;2018-01-31;31040507;30110810800001031001;А;34;643
+2018-01-01;2018-01-31;298332612;30222826200000009095;П;31;826
+2018-01-01;2018-01-31;16214;30222810700000002100;П;34;643
+2018-01-01;2018-01-31;298332839;30222978700000004095;П;44;978
+2018-01-01;2018-01-31;131824186;30110810200000026002;А;34;643
+2018-01-01;2018-01-31;14878;30222810500000008100;П;34;643
+2018-01-01;2018-01-31;16024;30110810300000600001;А;34;810
+2018-01-01;2018-01-31;25069;30222810700000001101;П;34;810
+2018-01-01;2018-01-31;67009360;30222840600000003101;П;35;840
+2018-01-01;2018-01-31;15423;30110840400000583001;А;35;840
+2018-01-01;2018-01-31;24236;30222826400000309100;П;31;826
+2018-01-01;2018-01-31;24232;30222978900000304100;П;44;978
+2018-01-01;2018-01-31;24235;30222840000000303100;П;35;840
+2018-01-01;2018-01-31;27128962;30222124300000004100;П;42;124
+2018-01-01;2018-01-31;17704;30110810300000435001;А;34;810
+2018-01-01;2018-01-31;13800;30222840300000003100;П;35;840
+2018-01-01;2018-01-31;13597;30110840900000008002;А;35;840
+2018-01-01;2018-01-31;13832;30110810200000008004;А;34;643
+2018-01-01;2018-01-31;34156911;30110840400000198001;А;35;840
+2018-01-01;2018-01-31;13731;30110978400000008005;А;44;978
+2018-01-01;2018-01-31;43180;30222826000000009101;П;31;826
+2018-01-01;2018-01-31;38388;30222756500000051101;П;30;756
+2018-01-01;2018-01-31;13871;30222978200000004100;П;44;978
+2018-01-01;2018-01-31;25068;30222810400000001100;П;34;643
+"""
+BALANCE_CSV_IN = """ON_DATE;ACCOUNT_RK;CURRENCY_RK;BALANCE_OUT
+31.12.2017;13905;34;555
+31.12.2017;13560;34;1055629.43
+31.12.2017;13904;34;5541.83
+31.12.2017;34156756;34;99438.49
+31.12.2017;31040507;34;5901.82
+31.12.2017;298332612;31;68143.15
+31.12.2017;16214;34;45624.94
+31.12.2017;298332839;44;147746.53
+31.12.2017;131824186;34;100000
+31.12.2017;14878;34;26652.93
+31.12.2017;16024;34;20673.34
+31.12.2017;25069;34;90009.64
+31.12.2017;67009360;35;79120.04
+31.12.2017;15423;35;30405.32
+31.12.2017;24236;31;53573.36
+31.12.2017;24232;44;35263.28
+31.12.2017;24235;35;81577.79
+31.12.2017;27128962;42;56647.39
+31.12.2017;17704;34;62298.81
+31.12.2017;13800;35;29355.45
+31.12.2017;13597;35;59604.09
+31.12.2017;13832;34;3951.94
+31.12.2017;34156911;35;84990.66
+31.12.2017;13731;44;73922.73
+31.12.2017;43180;31;80339.53
+31.12.2017;38388;30;5754.62
+31.12.2017;13871;44;17170.34
+31.12.2017;25068;34;53481.96
+"""
+LEDGER_CSV_IN = """CHAPTER;CHAPTER_NAME;SECTION_NUMBER;SECTION_NAME;SUBSECTION_NAME;LEDGER1_ACCOUNT;LEDGER1_ACCOUNT_NAME;LEDGER_ACCOUNT;LEDGER_ACCOUNT_NAME;CHARACTERISTIC;START_DATE;END_DATE
+А;;3;;;302;;30204;;А;2014-01-01;2050-12-31
+А;;3;;;301;;30110;;А;2008-01-01;2050-12-31
+А;;3;;;302;;30222;;П;2008-01-01;2050-12-31
+А;;3;;;302;;30202;;А;2014-01-01;2050-12-31
+"""
+# Shipped balance_in (rub, val, total); None = not golden.
+GOLDEN_IN = {
+    "30204": (5541.83, 0, 5541.83),
+    "30222": (215769, 654692, 870461),
+    "30202": (555, 0, 555),
+    "30110": (None, 248923, None),
+}
+
+
+def test_golden_opening_columns(spark):
+    from ledgerline.session import shared_dir
+    folder = shared_dir(spark, "golden-in")
+    accounts = _load(spark, folder, "acc", ACCOUNT_CSV_IN, ACCOUNT)
+    balances = _load(spark, folder, "bal", BALANCE_CSV_IN, BALANCE)
+    ledger = _load(spark, folder, "led", LEDGER_CSV_IN, LEDGER)
+    rates = spark.createDataFrame([], "data_actual_date date, data_actual_end_date date, currency_rk int, "
+                                      "reduced_cource decimal(18,8), code_iso_num string")
+    postings = spark.createDataFrame([], "oper_date date, credit_account_rk bigint, debet_account_rk bigint, "
+                                         "credit_amount decimal(23,8), debet_amount decimal(23,8)")
+    from ledgerline.operators.turnover import daily_turnover
+    period = Period.month(2018, 1)
+    opening = bal.opening_balance(balances, rates, period.opening)
+    f = {r.ledger_account: r for r in rep.form101(accounts, ledger, opening, daily_turnover(postings, period),
+                                                  period, rates=rates).collect()}
+    assert set(f) == set(GOLDEN_IN)
+    for ledger_account, want in GOLDEN_IN.items():
+        got = (f[ledger_account].balance_in_rub, f[ledger_account].balance_in_val,
+               f[ledger_account].balance_in_total)
+        for g, w in zip(got, want):
+            if w is not None:
+                assert math.isclose(float(g), w, rel_tol=5e-6), (ledger_account, got, want)
