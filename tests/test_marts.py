@@ -188,3 +188,24 @@ def test_opening_exact_rule_misses_earlier_rate(spark):
     exact = bal.opening_balance(b, _rates(spark), P.opening).first()
     as_of = bal.opening_balance(b, _rates(spark), P.opening, rate_rule="as_of").first()
     assert exact.balance_out_rub == 50 and as_of.balance_out_rub == 100
+
+
+def test_hot_account_is_combined_before_the_shuffle(spark):
+    """One account on a third of all postings: results stay exact and the
+    turnover plan combines map-side (partial sums before the exchange), so
+    the hot account leaves each task as one row per day."""
+    n = 30000
+    posts = spark.range(n).selectExpr(
+        "date_add(DATE'2018-01-01', CAST(id % 10 AS INT)) AS oper_date",
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE 100 + id % 500 END AS credit_account_rk",
+        "1000 + id % 700 AS debet_account_rk",
+        "CAST(id % 97 AS DECIMAL(23,8)) AS credit_amount",
+        "CAST(id % 97 AS DECIMAL(23,8)) AS debet_amount").repartition(8)
+    t = tov.daily_turnover(posts, P)
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_sum") > plan.index("Exchange")  # partial agg sits below the exchange
+    hot = {r.on_date.day: r.credit_amount for r in t.where("account_rk = 1").collect()}
+    want = {}
+    for i in range(0, n, 3):
+        want[1 + i % 10] = want.get(1 + i % 10, 0) + i % 97
+    assert hot == want
