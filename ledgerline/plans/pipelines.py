@@ -13,8 +13,9 @@ Layout under ``warehouse``::
 
 Every step reads what the previous step wrote, so a step is the unit of
 recovery: a lost executor re-runs tasks of the current step only, and a
-failed step can be re-run alone. Per-day marts are refreshed per partition:
-re-running a period replaces exactly its days.
+failed step can be re-run alone. Per-day marts are refreshed per day:
+re-running a period replaces exactly its days, including days that no
+longer have rows.
 """
 
 from __future__ import annotations
@@ -77,7 +78,8 @@ def fill_turnover(wh: Warehouse, period: Period) -> None:
     """dm.account_turnover_f for every day of the period."""
     t = tov.turnover_fx(wh.read("ds", "ft_posting_f"), wh.read("ds", "md_account_d"),
                         wh.read("ds", "md_exchange_rate_d"), period)
-    sinks.refresh_partitions(_mart_types(t), wh.path("dm", TURNOVER_MART), ["on_date"])
+    sinks.replace_days(_mart_types(t), wh.path("dm", TURNOVER_MART), "on_date",
+                       period.start, period.end)
 
 
 def fill_opening(wh: Warehouse, period: Period, rate_rule: str = "exact") -> None:
@@ -85,7 +87,8 @@ def fill_opening(wh: Warehouse, period: Period, rate_rule: str = "exact") -> Non
     partition is replaced (the source system emptied the whole mart)."""
     o = bal.opening_balance(wh.read("ds", "ft_balance_f"), wh.read("ds", "md_exchange_rate_d"),
                             period.opening, rate_rule)
-    sinks.refresh_partitions(_mart_types(o), wh.path("dm", BALANCE_MART), ["on_date"])
+    sinks.replace_days(_mart_types(o), wh.path("dm", BALANCE_MART), "on_date",
+                       period.opening, period.opening)
 
 
 def _balance_mart(wh: Warehouse) -> DataFrame:
@@ -108,7 +111,8 @@ def fill_balance(wh: Warehouse, period: Period) -> None:
     from the opening partition over the turnover mart."""
     opening = _balance_mart(wh).where(F.col("on_date") == F.lit(period.opening))
     b = bal.daily_balance(wh.read("ds", "md_account_d"), opening, _turnover_mart(wh, period), period)
-    sinks.refresh_partitions(_mart_types(b), wh.path("dm", BALANCE_MART), ["on_date"])
+    sinks.replace_days(_mart_types(b), wh.path("dm", BALANCE_MART), "on_date",
+                       period.start, period.end)
 
 
 def fill_report(wh: Warehouse, period: Period) -> None:

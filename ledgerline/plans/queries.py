@@ -189,7 +189,7 @@ def q_mart_day_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.refresh_partitions(month, path, ["on_date"])
     day = m.period.start.replace(day=15)
     again = tov.turnover_fx(m.postings(), m.accounts(), m.rates(), Period(day, day))
-    sinks.refresh_partitions(again, path, ["on_date"])
+    sinks.replace_days(again, path, "on_date", day, day)
     back = spark.read.schema(month.schema).parquet(path)
     out = back.groupBy("on_date").agg(
         F.count(F.lit(1)).alias("n_rows"),

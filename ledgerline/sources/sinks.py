@@ -7,7 +7,11 @@ back instead of recomputing, so a lost executor only re-runs the last step.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -40,3 +44,35 @@ def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) ->
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def replace_days(df: DataFrame, path: str, column: str, first: dt.date, last: dt.date) -> None:
+    """Make the days ``first..last`` of a day-partitioned table equal to
+    ``df`` -- including days for which ``df`` has no rows, which a dynamic
+    partition overwrite would leave with their old content.
+
+    The rows are written (in parallel, by Spark) into a staging folder
+    inside the table folder, which readers ignore (leading ``_``); then, on
+    the driver, each day's folder is swapped in or removed: metadata
+    operations only, one per day of the range. A failure part way leaves
+    every day either old or new; re-running the step completes it.
+    """
+    spark = df.sparkSession
+    root = path.rstrip("/")
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    rows = df.where(F.col(column).between(F.lit(first), F.lit(last)))
+    rows.sortWithinPartitions(column).write.mode("overwrite").partitionBy(column).parquet(staging)
+
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    day = first
+    while day <= last:
+        name = f"{column}={day.isoformat()}"
+        target, fresh = Path(f"{root}/{name}"), Path(f"{staging}/{name}")
+        if fs.exists(target):
+            fs.delete(target, True)
+        if fs.exists(fresh):
+            fs.rename(fresh, target)
+        day += dt.timedelta(days=1)
+    fs.delete(Path(staging), True)

@@ -33,6 +33,18 @@ def test_partition_refresh_replaces_only_present_days(spark, workdir):
     assert got == [(1, 1), (1, 1), (2, 5), (3, 1), (3, 1)]
 
 
+def test_replace_days_clears_days_without_rows(spark, workdir):
+    days = [dt.date(2018, 1, d) for d in (1, 2, 3)]
+    first = spark.createDataFrame([(d, 1) for d in days], "on_date date, v int")
+    sinks.refresh_partitions(first, f"{workdir}/r", ["on_date"])
+    # re-run of days 2..3 where day 3 has no rows any more; day 4 is outside
+    again = spark.createDataFrame([(days[1], 7), (dt.date(2018, 1, 4), 9)], "on_date date, v int")
+    sinks.replace_days(again, f"{workdir}/r", "on_date", days[1], days[2])
+    sinks.replace_days(again, f"{workdir}/r", "on_date", days[1], days[2])  # idempotent
+    back = spark.read.schema("v int, on_date date").parquet(f"{workdir}/r")
+    assert sorted((r.on_date.day, r.v) for r in back.collect()) == [(1, 1), (2, 7)]
+
+
 def test_csv_export_can_run_twice(spark, workdir):
     df = spark.createDataFrame([(1, "a")], "k int, s string")
     write_delimited(df, f"{workdir}/e", sep=",")
