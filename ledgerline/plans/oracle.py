@@ -57,16 +57,15 @@ posting AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 rate_raw AS (
-  SELECT iv.d0 AS data_actual_date, iv.d1 AS data_actual_end_date, n.k AS currency_rk,
-         CAST(CAST(10 + (n.k * 7 + month(iv.d0)) % 50 + cp.c * 5 AS DECIMAL(10,4)) / 10 AS DECIMAL(10,4))
-           AS reduced_cource,
-         {ccy.format(k='n.k')} AS code_iso_num
-  FROM (SELECT CAST(n_nationkey AS INTEGER) AS k FROM nation
-        WHERE n_nationkey >= 2 AND n_nationkey % 5 <> 4) n
+  SELECT iv.d0 AS data_actual_date, iv.d1 AS data_actual_end_date, q.k AS currency_rk,
+         CAST(CAST((10 + (q.k * 7 + month(iv.d0)) % 50) * 10 + (q.s_suppkey % 4) * 25 AS DECIMAL(10,4)) / 100
+              AS DECIMAL(10,4)) AS reduced_cource,
+         {ccy.format(k='q.k')} AS code_iso_num
+  FROM (SELECT CAST(s_nationkey AS INTEGER) AS k, s_suppkey FROM supplier
+        WHERE s_nationkey >= 2 AND s_nationkey % 5 <> 4) q
   CROSS JOIN (VALUES ({_d(p.previous_month_start)}, {_d(prev_end)}),
                      ({_d(p.opening)}, {_d(p.opening)}),
                      ({_d(p.start)}, {_d(p.end)})) iv(d0, d1)
-  JOIN (VALUES (0), (1)) cp(c) ON cp.c = 0 OR n.k % 3 = 0
 ),
 rate AS (
   SELECT data_actual_date, data_actual_end_date, currency_rk, reduced_cource, code_iso_num

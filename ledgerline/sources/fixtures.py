@@ -11,7 +11,8 @@ tables, so its size grows with them:
   the opening date: they have a balance but no account in the period.
 * postings: one per lineitem, dated ``l_shipdate``; the order's customer is
   credited and the supplier debited with ``l_extendedprice``.
-* currencies and exchange rates: from ``nation``.
+* currencies: from ``nation``; exchange rates: quotes filed by every
+  supplier for its nation's currency (key dedupe keeps the lowest).
 * ledger: five customer ledgers (one per market segment), five supplier
   ledgers (nation key mod 5) and two reserve ledgers.
 
@@ -159,29 +160,33 @@ def currencies(db: DriverTables, period: Period) -> DataFrame:
 
 
 def exchange_rates_raw(db: DriverTables, period: Period) -> DataFrame:
-    """md_exchange_rate_d as delivered, before key dedupe.
-
-    Nations from 2 on, except keys ending in 4 or 9, have three rate
-    intervals: the previous month up to the day before the opening date,
-    the opening date alone, and the period. Keys divisible by 3 arrive
-    twice, the copy 0.5 higher.
+    """md_exchange_rate_d as delivered, before key dedupe: rate quotes.
+
+    Every supplier quotes the rate of its nation's currency, for nations
+    from 2 on except keys ending in 4 or 9, over three intervals: the
+    previous month up to the day before the opening date, the opening date
+    alone, and the period. The quote is the currency's base rate plus
+    0.25 x (s_suppkey mod 4), so one (date, currency) key carries as many
+    quotes as the nation has suppliers; key dedupe keeps the lowest. The
+    raw table grows with ``supplier``; the deduped one has at most
+    3 x 18 rows.
     """
     intervals = F.array(
         F.struct(lit_date(period.previous_month_start).alias("d0"),
                  F.date_sub(lit_date(period.opening), 1).alias("d1")),
         F.struct(lit_date(period.opening).alias("d0"), lit_date(period.opening).alias("d1")),
         F.struct(lit_date(period.start).alias("d0"), lit_date(period.end).alias("d1")))
-    k = F.col("currency_rk")
-    copies = F.when(k % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    base = (db.table("nation").select(F.col("n_nationkey").cast("int").alias("currency_rk"))
-            .where((F.col("currency_rk") >= 2) & (F.col("currency_rk") % 5 != 4))
-            .select("currency_rk", F.inline(intervals))
-            .select("currency_rk", "d0", "d1", F.explode(copies).alias("copy")))
-    tenths = 10 + (F.col("currency_rk") * 7 + F.month("d0")) % 50 + F.col("copy") * 5
-    return base.select(
+    quotes = (db.table("supplier")
+              .select(F.col("s_nationkey").cast("int").alias("currency_rk"), "s_suppkey")
+              .where((F.col("currency_rk") >= 2) & (F.col("currency_rk") % 5 != 4))
+              .select("currency_rk", "s_suppkey", F.inline(intervals)))
+    # rate in 1/100: base (1.0 .. 5.9 in steps of 0.1) + quote offset
+    hundredths = ((10 + (F.col("currency_rk") * 7 + F.month("d0")) % 50) * 10
+                  + (F.col("s_suppkey") % 4) * 25)
+    return quotes.select(
         F.col("d0").alias("data_actual_date"), F.col("d1").alias("data_actual_end_date"),
         "currency_rk",
-        (tenths.cast(RATE_IN) / 10).cast(RATE_IN).alias("reduced_cource"),
+        (hundredths.cast(RATE_IN) / 100).cast(RATE_IN).alias("reduced_cource"),
         currency_code(F.col("currency_rk")).alias("code_iso_num"))
 
 
