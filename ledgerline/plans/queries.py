@@ -21,7 +21,7 @@ from ledgerline.operators import conform as cf
 from ledgerline.operators import report as rep
 from ledgerline.operators import runlog
 from ledgerline.operators import turnover as tov
-from ledgerline.session import shared_dir
+from ledgerline.session import checkpoint_root, shared_dir
 from ledgerline.sources import csv as csvio
 from ledgerline.sources import fixtures as fx
 from ledgerline.sources import sinks
@@ -53,6 +53,14 @@ def _once(method):
     return wrapper
 
 
+def _materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's checkpoint folder (shared
+    storage on a cluster): computed once, lineage cut, survives the loss of
+    the executors that computed it."""
+    checkpoint_root(spark)
+    return df.checkpoint(eager=True)
+
+
 class Model:
     """The banking tables of one period over one driver-table folder."""
 
@@ -79,11 +87,17 @@ class Model:
 
     @_once
     def rates(self) -> DataFrame:
-        return cf.keep_first(self.rates_raw(), EXCHANGE_RATE.dedupe_keys, EXCHANGE_RATE.dedupe_order)
+        """Deduped rates (at most currencies x intervals rows), materialized
+        once: the broadcast size checks and every join then read this small
+        result instead of re-deriving it from all supplier quotes."""
+        return _materialize(self.spark, cf.keep_first(
+            self.rates_raw(), EXCHANGE_RATE.dedupe_keys, EXCHANGE_RATE.dedupe_order))
 
     @_once
     def ledger(self) -> DataFrame:
-        return fx.ledger(self.db)
+        """The ledger dimension (a dozen rows), materialized once for the
+        same reason."""
+        return _materialize(self.spark, fx.ledger(self.db))
 
     @_once
     def currencies(self) -> DataFrame:
