@@ -36,8 +36,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    It is read from the session. Only when nothing is configured (a local
-    test session) is a folder of our own created and registered.
+    It is read from the session. Only a local session (tests) without that
+    setting gets a folder of our own; on a cluster a machine-local folder
+    would not be shared by the executors, so its absence is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
