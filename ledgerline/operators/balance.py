@@ -90,7 +90,9 @@ def daily_balance(accounts: DataFrame, opening: DataFrame, turnover: DataFrame,
     out(d) = opening + sum of signed turnover up to d (active: debit minus
     credit, passive: credit minus debit); the rouble balance rolls the
     rouble turnover the same way from the rouble opening. A missing opening
-    counts as 0. ``turnover``/``rates`` as in :func:`movements`.
+    counts as 0. ``turnover``/``rates`` as in :func:`movements`. Contract:
+    at most one version of an account overlaps the period (the account
+    master is kept per month); its validity may start or end inside it.
 
     Plan: accounts + opening + turnover meet in one join on account_rk (the
     turnover keeps only days with movement), a running sum per account

@@ -21,12 +21,29 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict | Non
     return spark.read.jdbc(url, table, properties=props)
 
 
-def append_table(df: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
-    df.write.jdbc(url, table, mode="append", properties=dict(properties or {}))
+# A database takes far fewer concurrent writers than a cluster has tasks:
+# Spark coalesces the write to this many connections, each inserting in
+# batches.
+WRITE_CONNECTIONS = 16
+BATCH_ROWS = 10000
 
 
-def refresh_table(df: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
+def _write_props(properties: dict | None, connections: int, batch_rows: int) -> dict:
+    props = dict(properties or {})
+    props.setdefault("numPartitions", str(connections))
+    props.setdefault("batchsize", str(batch_rows))
+    return props
+
+
+def append_table(df: DataFrame, url: str, table: str, properties: dict | None = None,
+                 connections: int = WRITE_CONNECTIONS, batch_rows: int = BATCH_ROWS) -> None:
+    df.write.jdbc(url, table, mode="append",
+                  properties=_write_props(properties, connections, batch_rows))
+
+
+def refresh_table(df: DataFrame, url: str, table: str, properties: dict | None = None,
+                  connections: int = WRITE_CONNECTIONS, batch_rows: int = BATCH_ROWS) -> None:
     """Full refresh: empty the table and load ``df`` in one Spark write.
     ``truncate`` keeps the table definition (grants, constraints)."""
     (df.write.mode("overwrite").option("truncate", True)
-     .jdbc(url, table, properties=dict(properties or {})))
+     .jdbc(url, table, properties=_write_props(properties, connections, batch_rows)))
