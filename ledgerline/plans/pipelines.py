@@ -29,7 +29,7 @@ from ledgerline.model import Period
 from ledgerline.operators import balance as bal
 from ledgerline.operators import report as rep
 from ledgerline.operators import turnover as tov
-from ledgerline.operators.conform import conform, dedupe
+from ledgerline.operators.conform import REJECT_REASON, conform, dedupe
 from ledgerline.operators.runlog import RunJournal
 from ledgerline.sources import csv as csvio
 from ledgerline.sources import jdbc, sinks
@@ -153,7 +153,7 @@ def load_to_database(spark: SparkSession, landing_dir: str, url: str, properties
             continue
         raw = csvio.read_typed(spark, f"{landing_dir.rstrip('/')}/{entry}", spec)
         c = conform(raw, spec)
-        ok = c.staged.where(F.col("_reject_reason") == "").drop("_reject_reason")
+        ok = c.staged.where(F.col(REJECT_REASON) == "").drop(REJECT_REASON)
         table = f"{schema}.{spec.name}"
         jdbc.refresh_table(dedupe(ok, spec, identical_rows=drop_identical_rows), url, table, properties)
         written[spec.name] = table
