@@ -176,6 +176,14 @@ def _bodies(p: Period) -> dict[str, str]:
         "opening_balance": """
             SELECT on_date, account_rk, CAST(balance_out AS DOUBLE) AS balance_out,
                    CAST(balance_out_rub AS DOUBLE) AS balance_out_rub FROM opening""",
+        "opening_balance_as_of": f"""
+            SELECT b.on_date, b.account_rk, CAST(b.balance_out AS DOUBLE) AS balance_out,
+                   CAST(b.balance_out * coalesce(r.reduced_cource, 1) AS DOUBLE) AS balance_out_rub
+            FROM balance b
+            LEFT JOIN rate r ON r.currency_rk = b.currency_rk
+                 AND b.on_date BETWEEN r.data_actual_date
+                                   AND coalesce(r.data_actual_end_date, DATE '9999-12-31')
+            WHERE b.on_date = {_d(p.opening)}""",
         "dedupe_rates": """
             SELECT currency_rk, data_actual_date, data_actual_end_date,
                    CAST(reduced_cource AS DOUBLE) AS reduced_cource, code_iso_num FROM rate""",

@@ -134,6 +134,14 @@ def q_opening_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_out(m.opening(), ["balance_out", "balance_out_rub"])
 
 
+def q_opening_balance_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The opening valuation with the rate valid on the opening date
+    instead of the rate starting on it."""
+    m = Model(spark, sf_dir)
+    o = bal.opening_balance(m.balances(), m.rates(), m.period.opening, rate_rule="as_of")
+    return _money_out(o, ["balance_out", "balance_out_rub"])
+
+
 def q_dedupe_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Model(spark, sf_dir)
     return _money_out(m.rates().select("currency_rk", "data_actual_date", "data_actual_end_date",
@@ -286,6 +294,7 @@ def q_posting_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "opening_balance": q_opening_balance,
+    "opening_balance_as_of": q_opening_balance_as_of,
     "dedupe_rates": q_dedupe_rates,
     "csv_typed_scan": q_csv_typed_scan,
     "csv_string_scan": q_csv_string_scan,
