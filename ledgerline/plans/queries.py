@@ -286,7 +286,8 @@ def q_posting_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream")
     landing, table = f"{root}/landing/{POSTING.name}", f"{root}/ds/{POSTING.name}"
     csvio.write_delimited(csvio.to_source_layout(m.postings(), POSTING), landing, sep=POSTING.sep)
-    q = stream_ingest(spark, POSTING, landing, table, f"{root}/_checkpoint/{POSTING.name}")
+    q = stream_ingest(spark, POSTING, landing, table, f"{root}/_checkpoint/{POSTING.name}",
+                      rejects_dir=f"{root}/rejects/{POSTING.name}")
     q.awaitTermination()
     back = spark.read.parquet(table)
     return _money_out(back.select(*POSTING.columns), ["credit_amount", "debet_amount"])

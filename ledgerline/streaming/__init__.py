@@ -1,3 +1,3 @@
-from ledgerline.streaming.landing import stream_ingest
+from ledgerline.streaming.landing import StreamingIngest, stream_ingest
 
-__all__ = ["stream_ingest"]
+__all__ = ["StreamingIngest", "stream_ingest"]

@@ -23,19 +23,55 @@ from ledgerline.operators.conform import REJECT_REASON, stage
 from ledgerline.sources.specs import TableSpec
 
 
-def stream_ingest(spark: SparkSession, spec: TableSpec, landing_dir: str, table_dir: str,
-                  checkpoint_dir: str, partition_by: tuple[str, ...] = (),
-                  available_now: bool = True, max_files_per_trigger: int | None = None
-                  ) -> StreamingQuery:
+class StreamingIngest:
+    """The running queries of one ingest: accepted rows, and rejected rows
+    when a reject folder was given."""
+
+    def __init__(self, queries: list[StreamingQuery]):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:  # noqa: N802 (Spark's spelling)
+        for q in self.queries:
+            q.awaitTermination()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+
+def _stream(spark: SparkSession, spec: TableSpec, landing_dir: str,
+            max_files_per_trigger: int | None):
     reader = (spark.readStream.schema(spec.schema)
               .option("header", True).option("sep", spec.sep).option("mode", "PERMISSIVE"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    staged = stage(reader.csv(landing_dir), spec)
-    accepted = staged.where(F.col(REJECT_REASON) == "").drop(REJECT_REASON)
-    writer = (accepted.writeStream.format("parquet").outputMode("append")
+    return stage(reader.csv(landing_dir), spec)
+
+
+def _start(df, out_dir: str, checkpoint_dir: str, partition_by, available_now: bool):
+    writer = (df.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint_dir))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(table_dir)
+    return writer.start(out_dir)
+
+
+def stream_ingest(spark: SparkSession, spec: TableSpec, landing_dir: str, table_dir: str,
+                  checkpoint_dir: str, partition_by: tuple[str, ...] = (),
+                  available_now: bool = True, max_files_per_trigger: int | None = None,
+                  rejects_dir: str | None = None) -> StreamingIngest:
+    """Accepted rows go to ``table_dir``; with ``rejects_dir`` the rejected
+    rows (with their reason) go there, through a second query with its own
+    checkpoint, so no landed row is lost. Each query takes each file
+    exactly once."""
+    accepted = (_stream(spark, spec, landing_dir, max_files_per_trigger)
+                .where(F.col(REJECT_REASON) == "").drop(REJECT_REASON))
+    queries = [_start(accepted, table_dir, f"{checkpoint_dir.rstrip('/')}/accepted",
+                      partition_by, available_now)]
+    if rejects_dir:
+        rejected = (_stream(spark, spec, landing_dir, max_files_per_trigger)
+                    .where(F.col(REJECT_REASON) != ""))
+        queries.append(_start(rejected, rejects_dir, f"{checkpoint_dir.rstrip('/')}/rejected",
+                              (), available_now))
+    return StreamingIngest(queries)

@@ -115,3 +115,15 @@ def test_stream_ingest_takes_each_file_once(spark, workdir):
     back = spark.read.parquet(table)
     assert back.count() == 4
     assert dict(back.dtypes)["oper_date"] == "date"
+
+
+def test_stream_ingest_keeps_rejected_rows(spark, workdir):
+    landing = f"{workdir}/landing"
+    spark.sparkContext.parallelize(["h", "05-01-2018;1;2;10;10", "2018-01-05;1;2;10;10", "05-01-2018;;2;1;1"],
+                                   1).saveAsTextFile(f"{landing}/a")
+    q = stream_ingest(spark, POSTING, f"{landing}/*", f"{workdir}/ds", f"{workdir}/_ckpt",
+                      rejects_dir=f"{workdir}/rejects")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{workdir}/ds").count() == 1
+    reasons = sorted(r._reject_reason for r in spark.read.parquet(f"{workdir}/rejects").collect())
+    assert reasons == ["bad_date:oper_date", "missing:credit_account_rk"]
