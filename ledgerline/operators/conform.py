@@ -32,9 +32,20 @@ def reject_reason(spec: TableSpec) -> Column:
 
 
 def stage(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Raw rows with dates parsed in place (one projection for all of
-    them) and a reject reason column."""
-    return raw.withColumn(REJECT_REASON, reject_reason(spec)).withColumns(_parsed(spec))
+    """Raw rows, as read, with a reject reason column."""
+    return raw.withColumn(REJECT_REASON, reject_reason(spec))
+
+
+def accept(staged: DataFrame, spec: TableSpec) -> DataFrame:
+    """The good rows of a staged table with their dates parsed in place
+    (one projection for all of them)."""
+    return staged.where(F.col(REJECT_REASON) == "").drop(REJECT_REASON).withColumns(_parsed(spec))
+
+
+def reject(staged: DataFrame) -> DataFrame:
+    """The rejected rows with their reason; fields keep the text they
+    arrived with, so a bad date can be read and corrected."""
+    return staged.where(F.col(REJECT_REASON) != "")
 
 
 def keep_first(df: DataFrame, keys: list[str] | tuple[str, ...],
@@ -63,15 +74,19 @@ class Conformed:
     spec: TableSpec
     staged: DataFrame
 
+    @property
+    def accepted(self) -> DataFrame:
+        """Accepted rows, typed, before dedupe."""
+        return accept(self.staged, self.spec)
+
     @property
     def table(self) -> DataFrame:
         """Accepted rows, typed, deduped as the spec says."""
-        ok = self.staged.where(F.col(REJECT_REASON) == "").drop(REJECT_REASON)
-        return dedupe(ok, self.spec)
+        return dedupe(self.accepted, self.spec)
 
     @property
     def rejects(self) -> DataFrame:
-        return self.staged.where(F.col(REJECT_REASON) != "")
+        return reject(self.staged)
 
 
 def dedupe(df: DataFrame, spec: TableSpec, identical_rows: bool | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ from ledgerline.model import Period
 from ledgerline.operators import balance as bal
 from ledgerline.operators import report as rep
 from ledgerline.operators import turnover as tov
-from ledgerline.operators.conform import REJECT_REASON, conform, dedupe
+from ledgerline.operators.conform import conform, dedupe
 from ledgerline.operators.runlog import RunJournal
 from ledgerline.sources import csv as csvio
 from ledgerline.sources import jdbc, sinks
@@ -145,7 +145,8 @@ def load_to_database(spark: SparkSession, landing_dir: str, url: str, properties
                      schema: str = "ds", drop_identical_rows: bool = True) -> dict[str, str]:
     """Landing CSVs -> database tables, each fully refreshed. With
     ``drop_identical_rows`` every table, postings included, loses whole-row
-    duplicates (the source system's rule for this job)."""
+    duplicates (the source system's rule for this job). Rejected rows go to
+    ``<table>_rejects`` with their reason and original text."""
     written = {}
     for entry in list_folder(spark, landing_dir):
         spec = REGISTRY.get(file_stem(entry))
@@ -153,9 +154,10 @@ def load_to_database(spark: SparkSession, landing_dir: str, url: str, properties
             continue
         raw = csvio.read_typed(spark, f"{landing_dir.rstrip('/')}/{entry}", spec)
         c = conform(raw, spec)
-        ok = c.staged.where(F.col(REJECT_REASON) == "").drop(REJECT_REASON)
         table = f"{schema}.{spec.name}"
-        jdbc.refresh_table(dedupe(ok, spec, identical_rows=drop_identical_rows), url, table, properties)
+        jdbc.refresh_table(dedupe(c.accepted, spec, identical_rows=drop_identical_rows),
+                           url, table, properties)
+        jdbc.refresh_table(c.rejects, url, f"{table}_rejects", properties)
         written[spec.name] = table
     return written
 

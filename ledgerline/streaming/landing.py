@@ -16,10 +16,9 @@ the batch conform.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.operators.conform import REJECT_REASON, stage
+from ledgerline.operators.conform import accept, reject, stage
 from ledgerline.sources.specs import TableSpec
 
 
@@ -65,13 +64,11 @@ def stream_ingest(spark: SparkSession, spec: TableSpec, landing_dir: str, table_
     rows (with their reason) go there, through a second query with its own
     checkpoint, so no landed row is lost. Each query takes each file
     exactly once."""
-    accepted = (_stream(spark, spec, landing_dir, max_files_per_trigger)
-                .where(F.col(REJECT_REASON) == "").drop(REJECT_REASON))
+    accepted = accept(_stream(spark, spec, landing_dir, max_files_per_trigger), spec)
     queries = [_start(accepted, table_dir, f"{checkpoint_dir.rstrip('/')}/accepted",
                       partition_by, available_now)]
     if rejects_dir:
-        rejected = (_stream(spark, spec, landing_dir, max_files_per_trigger)
-                    .where(F.col(REJECT_REASON) != ""))
+        rejected = reject(_stream(spark, spec, landing_dir, max_files_per_trigger))
         queries.append(_start(rejected, rejects_dir, f"{checkpoint_dir.rstrip('/')}/rejected",
                               (), available_now))
     return StreamingIngest(queries)

@@ -24,6 +24,7 @@ def test_three_date_patterns_and_bad_date(spark, workdir):
     assert ok[5].balance_out == 0
     reasons = {r.account_rk: r._reject_reason for r in c.rejects.collect()}
     assert reasons[2] == "bad_date:on_date"
+    assert {r.account_rk: r.on_date for r in c.rejects.collect()}[2] == "2017-12-31"  # text kept
     assert reasons[3] == "missing:on_date"
     assert reasons[None] == "missing:account_rk"
 
