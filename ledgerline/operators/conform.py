@@ -19,10 +19,13 @@ def _parsed(spec: TableSpec) -> dict[str, Column]:
     return {c: cast_date(c) for c in spec.date_columns}
 
 
-def reject_reason(spec: TableSpec) -> Column:
+PARSED = "_parsed_"  # prefix of the hidden parsed-date columns of a staged table
+
+
+def reject_reason(spec: TableSpec, parsed: dict[str, Column] | None = None) -> Column:
     """'' for a good row, else a comma list of ``bad_date:<col>`` and
     ``missing:<col>``, evaluated on the raw row."""
-    parsed = _parsed(spec)
+    parsed = parsed or _parsed(spec)
     checks = []
     for c in spec.date_columns:
         checks.append(F.when(F.col(c).isNotNull() & parsed[c].isNull(), F.lit(f"bad_date:{c}")))
@@ -32,20 +35,27 @@ def reject_reason(spec: TableSpec) -> Column:
 
 
 def stage(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Raw rows, as read, with a reject reason column."""
-    return raw.withColumn(REJECT_REASON, reject_reason(spec))
+    """Raw rows, as read, with a reject reason column. Each date is parsed
+    once, into a hidden column that both the check and the accepted row
+    use."""
+    hidden = {f"{PARSED}{c}": e for c, e in _parsed(spec).items()}
+    staged = raw.withColumns(hidden)
+    parsed = {c: F.col(f"{PARSED}{c}") for c in spec.date_columns}
+    return staged.withColumn(REJECT_REASON, reject_reason(spec, parsed))
 
 
 def accept(staged: DataFrame, spec: TableSpec) -> DataFrame:
-    """The good rows of a staged table with their dates parsed in place
-    (one projection for all of them)."""
-    return staged.where(F.col(REJECT_REASON) == "").drop(REJECT_REASON).withColumns(_parsed(spec))
+    """The good rows of a staged table, dates typed in place."""
+    ok = staged.where(F.col(REJECT_REASON) == "")
+    return ok.select(*[F.col(f"{PARSED}{c}").alias(c) if c in spec.date_columns else F.col(c)
+                       for c in spec.columns])
 
 
 def reject(staged: DataFrame) -> DataFrame:
     """The rejected rows with their reason; fields keep the text they
     arrived with, so a bad date can be read and corrected."""
-    return staged.where(F.col(REJECT_REASON) != "")
+    bad = staged.where(F.col(REJECT_REASON) != "")
+    return bad.drop(*[c for c in staged.columns if c.startswith(PARSED)])
 
 
 def keep_first(df: DataFrame, keys: list[str] | tuple[str, ...],
