@@ -76,3 +76,20 @@ def test_load_to_database_derby(spark, workdir):
                             "md_exchange_rate_d", "md_ledger_account_s"}
     rates = spark.read.jdbc(url, "ds.md_exchange_rate_d", properties=props)
     assert rates.count() == m.rates().count()
+
+
+def test_command_line_runs_the_four_jobs(spark, workdir):
+    from ledgerline.__main__ import main
+
+    m = Model(spark, SF_SMALL)
+    landing, wh_root = f"{workdir}/landing3", f"{workdir}/wh3"
+    write_landing(m, landing)
+    assert main(["fill", "--landing", landing, "--warehouse", wh_root, "--month", "1998-01"]) == 0
+    out = f"{workdir}/export3"
+    assert main(["extract", "--warehouse", wh_root, "--out", out]) == 0
+    assert main(["load-report", "--warehouse", wh_root, "--csv", out]) == 0
+    wh = pl.Warehouse(spark, wh_root)
+    assert wh.read("dm", pl.REPORT_V2).count() == 12
+    url = f"jdbc:derby:memory:cli{uuid.uuid4().hex[:8]};create=true"
+    assert main(["load-db", "--landing", landing, "--url", url,
+                 "--driver", "org.apache.derby.jdbc.EmbeddedDriver"]) == 0
