@@ -1,0 +1,59 @@
+"""Property tests: the roll-forward against a day-by-day brute force, for
+random validity windows and postings (accounts opening or closing inside
+the period, one-day accounts, movements on the first and last day)."""
+
+import datetime as dt
+
+from helpers import ACCOUNTS, BALANCES, POSTINGS, RATES, D, M, frame
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from ledgerline.model import Period
+from ledgerline.operators import balance as bal
+from ledgerline.operators import turnover as tov
+
+P = Period(D(2018, 1, 1), D(2018, 1, 8))
+DAY = st.integers(min_value=-2, max_value=9).map(lambda k: P.start + dt.timedelta(days=k))
+
+
+@st.composite
+def ledgers(draw):
+    n = draw(st.integers(min_value=1, max_value=5))
+    accounts = []
+    for k in range(1, n + 1):
+        a, b = sorted([draw(DAY), draw(DAY)])
+        accounts.append((a, b, k, "30101810" + str(k).zfill(12), draw(st.sampled_from(["А", "П"])),
+                         0, "643"))
+    posts = draw(st.lists(st.tuples(DAY, st.integers(1, n), st.integers(1, n),
+                                    st.integers(0, 99)), max_size=25))
+    opening = {k: draw(st.integers(-50, 50)) for k in range(1, n + 1) if draw(st.booleans())}
+    return accounts, posts, opening
+
+
+def _brute(accounts, posts, opening):
+    out = {}
+    for a0, a1, k, _, kind, _, _ in accounts:
+        cur = opening.get(k, 0)
+        d = max(a0, P.start)
+        while d <= min(a1, P.end):
+            deb = sum(x for day, _, dr, x in posts if day == d and dr == k)
+            cre = sum(x for day, cr, _, x in posts if day == d and cr == k)
+            cur += (deb - cre) if kind == "А" else (cre - deb)
+            out[(d, k)] = cur
+            d += dt.timedelta(days=1)
+    return out
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(case=ledgers())
+def test_roll_forward_matches_brute_force(spark, case):
+    accounts, posts, opening = case
+    acc = frame(spark, ACCOUNTS, accounts)
+    rates = frame(spark, RATES, [])
+    bal_rows = [(P.opening, k, 0, M(v)) for k, v in opening.items()]
+    op = bal.opening_balance(frame(spark, BALANCES, bal_rows), rates, P.opening)
+    pst = frame(spark, POSTINGS, [(d, cr, dr, M(x), M(x)) for d, cr, dr, x in posts])
+    got = bal.daily_balance(acc, op, tov.daily_turnover(pst, P), P, rates=rates).collect()
+    assert len(got) == len({(r.on_date, r.account_rk) for r in got})
+    assert {(r.on_date, r.account_rk): r.balance_out for r in got} == _brute(accounts, posts, opening)
+    assert all(r.balance_out == r.balance_out_rub for r in got)  # no rates: factor 1
