@@ -57,3 +57,70 @@ def test_roll_forward_matches_brute_force(spark, case):
     assert len(got) == len({(r.on_date, r.account_rk) for r in got})
     assert {(r.on_date, r.account_rk): r.balance_out for r in got} == _brute(accounts, posts, opening)
     assert all(r.balance_out == r.balance_out_rub for r in got)  # no rates: factor 1
+
+
+@st.composite
+def reports(draw):
+    n = draw(st.integers(min_value=1, max_value=6))
+    accounts = []
+    for k in range(1, n + 1):
+        led = draw(st.sampled_from([30101, 30102]))
+        code = draw(st.sampled_from(["643", "810", "840", "978"]))
+        kind = "А" if led % 2 else "П"
+        accounts.append((P.start, P.end, k, f"{led}{code}" + str(k).zfill(12), kind, 0, code))
+    posts = draw(st.lists(st.tuples(st.integers(0, 7).map(lambda i: P.start + dt.timedelta(days=i)),
+                                    st.integers(1, n), st.integers(1, n), st.integers(1, 99)),
+                          max_size=8))
+    opening = {k: draw(st.integers(-50, 50)) for k in range(1, n + 1) if draw(st.booleans())}
+    return accounts, posts, opening
+
+
+def _report_brute(accounts, posts, opening):
+    """Class sums as the shipped report shows them: a NULL adds nothing,
+    the other class adds 0, the total is NULL when all values are NULL."""
+    def sums(values):  # values: list of (domestic, value or None)
+        def s(xs):
+            xs = [x for x in xs if x is not None]
+            return sum(xs) if xs else None
+        return (s([v if dom else 0 for dom, v in values]), s([0 if dom else v for dom, v in values]),
+                s([v for _, v in values]))
+    out = {}
+    for led in {a[3][:5] for a in accounts}:
+        rows = [a for a in accounts if a[3][:5] == led]
+        m = {"balance_in": [], "turn_deb": [], "turn_cre": [], "balance_out": []}
+        for _, _, k, _, kind, _, code in rows:
+            dom = code in ("643", "810")
+            deb = [x for _, _, dr, x in posts if dr == k]
+            cre = [x for _, cr, _, x in posts if cr == k]
+            d, c = (sum(deb) if deb or cre else None), (sum(cre) if deb or cre else None)
+            o = opening.get(k)
+            close = (o or 0) + (((d or 0) - (c or 0)) if kind == "А" else ((c or 0) - (d or 0)))
+            for name, v in (("balance_in", o), ("turn_deb", d), ("turn_cre", c), ("balance_out", close)):
+                m[name].append((dom, v))
+        out[led] = {f"{name}_{cls}": v for name, vals in m.items()
+                    for cls, v in zip(("rub", "val", "total"), sums(vals))}
+    return out
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(case=reports())
+def test_form101_class_sums_match_brute_force(spark, case):
+    from helpers import LEDGER
+
+    from ledgerline.operators import report as rep
+
+    accounts, posts, opening = case
+    acc = frame(spark, ACCOUNTS, accounts)
+    rates = frame(spark, RATES, [])
+    ledger = frame(spark, LEDGER, [("А", 30101, "А", D(2000, 1, 1), None),
+                                   ("А", 30102, "П", D(2000, 1, 1), None)])
+    op = bal.opening_balance(frame(spark, BALANCES, [(P.opening, k, 0, M(v)) for k, v in opening.items()]),
+                             rates, P.opening)
+    pst = frame(spark, POSTINGS, [(d, cr, dr, M(x), M(x)) for d, cr, dr, x in posts])
+    got = {r.ledger_account: r.asDict() for r in
+           rep.form101(acc, ledger, op, tov.daily_turnover(pst, P), P, rates=rates).collect()}
+    want = _report_brute(accounts, posts, opening)
+    assert set(got) == set(want)
+    for led, cols in want.items():
+        for c, v in cols.items():
+            assert got[led][c] == v, (led, c, got[led][c], v)
