@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.model import Period
+from ledgerline.model import RUN_STATUSES, Period
 from ledgerline.operators import balance as bal
 from ledgerline.operators import report as rep
 from ledgerline.operators import turnover as tov
@@ -37,6 +37,9 @@ from ledgerline.sources.files import file_stem, list_folder
 from ledgerline.sources.ingest import ingest_folder, load_detail_store
 from ledgerline.sources.specs import REGISTRY, REPORT, REPORT_KEYS
 
+(ETL_START, ETL_END, TURNOVER_START, TURNOVER_END, BALANCE_START, BALANCE_END,
+ EXTRACT_START, EXTRACT_END, LOAD_START, LOAD_END) = RUN_STATUSES
+
 TURNOVER_MART = "account_turnover_f"
 BALANCE_MART = "account_balance_f"
 REPORT_TABLE = "f101_round_f"
@@ -130,12 +133,12 @@ def run_fill_procedure(spark: SparkSession, landing_dir: str, warehouse: str,
     Returns the log id of the whole run."""
     wh = Warehouse(spark, warehouse)
     j = wh.journal()
-    with j.step("Started_etl_process", "Finished_etl_process") as run_id:
+    with j.step(ETL_START, ETL_END) as run_id:
         ingest(wh, landing_dir)
-        with j.step("Start_fill_dm_account_turnover", "Finished_fill_dm_account_turnover"):
+        with j.step(TURNOVER_START, TURNOVER_END):
             fill_turnover(wh, period)
         fill_opening(wh, period)
-        with j.step("Start_fill_account_balance", "Finished_fill_account_balance"):
+        with j.step(BALANCE_START, BALANCE_END):
             fill_balance(wh, period)
         fill_report(wh, period)
     return run_id
@@ -173,7 +176,7 @@ def extract_report(spark: SparkSession, report: DataFrame, out_dir: str,
     if journal is None:
         work()
     else:
-        with journal.step("Start_extract_to_csv", "Finished_extract_to_csv"):
+        with journal.step(EXTRACT_START, EXTRACT_END):
             work()
 
 
@@ -203,5 +206,5 @@ def load_report(spark: SparkSession, csv_path: str, warehouse: str,
     if journal is None:
         work()
     else:
-        with journal.step("Start_load_to_pg", "Finished_load_to_pg"):
+        with journal.step(LOAD_START, LOAD_END):
             work()

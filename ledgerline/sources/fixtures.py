@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import lit_date
-from ledgerline.model import ACTIVE, PASSIVE, Period
+from ledgerline.model import ACTIVE, PASSIVE, RUN_STATUSES, Period
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture mapping.
@@ -222,9 +222,9 @@ def run_events(db: DriverTables) -> DataFrame:
     o = db.table("orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     ev = F.array(
         F.struct(F.lit("start").alias("kind"), F.col("o_orderdate").alias("event_time"),
-                 F.lit("Started_etl_process").alias("status")),
+                 F.lit(RUN_STATUSES[0]).alias("status")),
         F.struct(F.lit("end").alias("kind"),
                  (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("event_time"),
-                 F.lit("Finished_etl_process").alias("status")))
+                 F.lit(RUN_STATUSES[1]).alias("status")))
     ev = F.when(F.col("o_orderstatus") == "F", ev).otherwise(F.slice(ev, 1, 1))
     return o.select(F.col("o_orderkey").alias("log_id"), F.inline(ev))

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-from ledgerline.model import DASHED_DATE, DOTTED_DATE, ISO_DATE
+from ledgerline.model import DASHED_DATE, DOTTED_DATE, ISO_DATE, MONEY, RATE
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ class TableSpec:
 
 _TYPES = {
     "STRING": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(),
-    "DECIMAL(23,8)": T.DecimalType(23, 8), "DECIMAL(38,8)": T.DecimalType(38, 8), "DECIMAL(18,8)": T.DecimalType(18, 8),
+    "DECIMAL(23,8)": MONEY, "DECIMAL(18,8)": RATE, "DECIMAL(38,8)": T.DecimalType(38, 8),
 }
 
 
