@@ -93,3 +93,34 @@ def test_command_line_runs_the_four_jobs(spark, workdir):
     url = f"jdbc:derby:memory:cli{uuid.uuid4().hex[:8]};create=true"
     assert main(["load-db", "--landing", landing, "--url", url,
                  "--driver", "org.apache.derby.jdbc.EmbeddedDriver"]) == 0
+
+
+def test_rerun_after_a_day_lost_its_postings(spark, workdir):
+    """D1 twice; between the runs every posting of one day is withdrawn. The
+    second run must leave no turnover for that day and roll the balances
+    without it."""
+    import datetime as dt
+
+    from ledgerline.sources import csv as csvio
+    from ledgerline.sources.specs import POSTING
+
+    m = Model(spark, SF_SMALL)
+    landing, wh_root = f"{workdir}/landing4", f"{workdir}/wh4"
+    write_landing(m, landing)
+    pl.run_fill_procedure(spark, landing, wh_root, m.period)
+    wh = pl.Warehouse(spark, wh_root)
+    day = m.period.start + dt.timedelta(days=9)
+    assert pl._turnover_mart(wh, m.period).where(F.col("on_date") == F.lit(day)).count() > 0
+
+    fewer = m.postings().where(F.col("oper_date") != F.lit(day))
+    csvio.write_delimited(csvio.to_source_layout(fewer, POSTING), f"{landing}/{POSTING.name}.csv",
+                          sep=POSTING.sep, upper_header=True, mode="overwrite")
+    pl.run_fill_procedure(spark, landing, wh_root, m.period)
+    assert pl._turnover_mart(wh, m.period).where(F.col("on_date") == F.lit(day)).count() == 0
+    # the balance of that day equals the day before for every account
+    b = pl._balance_mart(wh)
+    prev = b.where(F.col("on_date") == F.lit(day - dt.timedelta(days=1))).select(
+        "account_rk", F.col("balance_out").alias("p"))
+    same = b.where(F.col("on_date") == F.lit(day)).join(prev, "account_rk")
+    assert same.where(F.col("balance_out") != F.col("p")).count() == 0
+    assert same.count() > 0
