@@ -6,6 +6,8 @@ Each query runs to completion through the ``noop`` sink (every row is
 produced, nothing is collected to the driver). A warm-up pass on the
 smallest data set compiles the code paths first; each query then runs
 twice and the faster run counts (the host is shared). Prints one JSON line.
+With ``BENCH_EVENT_LOG=DIR`` Spark's event log (stage and task times) is
+written to DIR.
 """
 
 from __future__ import annotations
@@ -39,7 +41,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="ledgerline-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="ledgerline-bench",
+                          extra=extra)
     if os.path.isdir(WARMUP_DIR):
         for name in names:
             run(spark, name, WARMUP_DIR)
