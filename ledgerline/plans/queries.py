@@ -10,6 +10,7 @@ and return the lazy read-back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,12 +177,19 @@ def q_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_landing(m: Model, folder: str) -> None:
-    """The six source files of the model, in their delivered layout."""
+    """The six source files of the model, in their delivered layout.
+
+    The six writes are independent jobs; they are submitted together so the
+    scheduler can run their tasks side by side."""
     tables = [(BALANCE, m.balances()), (POSTING, m.postings()), (ACCOUNT, m.accounts()),
               (CURRENCY, m.currencies()), (EXCHANGE_RATE, m.rates_raw()), (LEDGER, m.ledger())]
-    for spec, df in tables:
-        csvio.write_delimited(csvio.to_source_layout(df, spec), f"{folder}/{spec.name}.csv",
-                              sep=spec.sep, upper_header=True)
+    jobs = [(csvio.to_source_layout(df, spec), f"{folder}/{spec.name}.csv", spec.sep)
+            for spec, df in tables]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        done = [pool.submit(csvio.write_delimited, df, path, sep, "overwrite", True)
+                for df, path, sep in jobs]
+        for f in done:
+            f.result()
 
 
 def q_ingest_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
