@@ -8,6 +8,7 @@ each table is one lazy plan, and the row-count report is one aggregation.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -67,11 +68,15 @@ def ingest_folder(spark: SparkSession, folder: str,
 
 
 def load_detail_store(result: IngestResult, warehouse: str) -> dict[str, str]:
-    """Full refresh of every ingested table and of its reject table."""
-    written = {}
+    """Full refresh of every ingested table and of its reject table. The
+    writes are independent jobs and are submitted together: small
+    dimension loads then share the cluster instead of queueing."""
+    written, writes = {}, []
     for name, c in result.tables.items():
         path = table_path(warehouse, c.spec.layer, name)
-        full_refresh(c.table, path)
-        full_refresh(c.rejects, table_path(warehouse, "rejects", name))
+        writes += [(c.table, path), (c.rejects, table_path(warehouse, "rejects", name))]
         written[name] = path
+    with ThreadPoolExecutor(max_workers=max(1, min(len(writes), 8))) as pool:
+        for f in [pool.submit(full_refresh, df, path) for df, path in writes]:
+            f.result()
     return written
