@@ -122,8 +122,16 @@ class Model:
         return bal.daily_balance(self.accounts(), self.opening(), self.daily_turnover(),
                                  self.period, rates=self.rates())
 
+    def prefetch(self, *views: str) -> None:
+        """Build independent views at once (their eager checkpoints are
+        separate jobs that can share the cluster)."""
+        with ThreadPoolExecutor(max_workers=len(views)) as pool:
+            for f in [pool.submit(getattr(self, v)) for v in views]:
+                f.result()
+
     @_once
     def form101(self) -> DataFrame:
+        self.prefetch("rates", "ledger")
         return rep.form101(self.accounts(), self.ledger(), self.opening(), self.daily_turnover(),
                            self.period, rates=self.rates())
 
