@@ -124,3 +124,73 @@ def test_form101_class_sums_match_brute_force(spark, case):
     for led, cols in want.items():
         for c, v in cols.items():
             assert got[led][c] == v, (led, c, got[led][c], v)
+
+
+PATTERNS = {"yyyy-MM-dd": "%Y-%m-%d", "dd.MM.yyyy": "%d.%m.%Y", "dd-MM-yyyy": "%d-%m-%Y"}
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(dates=st.lists(st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2099, 12, 31)),
+                      min_size=1, max_size=40),
+       junk=st.lists(st.text(alphabet="0123456789.-/ abc", max_size=12), max_size=20))
+def test_date_patterns_parse_or_reject(spark, dates, junk):
+    from pyspark.sql import functions as F
+
+    from ledgerline.functions.dates import parse_date
+
+    cases = [(p, d.strftime(py)) for p, py in PATTERNS.items() for d in dates]
+    cases += [(p, t) for p in PATTERNS for t in junk]
+    df = spark.createDataFrame(cases, "p string, s string")
+    parsed = F.when(F.col("p") == "yyyy-MM-dd", parse_date("s", "yyyy-MM-dd")) \
+        .when(F.col("p") == "dd.MM.yyyy", parse_date("s", "dd.MM.yyyy")) \
+        .otherwise(parse_date("s", "dd-MM-yyyy"))
+    got = df.select("p", "s", parsed.alias("d")).collect()
+    for r in got:
+        py = PATTERNS[r.p]
+        try:
+            want = dt.datetime.strptime(r.s, py).date()
+            # strptime also takes unpadded fields ("1-2-2018"); only the
+            # padded form is the pattern
+            if r.s != want.strftime(py):
+                continue
+        except ValueError:
+            want = None
+        assert r.d == want, (r.p, r.s, r.d, want)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(intervals=st.lists(st.tuples(st.integers(0, 20), st.one_of(st.none(), st.integers(0, 25)),
+                                    st.integers(1, 9)), min_size=1, max_size=6,
+                          unique_by=lambda t: t[0]))
+def test_rate_lookup_picks_the_latest_interval_covering_the_day(spark, intervals):
+    from ledgerline.operators.fx import with_rate_on
+
+    base = D(2018, 1, 1)
+    rows = [(base + dt.timedelta(days=a), None if b is None else base + dt.timedelta(days=b), 5, M(r), "978")
+            for a, b, r in intervals]
+    rates = frame(spark, RATES, rows)
+    days = spark.createDataFrame([(base + dt.timedelta(days=k), 5) for k in range(0, 28)],
+                                 "on_date date, currency_rk int")
+    got = {}
+    for r in with_rate_on(days, rates).collect():
+        assert r.on_date not in got  # never more than one rate per day
+        got[r.on_date] = r.reduced_cource
+
+    spans = [(row[0], row[1], row[3]) for row in rows]  # start, end (None = open), rate
+
+    def want(day):
+        covering = [(a, rate) for a, b, rate in spans
+                    if a <= day and (b is None or day <= b)]
+        # an interval is cut the day before the next one starts
+        starts = sorted(a for a, _, _ in spans)
+        best = None
+        for a, rate in covering:
+            nxt = [s for s in starts if s > a]
+            if nxt and day >= nxt[0]:
+                continue
+            best = rate
+        return best
+
+    for k in range(28):
+        day = base + dt.timedelta(days=k)
+        assert got[day] == want(day), (day, rows)
