@@ -24,7 +24,8 @@ from ledgerline.plans.queries import QUERIES  # noqa: E402
 from ledgerline.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "opening_balance", "dedupe_rates", "date_spine", "daily_turnover", "turnover_fx",
+    "opening_balance", "opening_balance_as_of", "dedupe_rates", "date_spine", "daily_turnover",
+    "turnover_fx",
     "daily_balance", "ledger_assign", "orphan_balances", "form101", "run_log_status",
     "parse_dates", "dedupe_rows", "ingest_row_counts", "report_roundtrip", "mart_day_refresh",
 ]
