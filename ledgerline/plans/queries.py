@@ -70,13 +70,17 @@ class Model:
         self.db = fx.DriverTables.shared(spark, sf_dir)
         self._views: dict[str, DataFrame] = {}
 
+    @_once
+    def account_parts(self) -> DataFrame:
+        return fx.account_parts(self.db, self.period)
+
     @_once
     def accounts(self) -> DataFrame:
-        return fx.accounts(self.db, self.period)
+        return fx.accounts(self.db, self.period, self.account_parts())
 
     @_once
     def balances(self) -> DataFrame:
-        return fx.opening_balances(self.db, self.period)
+        return fx.opening_balances(self.db, self.period, self.account_parts())
 
     @_once
     def postings(self) -> DataFrame:

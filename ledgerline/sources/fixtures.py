@@ -114,10 +114,15 @@ def _account_parts(db: DriverTables, period: Period) -> DataFrame:
     return reduce(DataFrame.unionByName, [customers, suppliers, reserve])
 
 
-def accounts(db: DriverTables, period: Period) -> DataFrame:
+def account_parts(db: DriverTables, period: Period) -> DataFrame:
+    """The union both the account and the balance view are cut from."""
+    return _account_parts(db, period)
+
+
+def accounts(db: DriverTables, period: Period, parts: DataFrame | None = None) -> DataFrame:
     """md_account_d: data_actual_date, data_actual_end_date, account_rk,
     account_number, char_type, currency_rk, currency_code."""
-    p = _account_parts(db, period)
+    p = parts if parts is not None else _account_parts(db, period)
     code = currency_code(F.col("currency_rk"))
     number = F.concat(F.col("ledger_account").cast("string"), code,
                       F.lpad(F.col("account_rk").cast("string"), 12, "0"))
@@ -128,9 +133,9 @@ def accounts(db: DriverTables, period: Period) -> DataFrame:
         "currency_rk", code.alias("currency_code"))
 
 
-def opening_balances(db: DriverTables, period: Period) -> DataFrame:
+def opening_balances(db: DriverTables, period: Period, parts: DataFrame | None = None) -> DataFrame:
     """ft_balance_f: on_date, account_rk, currency_rk, balance_out."""
-    p = _account_parts(db, period)
+    p = parts if parts is not None else _account_parts(db, period)
     return p.select(lit_date(period.opening).alias("on_date"), "account_rk", "currency_rk",
                     F.col("opening_amount").alias("balance_out"))
 
