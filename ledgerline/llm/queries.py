@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, mixing, packing
-from ledgerline.llm.common import table
+from ledgerline.llm import exact_dedup, language, mixing, packing, quality
+from ledgerline.llm.common import crc_fold, table
 
 
 def vocabulary() -> str:
@@ -17,11 +17,27 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the folds other than 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs, crc_fold(F.col("doc_id"), 4) != 2)
+    return language.predict(docs, model).withColumn("held_out", crc_fold(F.col("doc_id"), 4) == 2)
+
+
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of the folds other than 0 of 5."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learn(docs, labels.where(crc_fold(F.col("doc_id"), 5) != 0))
+    return quality.score(docs, model).select(
+        "doc_id", (crc_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "size_difference")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document that stays for its text."""
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents")).select(
@@ -37,7 +53,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_harmonic_packing, op6_exact_dedup, op9_source_mixing)
+    f.__name__: f for f in (op2_language_id, op4_harmonic_packing, op5_compression_quality, op6_exact_dedup, op9_source_mixing)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
