@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, language, mixing, packing, quality
+from ledgerline.llm import exact_dedup, hmm, language, mixing, packing, quality
 from ledgerline.llm.common import crc_fold, table
 
 
@@ -24,6 +24,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).withColumn("held_out", crc_fold(F.col("doc_id"), 4) == 2)
 
 
+def op3_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, learned from the folds other than 2 of 7."""
+    return hmm.score_texts(table(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 7) == 2)
+
+
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
@@ -53,7 +58,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op4_harmonic_packing, op5_compression_quality, op6_exact_dedup, op9_source_mixing)
+    f.__name__: f for f in (op2_language_id, op3_hmm_scoring, op4_harmonic_packing, op5_compression_quality, op6_exact_dedup, op9_source_mixing)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
