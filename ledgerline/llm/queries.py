@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import exact_dedup, hmm, language, mixing, packing, quality
+from ledgerline.llm import crf, exact_dedup, hmm, language, mixing, packing, quality
 from ledgerline.llm.common import crc_fold, table
 
 
@@ -49,6 +49,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of the folds other than 2 of 4."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = crf.learn(docs, labels.where(crc_fold(F.col("doc_id"), 4) != 2))
+    return crf.score(docs, model).select(
+        "doc_id", (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "spans")
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words the mix takes of it, and the shards that got it."""
     plan = mixing.mixture(table(spark, sf_dir, "documents"))
@@ -58,7 +67,8 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_hmm_scoring, op4_harmonic_packing, op5_compression_quality, op6_exact_dedup, op9_source_mixing)
+    f.__name__: f for f in (op2_language_id, op3_hmm_scoring, op4_harmonic_packing, op5_compression_quality, op6_exact_dedup, op8_crf_toxicity,
+                             op9_source_mixing)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
