@@ -107,8 +107,8 @@ def train_chain(words: list[str], tokens: np.ndarray, lengths: np.ndarray, tags:
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient ** 2
         value += 0.3 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
     order = np.argsort(-np.abs(value[:-5]), kind="stable")[:WEIGHTS]
-    kept = {f for f in (list(names)[i] for i in order.tolist())}
-    return {"weights": {f: float(value[i]) for f, i in names.items() if f in kept and abs(value[i]) > 1e-3},
+    letters = list(names)
+    return {"weights": {letters[i]: float(value[i]) for i in order.tolist() if abs(value[i]) > 1e-3},
             "bias": float(value[-5]), "move": value[-4:].reshape(2, 2).tolist()}
 
 
