@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import crf, exact_dedup, hmm, language, mixing, packing, quality
+from ledgerline.llm import crf, exact_dedup, hmm, language, mixing, near_dup, packing, quality
 from ledgerline.llm.common import crc_fold, table
 
 
@@ -66,9 +66,15 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.transform("copies", lambda c: c["shard"]).alias("shards"))
 
 
+def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near duplicates (five words, similarity 0.8)."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "class_size", "kept")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_language_id, op3_hmm_scoring, op4_harmonic_packing, op5_compression_quality, op6_exact_dedup, op8_crf_toxicity,
-                             op9_source_mixing)
+                             op9_source_mixing, op10_dart_minhash)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
