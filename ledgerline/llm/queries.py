@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import crf, exact_dedup, hmm, language, mixing, near_dup, packing, quality
+from ledgerline.llm import crf, exact_dedup, hmm, language, mixing, near_dup, packing, quality, topk, warc
 from ledgerline.llm.common import crc_fold, table
 
 
@@ -17,6 +17,11 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every query vector (id divisible by 20)."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the folds other than 2 of 4."""
     docs = table(spark, sf_dir, "documents")
@@ -49,6 +54,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it comes back from the archives written."""
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels of the folds other than 2 of 4."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -73,16 +83,31 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_hmm_scoring, op4_harmonic_packing, op5_compression_quality, op6_exact_dedup, op8_crf_toxicity,
+    f.__name__: f for f in (op1_exact_topk, op2_language_id, op3_hmm_scoring, op4_harmonic_packing,
+                             op5_compression_quality, op6_exact_dedup, op7_warc_roundtrip, op8_crf_toxicity,
                              op9_source_mixing, op10_dart_minhash)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
 LLM_ORACLE: dict[str, str] = {
+    "op1_exact_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
     "op6_exact_dedup": rf"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{_SPACE}', ' ', 'g') AS n FROM documents),
 g AS (SELECT n, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY n)
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.n) AS text_sha256
 FROM t JOIN g USING (n)""",
+    "op7_warc_roundtrip": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT p.page_id, p.n AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+FROM p LEFT JOIN f USING (d)""",
 }
