@@ -32,7 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the planner's Pyt
 
 LEAST_REVISIT = 100
 #: Bytes of archive per read task.
-TASK_BYTES = 128_000_000
+TASK_BYTES = 32_000_000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _URN = "urn:page:"
 #: Columns of the reader and the header each comes from.
@@ -90,51 +90,52 @@ class _Stream:
     """Bytes of a file, gzipped or not: lines, exact reads and skips."""
 
     def __init__(self, raw, packed: bool):
-        self.raw, self.packed, self.buffer = raw, packed, b""
+        self.raw, self.packed = raw, packed
+        self.buffer, self.at = b"", 0  # what is before ``at`` has been read
         self.inflate = zlib.decompressobj(31)
 
     def _more(self) -> bool:
         data = self.inflate.unused_data if self.packed and self.inflate.eof else b""
-        data = data or self.raw.read(1 << 20)
+        data = data or self.raw.read(1 << 18)
         if not data:
             return False
         if self.packed:
             if self.inflate.eof:  # the next member
                 self.inflate = zlib.decompressobj(31)
             data = self.inflate.decompress(data)
-        self.buffer += data
+        self.buffer, self.at = self.buffer[self.at:] + data, 0
         return True
 
     def line(self) -> bytes | None:
-        while (end := self.buffer.find(b"\n")) < 0:
+        while (end := self.buffer.find(b"\n", self.at)) < 0:
             if not self._more():
                 return None
-        out, self.buffer = self.buffer[:end].rstrip(b"\r"), self.buffer[end + 1:]
-        return out
+        out, self.at = self.buffer[self.at:end], end + 1
+        return out.rstrip(b"\r")
 
-    def read(self, n: int) -> bytes:
+    def _take(self, n: int, keep: bool) -> list[bytes]:
         parts = []
-        while n > len(self.buffer):
-            parts.append(self.buffer)
-            n -= len(self.buffer)
-            self.buffer = b""
+        while n > len(self.buffer) - self.at:
+            if keep:
+                parts.append(self.buffer[self.at:])
+            n -= len(self.buffer) - self.at
+            self.buffer, self.at = b"", 0
+            if not keep and not self.packed:
+                self.raw.seek(n, 1)
+                return parts
             if not self._more():
                 raise EOFError("a record ends early")
-        parts.append(self.buffer[:n])
-        self.buffer = self.buffer[n:]
-        return b"".join(parts)
+        if keep:
+            parts.append(self.buffer[self.at:self.at + n])
+        self.at += n
+        return parts
+
+    def read(self, n: int) -> bytes:
+        return b"".join(self._take(n, True))
 
     def skip(self, n: int) -> None:
         """Pass over n bytes without keeping them."""
-        while n > len(self.buffer):
-            n -= len(self.buffer)
-            self.buffer = b""
-            if not self.packed:
-                self.raw.seek(n, 1)
-                return
-            if not self._more():
-                raise EOFError("a record ends early")
-        self.buffer = self.buffer[n:]
+        self._take(n, False)
 
 
 def records(raw, packed: bool, wanted, with_payload: bool) -> Iterator[tuple[dict[str, str], bytes | None]]:
@@ -146,7 +147,7 @@ def records(raw, packed: bool, wanted, with_payload: bool) -> Iterator[tuple[dic
         headers = {}
         while line := stream.line():
             key, _, value = line.decode("utf-8", "replace").partition(":")
-            headers[key.strip().lower()] = value.strip()
+            headers[key.lower()] = value.strip()
         length = int(headers.get("content-length", "0"))
         if not wanted(headers):
             stream.skip(length)
