@@ -30,9 +30,11 @@ def bounded_sample(labelled: DataFrame, label: str, most: int, seed: int = 5) ->
 
 def sample_texts(docs: DataFrame, sample: DataFrame, label: str, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(text, label, h) of the sampled documents: whole texts, NULL as empty, stored in one partition."""
+    """(text, label, h) of the sampled documents: whole texts, NULL as empty, in one partition by h."""
     ids = sample.select(F.col("doc_id").alias("_doc"), F.col(label).alias("_label"), "_h")
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     found = texts.join(F.broadcast(ids), F.col("_id") == F.col("_doc"))  # bounded by the sample's size
-    return stored(found.select(F.col("_text").alias("text"), F.col("_label").alias("label"), F.col("_h").alias("h"))
-                  .coalesce(1).sortWithinPartitions("h"), "sample").coalesce(1)
+    # stored first: gathering the sample in one task must not draw the scan into that task
+    sample = stored(found.select(F.col("_text").alias("text"), F.col("_label").alias("label"), F.col("_h").alias("h")),
+                    "sample")
+    return sample.coalesce(1).sortWithinPartitions("h")
