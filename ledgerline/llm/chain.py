@@ -74,8 +74,8 @@ class Chains:
         state = np.tile(first, (len(self.begin), 1))
         self.transfers = self._transfers(emit, move)
         for earlier, later in self.links:
-            row = np.einsum("ni,nij->nj", state[earlier], self.transfers[earlier]) @ move
-            state[later] = row / row.sum(axis=1, keepdims=True)
+            row = np.einsum("ni,nij->nj", state[earlier], self.transfers[earlier])
+            state[later] = (row / row.sum(axis=1, keepdims=True)) @ move
         rows = np.empty((self.total, s)) if keep else None
         logs, one = np.zeros(len(self.begin)), np.ones(s)
         for t in range(self.steps):
