@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.model import ACTIVE, DOMESTIC_CURRENCY_CODES
+from ledgerline.model import ACTIVE, DOMESTIC_CURRENCY_CODES, PASSIVE
 
 
 def ledger_code(account_number: Column | str = "account_number") -> Column:
@@ -29,11 +29,13 @@ def signed_movement(debit: Column, credit: Column, char_type: Column | str = "ch
     """Change of the balance caused by a day's turnover.
 
     Active accounts grow with debits, passive ones with credits. A missing
-    side counts as zero.
+    side counts as zero. Any other kind (a Latin letter, NULL) gives NULL,
+    never a silently chosen sign.
     """
     d = F.coalesce(debit, F.lit(0))
     c = F.coalesce(credit, F.lit(0))
-    return F.when(is_active(char_type), d - c).otherwise(c - d)
+    kind = F.col(char_type) if isinstance(char_type, str) else char_type
+    return F.when(is_active(kind), d - c).when(kind == F.lit(PASSIVE), c - d)
 
 
 def currency_class_sums(value: Column | str, domestic: Column, prefix: str) -> list[Column]:

@@ -86,12 +86,20 @@ def fill_turnover(wh: Warehouse, period: Period) -> None:
 
 
 def fill_opening(wh: Warehouse, period: Period, rate_rule: str = "exact") -> None:
-    """The seed row of every account on the opening date. Only that day's
-    partition is replaced (the source system emptied the whole mart)."""
+    """The seed row of every account on the opening date.
+
+    Balances delivered for that date count first and replace its partition
+    (the source system emptied the whole mart). Where none are delivered the
+    day must have been rolled by the run of the month before; it is left
+    alone. With neither there is nothing to start from, which is an error.
+    """
     o = bal.opening_balance(wh.read("ds", "ft_balance_f"), wh.read("ds", "md_exchange_rate_d"),
                             period.opening, rate_rule)
-    sinks.replace_days(_mart_types(o), wh.path("dm", BALANCE_MART), "on_date",
-                       period.opening, period.opening)
+    if not o.isEmpty():
+        sinks.replace_days(_mart_types(o), wh.path("dm", BALANCE_MART), "on_date",
+                           period.opening, period.opening)
+    elif not sinks.has_rows(wh.spark, wh.path("dm", BALANCE_MART), "on_date", period.opening):
+        raise ValueError(f"no balances delivered or rolled for {period.opening}")
 
 
 def _balance_mart(wh: Warehouse) -> DataFrame:
@@ -145,10 +153,11 @@ def run_fill_procedure(spark: SparkSession, landing_dir: str, warehouse: str,
 
 
 def load_to_database(spark: SparkSession, landing_dir: str, url: str, properties: dict,
-                     schema: str = "ds", drop_identical_rows: bool = True) -> dict[str, str]:
-    """Landing CSVs -> database tables, each fully refreshed. With
-    ``drop_identical_rows`` every table, postings included, loses whole-row
-    duplicates (the source system's rule for this job). Rejected rows go to
+                     schema: str = "ds", drop_identical_rows: bool | None = None) -> dict[str, str]:
+    """Landing CSVs -> database tables, each fully refreshed. Whole-row
+    duplicates are dropped by each table's own rule (postings keep theirs);
+    ``True`` drops them everywhere, the source system's rule for this job.
+    Rejected rows go to
     ``<table>_rejects`` with their reason and original text."""
     written = {}
     for entry in list_folder(spark, landing_dir):

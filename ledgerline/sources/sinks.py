@@ -18,9 +18,40 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system of the path, Path class)."""
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _swap(fs, fresh, target, aside) -> None:
+    """Put ``fresh`` in the place of ``target``; the old content is moved aside and comes back on failure."""
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"cannot move {target} aside")
+    if fs.exists(fresh) and not fs.rename(fresh, target):
+        if had:
+            fs.rename(aside, target)
+        raise OSError(f"cannot move {fresh} to {target}")
+
+
 def full_refresh(df: DataFrame, path: str) -> None:
-    """Replace the whole table (TRUNCATE + INSERT in one overwrite)."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the whole table. The rows are written next to it first, so a
+    failing write leaves the old table as it was."""
+    root, mark = path.rstrip("/"), uuid.uuid4().hex
+    fresh, aside = f"{root}-new-{mark}", f"{root}-old-{mark}"
+    df.write.parquet(fresh)
+    fs, make = _fs(df.sparkSession, root)
+    _swap(fs, make(fresh), make(root), make(aside))
+    fs.delete(make(aside), True)
+
+
+def has_rows(spark: SparkSession, path: str, column: str, day: dt.date) -> bool:
+    """Whether a day-partitioned table exists and has rows on the day."""
+    root = f"{path.rstrip('/')}/{column}={day.isoformat()}"
+    fs, make = _fs(spark, root)
+    return fs.exists(make(root)) and not spark.read.parquet(root).isEmpty()
 
 
 def refresh_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -53,9 +84,10 @@ def replace_days(df: DataFrame, path: str, column: str, first: dt.date, last: dt
 
     The rows are written (in parallel, by Spark) into a staging folder
     inside the table folder, which readers ignore (leading ``_``); then, on
-    the driver, each day's folder is swapped in or removed: metadata
-    operations only, one per day of the range. A failure part way leaves
-    every day either old or new; re-running the step completes it.
+    the driver, each day's old folder is moved into staging and the new one
+    moved in: metadata operations only, one per day of the range, each
+    checked. A refused move raises and keeps the day's old rows; staging is
+    removed only when all days are in place, so a re-run completes the step.
     """
     spark = df.sparkSession
     root = path.rstrip("/")
@@ -63,16 +95,10 @@ def replace_days(df: DataFrame, path: str, column: str, first: dt.date, last: dt
     rows = df.where(F.col(column).between(F.lit(first), F.lit(last)))
     rows.sortWithinPartitions(column).write.mode("overwrite").partitionBy(column).parquet(staging)
 
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, make = _fs(spark, root)
     day = first
     while day <= last:
         name = f"{column}={day.isoformat()}"
-        target, fresh = Path(f"{root}/{name}"), Path(f"{staging}/{name}")
-        if fs.exists(target):
-            fs.delete(target, True)
-        if fs.exists(fresh):
-            fs.rename(fresh, target)
+        _swap(fs, make(f"{staging}/{name}"), make(f"{root}/{name}"), make(f"{staging}/_old-{name}"))
         day += dt.timedelta(days=1)
-    fs.delete(Path(staging), True)
+    fs.delete(make(staging), True)
