@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import stored, word_count
 
 #: Documents per permutation bucket: what one window task sorts, whatever the source's size.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 2_000
 #: Rounds in which every source still short of its target gets one more best-fitting document.
 FILL_ROUNDS = 4
 
