@@ -34,6 +34,8 @@ from ledgerline.llm.common import ship, stored
 WORDS, BANDS, ROWS = 5, 40, 7
 #: Elements of texts whose darts are thrown together.
 STEP_ELEMENTS = 150_000
+#: Most row numbers that are broadcast.
+SENT_ROWS = 2_000_000
 _GOLD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _COORDINATE, _PLACE, _UNIT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
@@ -177,22 +179,27 @@ def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sets(docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
-    """row, elements (sorted 64-bit hashes as bytes) of the given rows, stored."""
+    """row, elements (array of 64-bit hashes) of the given rows, stored.
+
+    Up to ``SENT_ROWS`` row numbers are sent to the scan's tasks (8 bytes each); beyond that the join shuffles.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for texts in _steps(batch.column("text")):
                 element, owner = shingles(texts)
-                edge = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))]).tolist()
-                parts = [element[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(at, len(texts)),
-                                                  pa.array(parts, pa.binary())], names=["row", "elements"])
+                edge = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
+                lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(_signed(element)))
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(at, len(texts)), lists],
+                                                 names=["row", "elements"])
                 at += len(texts)
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"),
                            F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = numbered.join(rows.select(F.col("row").alias("r")), F.col("row") == F.col("r"), "left_semi")
-    return stored(found.mapInArrow(run, "row bigint, elements binary"), "near-sets")
+    rows = stored(rows.select(F.col("row").alias("r")), "near-involved")
+    rows = F.broadcast(rows) if rows.count() <= SENT_ROWS else rows
+    found = numbered.join(rows, F.col("row") == F.col("r"), "left_semi")
+    return stored(found.mapInArrow(run, "row bigint, elements array<bigint>"), "near-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -201,7 +208,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                x, y = x.values.to_numpy(), y.values.to_numpy()
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good[i] = both >= least * (len(x) + len(y) - both) - 1e-9
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)),
@@ -273,14 +280,23 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     pivot_label = label.withColumnRenamed("l_row", "pl_row").withColumnRenamed("label", "pl")
     placed = stored(placed.join(pivot_label, F.col("pivot") == F.col("pl_row"), "left").select(
         "bucket", "row", "n", "own", F.coalesce("pl", "pivot").alias("main"), "pivot"), "near-placed")
-    # outside the pivot's component: compared with every member of another component but the pivot, done above
+    # outside the pivot's component: compared with every member of another component but the pivot, done above.
+    # The comparison is the join's condition, so only links leave it.
+    x, y = sets.select(F.col("row").alias("x_row"), F.col("elements").alias("x")), sets.select(
+        F.col("row").alias("y_row"), F.col("elements").alias("y"))
     outside = placed.where("own <> main").select(
         F.col("bucket").alias("o_bucket"), F.col("row").alias("o_row"), F.col("n").alias("o_n"),
         F.col("own").alias("o_own"))
-    rest = placed.where("row <> pivot").join(
+    open_buckets = stored(outside.select("o_bucket").distinct(), "near-open")
+    inside = placed.where("row <> pivot").join(open_buckets, F.col("bucket") == F.col("o_bucket"), "left_semi")
+    inside = stored(inside.join(x, F.col("row") == F.col("x_row")).drop("x_row", "pivot"), "near-inside")
+    outside = stored(outside.join(y, F.col("o_row") == F.col("y_row")).drop("y_row"), "near-outside")
+    both = F.size(F.array_intersect("x", "y"))
+    more = inside.join(
         outside, (F.col("bucket") == F.col("o_bucket")) & (F.col("own") != F.col("o_own"))
-        & ((F.col("own") == F.col("main")) | (F.col("row") < F.col("o_row"))) & ratio(F.col("n"), F.col("o_n")))
-    more = _verified(rest.select(F.least("row", "o_row").alias("a"), F.greatest("row", "o_row").alias("b")), sets, least)
+        & ((F.col("own") == F.col("main")) | (F.col("row") < F.col("o_row"))) & ratio(F.col("n"), F.col("o_n"))
+        & (both >= least * (F.col("n") + F.col("o_n") - both) - 1e-9))
+    more = more.select(F.least("row", "o_row").alias("a"), F.greatest("row", "o_row").alias("b"))
 
     final = components(links.unionByName(more)).withColumnRenamed("row", "l_row")
     of_node = stored(copies.join(final, F.col("node") == F.col("l_row"), "left").select(
@@ -298,6 +314,6 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents whose row is kept, with the columns of ``docs`` (a stored table)."""
-    kept = near_duplicates(docs, **options).where("kept").select(F.col("row").alias("_keep"))
+    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("row").alias("_gone"))
     numbered = docs.withColumn("_row_here", F.monotonically_increasing_id())
-    return numbered.join(kept, F.col("_row_here") == F.col("_keep"), "left_semi").drop("_row_here")
+    return numbered.join(stored(gone, "near-gone"), F.col("_row_here") == F.col("_gone"), "left_anti").drop("_row_here")
