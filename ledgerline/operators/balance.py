@@ -90,9 +90,11 @@ def daily_balance(accounts: DataFrame, opening: DataFrame, turnover: DataFrame,
     out(d) = opening + sum of signed turnover up to d (active: debit minus
     credit, passive: credit minus debit); the rouble balance rolls the
     rouble turnover the same way from the rouble opening. A missing opening
-    counts as 0. ``turnover``/``rates`` as in :func:`movements`. Contract:
-    at most one version of an account overlaps the period (the account
-    master is kept per month); its validity may start or end inside it.
+    counts as 0. ``turnover``/``rates`` as in :func:`movements`. An account
+    may have any number of versions in the period, with gaps between them;
+    they must not overlap. The balance is rolled once per account over all
+    its versions, each day's movement signed by the version valid that day,
+    and every version shows its own days; a gap shows none.
 
     Plan: accounts + opening + turnover meet in one join on account_rk (the
     turnover keeps only days with movement), a running sum per account
@@ -111,22 +113,28 @@ def daily_balance(accounts: DataFrame, opening: DataFrame, turnover: DataFrame,
         F.coalesce("_open_rub", F.lit(0)).alias("_open_rub"))
     mv = movements(base, turnover, rates)
 
-    w = Window.partitionBy("account_rk").orderBy("on_date")
+    # both windows use the join's partitioning and one sort
+    w = Window.partitionBy("account_rk").orderBy("first_day", "on_date")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    of_version = Window.partitionBy("account_rk", "first_day").orderBy("on_date")
+    moved = signed_movement(F.col("debet_amount"), F.col("credit_amount"))
+    moved_rub = signed_movement(F.col("debet_amount_rub"), F.col("credit_amount_rub"))
     rolled = mv.select(
         "account_rk", "first_day", "last_day", "_open", "_open_rub", "on_date",
-        F.sum(signed_movement(F.col("debet_amount"), F.col("credit_amount"))).over(upto).alias("_cum"),
-        F.sum(signed_movement(F.col("debet_amount_rub"), F.col("credit_amount_rub"))).over(upto)
-        .alias("_cum_rub"),
-        F.lead("on_date").over(w).alias("_next"),
-        F.row_number().over(w).alias("_k"))
+        F.sum(moved).over(upto).alias("_cum"), F.sum(moved_rub).over(upto).alias("_cum_rub"),
+        F.coalesce(F.sum(moved).over(before), F.lit(0)).alias("_prior"),
+        F.coalesce(F.sum(moved_rub).over(before), F.lit(0)).alias("_prior_rub"),
+        F.lead("on_date").over(of_version).alias("_next"),
+        F.row_number().over(of_version).alias("_k"))
 
     until = lambda c: F.coalesce(F.date_sub(c, 1), F.col("last_day"))
     segments = F.array(
-        # days before the first movement carry the opening balance
+        # days of a version before its first movement carry the balance so far
         F.struct(F.when(F.col("_k") == 1, F.col("first_day")).alias("d0"),
                  until(F.col("on_date")).alias("d1"),
-                 F.col("_open").alias("v"), F.col("_open_rub").alias("v_rub")),
+                 (F.col("_open") + F.col("_prior")).alias("v"),
+                 (F.col("_open_rub") + F.col("_prior_rub")).alias("v_rub")),
         # a movement day and the quiet days after it carry the running total
         F.struct(F.col("on_date").alias("d0"), until(F.col("_next")).alias("d1"),
                  (F.col("_open") + F.col("_cum")).alias("v"),

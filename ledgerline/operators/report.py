@@ -3,7 +3,7 @@ J6, W3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import lit_date
@@ -67,9 +67,11 @@ def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
     balance is rolled here from opening and turnover (the same recurrence as
     the mart).
 
-    Turnover is summed per account before the accounts meet their opening
-    balance, so each account contributes its balances once, whatever the
-    number of its movement days. An account without turnover keeps NULL
+    Turnover is summed per account version before the accounts meet their
+    opening balance, so each account contributes its balances once, whatever
+    the number of its movement days and versions: the opening counts under
+    the first version valid in the period, the closing balance under the
+    last (0 under the others), turnover under the version valid that day. An account without turnover keeps NULL
     turnover: its class column adds nothing, the other class column adds 0,
     the total stays NULL if no account of the ledger moved. The per-ledger
     sums are combined map-side, so a ledger holding most accounts is no hot
@@ -80,11 +82,16 @@ def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
             "ledger_account", "characteristic", "first_day", "last_day"]
     base = acc.select(*keys)
     mv = movements(base, in_period(turnover, "on_date", period), rates)
-    # grouped on the join key (plus attributes of the account): no shuffle
+    # grouped, and rolled, on the join key (plus attributes of the account): no shuffle
     per_account = mv.groupBy(*keys).agg(F.sum("debet_amount_rub").alias("_deb"),
                                         F.sum("credit_amount_rub").alias("_cre"))
     bin_ = opening.select("account_rk", F.col("balance_out_rub").alias("_in"))
-    rows = per_account.join(bin_, "account_rk", "left")
+    versions = Window.partitionBy("account_rk").orderBy("first_day")
+    upto = versions.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = per_account.join(bin_, "account_rk", "left").select(
+        "*", (F.row_number().over(versions) == 1).alias("_first"),
+        F.lead("first_day").over(versions).isNull().alias("_last"),
+        F.sum(signed_movement(F.col("_deb"), F.col("_cre"))).over(upto).alias("_moved"))
     if closing is not None:
         # the balance of the account's last valid day in the period
         bout = in_period(closing, "on_date", period).select(
@@ -92,8 +99,9 @@ def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
         rows = rows.join(bout, ["account_rk", "last_day"], "left")
     else:
         rows = rows.withColumn(
-            "_out", F.coalesce(F.col("_in"), F.lit(0))
-            + signed_movement(F.col("_deb"), F.col("_cre")))
+            "_out", F.coalesce(F.col("_in"), F.lit(0)) + F.col("_moved"))
+    rows = (rows.withColumn("_in", F.when(F.col("_first"), F.col("_in")))
+            .withColumn("_out", F.when(F.col("_last"), F.col("_out")).otherwise(F.lit(0))))
     dom = is_domestic("currency_code")
     measures = (currency_class_sums("_in", dom, "balance_in")
                 + currency_class_sums("_deb", dom, "turn_deb")

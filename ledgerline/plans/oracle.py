@@ -16,7 +16,24 @@ def _d(x) -> str:
     return f"DATE '{x.isoformat()}'"
 
 
-def views(p: Period) -> str:
+def _versioned(p: Period) -> str:
+    """The account view of the queries on several account versions."""
+    at = [_d(p.start.fromordinal(p.start.toordinal() + n)) for n in (14, 15, 20)]
+    split = f"account_rk % 15 = 0 AND data_actual_date = {_d(p.start)}"
+    return f""",
+account AS (
+  SELECT * FROM account_once WHERE NOT ({split})
+  UNION ALL
+  SELECT * REPLACE ({at[0]} AS data_actual_end_date) FROM account_once WHERE {split}
+  UNION ALL
+  SELECT * REPLACE (CASE WHEN account_rk % 2 = 0 THEN {at[2]} ELSE {at[1]} END AS data_actual_date,
+                    CASE WHEN account_rk % 45 = 0 THEN '30302' || substr(account_number, 6)
+                         ELSE account_number END AS account_number)
+  FROM account_once WHERE {split}
+)"""
+
+
+def views(p: Period, versions: bool = False) -> str:
     seg = " ".join(f"WHEN '{s}' THEN {30101 + i}" for i, s in enumerate(MARKET_SEGMENTS))
     ccy = "CASE {k} WHEN 0 THEN '643' WHEN 1 THEN '810' ELSE CAST({k} + 100 AS VARCHAR) END"
     prev_end = p.opening.fromordinal(p.opening.toordinal() - 1)
@@ -38,13 +55,13 @@ acc_parts AS (
          {_d(p.start)}, {_d(p.end)}, CAST((n_nationkey + 1) * 1000 AS DECIMAL(18,2))
   FROM nation
 ),
-account AS (
+{'account_once' if versions else 'account'} AS (
   SELECT data_actual_date, data_actual_end_date, account_rk,
          CAST(ledger_account AS VARCHAR) || code || lpad(CAST(account_rk AS VARCHAR), 12, '0') AS account_number,
          CASE WHEN ledger_account % 2 = 1 THEN '{ACTIVE}' ELSE '{PASSIVE}' END AS char_type,
          currency_rk, code AS currency_code
   FROM (SELECT *, {ccy.format(k='currency_rk')} AS code FROM acc_parts) t
-),
+){_versioned(p) if versions else ''},
 balance AS (
   SELECT {_d(p.opening)} AS on_date, account_rk, currency_rk, opening_amount AS balance_out
   FROM acc_parts
@@ -93,7 +110,9 @@ opening AS (
 ),
 valid_account AS (
   SELECT *, greatest(data_actual_date, {_d(p.start)}) AS first_day,
-         least(data_actual_end_date, {_d(p.end)}) AS last_day
+         least(data_actual_end_date, {_d(p.end)}) AS last_day,
+         row_number() OVER (PARTITION BY account_rk ORDER BY data_actual_date) = 1 AS is_first,
+         row_number() OVER (PARTITION BY account_rk ORDER BY data_actual_date DESC) = 1 AS is_last
   FROM account
   WHERE data_actual_date <= {_d(p.end)} AND data_actual_end_date >= {_d(p.start)}
 ),
@@ -146,13 +165,16 @@ form101 AS (
          {_class_sums('o.balance_out_rub', 'balance_in')},
          {_class_sums('t.deb', 'turn_deb')},
          {_class_sums('t.cre', 'turn_cre')},
-         {_class_sums('c.balance_out_rub', 'balance_out')}
+         {_class_sums('CASE WHEN a.is_last THEN c.balance_out_rub ELSE 0 END', 'balance_out')}
   FROM valid_account a
   JOIN ledger l ON l.ledger_account = CAST(substr(a.account_number, 1, 5) AS INTEGER)
-  LEFT JOIN opening o ON o.account_rk = a.account_rk
-  LEFT JOIN (SELECT account_rk, sum(debet_amount_rub) AS deb, sum(credit_amount_rub) AS cre
-             FROM turnover_fx GROUP BY account_rk) t ON t.account_rk = a.account_rk
-  LEFT JOIN daily_balance c ON c.account_rk = a.account_rk AND c.on_date = {_d(p.end)}
+  LEFT JOIN opening o ON o.account_rk = a.account_rk AND a.is_first
+  LEFT JOIN (SELECT v.account_rk, v.first_day, sum(f.debet_amount_rub) AS deb, sum(f.credit_amount_rub) AS cre
+             FROM turnover_fx f JOIN valid_account v
+               ON v.account_rk = f.account_rk AND f.on_date BETWEEN v.first_day AND v.last_day
+             GROUP BY v.account_rk, v.first_day) t
+    ON t.account_rk = a.account_rk AND t.first_day = a.first_day
+  LEFT JOIN daily_balance c ON c.account_rk = a.account_rk AND c.on_date = a.last_day
   GROUP BY l.chapter, l.ledger_account, l.characteristic
 )"""
 
@@ -170,6 +192,10 @@ FORM101_COLUMNS = (
     "turn_cre_rub, turn_cre_val, turn_cre_total, balance_out_rub, balance_out_val, balance_out_total")
 
 
+#: Queries over the account view with several versions.
+VERSIONED = {"account_versions_balance", "form101_versions"}
+
+
 def _bodies(p: Period) -> dict[str, str]:
     mid = p.start.replace(day=15)
     return {
@@ -237,7 +263,11 @@ def _bodies(p: Period) -> dict[str, str]:
             FROM balance b
             WHERE b.on_date = {_d(p.opening)}
               AND NOT EXISTS (SELECT 1 FROM valid_account a WHERE a.account_rk = b.account_rk)""",
+        "account_versions_balance": """
+            SELECT on_date, account_rk, CAST(balance_out AS DOUBLE) AS balance_out,
+                   CAST(balance_out_rub AS DOUBLE) AS balance_out_rub FROM daily_balance""",
         "form101": f"SELECT {FORM101_COLUMNS} FROM form101",
+        "form101_versions": f"SELECT {FORM101_COLUMNS} FROM form101",
         "report_roundtrip": f"SELECT {FORM101_COLUMNS} FROM form101",
         "run_log_status": """
             SELECT o_orderkey AS log_id, o_orderdate AS start_time,
@@ -253,5 +283,4 @@ def _bodies(p: Period) -> dict[str, str]:
 
 
 def oracle_queries(p: Period = DEFAULT_PERIOD) -> dict[str, str]:
-    head = "WITH " + views(p).strip()
-    return {k: f"{head}\n{body.strip()}" for k, body in _bodies(p).items()}
+    return {k: f"WITH {views(p, k in VERSIONED).strip()}\n{body.strip()}" for k, body in _bodies(p).items()}

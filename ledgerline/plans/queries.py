@@ -63,10 +63,12 @@ def _materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 class Model:
-    """The banking tables of one period over one driver-table folder."""
+    """The banking tables of one period over one driver-table folder;
+    ``versions``: part of the accounts have two versions in the period."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD):
-        self.spark, self.period = spark, period
+    def __init__(self, spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD,
+                 versions: bool = False):
+        self.spark, self.period, self.versions = spark, period, versions
         self.db = fx.DriverTables.shared(spark, sf_dir)
         self._views: dict[str, DataFrame] = {}
 
@@ -76,7 +78,8 @@ class Model:
 
     @_once
     def accounts(self) -> DataFrame:
-        return fx.accounts(self.db, self.period, self.account_parts())
+        a = fx.accounts(self.db, self.period, self.account_parts())
+        return fx.versioned(a, self.period) if self.versions else a
 
     @_once
     def balances(self) -> DataFrame:
@@ -267,6 +270,12 @@ def q_daily_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_out(b, ["balance_out", "balance_out_rub"])
 
 
+def q_account_versions_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-forward when accounts have several versions in the period."""
+    b = Model(spark, sf_dir, versions=True).daily_balance()
+    return _money_out(b, ["balance_out", "balance_out_rub"])
+
+
 # --- step 5: ledger, orphans, report ---------------------------------------
 
 def q_ledger_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +294,11 @@ def q_form101(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_out(Model(spark, sf_dir).form101(), REPORT_MEASURES)
 
 
+def q_form101_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form 101 when accounts have several versions, also under two ledgers."""
+    return _money_out(Model(spark, sf_dir, versions=True).form101(), REPORT_MEASURES)
+
+
 # --- step 6: export / re-import, journal -----------------------------------
 
 def q_report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,9 +342,11 @@ QUERIES: dict[str, Query] = {
     "daily_turnover": q_daily_turnover,
     "turnover_fx": q_turnover_fx,
     "daily_balance": q_daily_balance,
+    "account_versions_balance": q_account_versions_balance,
     "ledger_assign": q_ledger_assign,
     "orphan_balances": q_orphan_balances,
     "form101": q_form101,
+    "form101_versions": q_form101_versions,
     "report_roundtrip": q_report_roundtrip,
     "run_log_status": q_run_log_status,
     "posting_stream_ingest": q_posting_stream_ingest,

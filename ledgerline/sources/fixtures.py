@@ -133,6 +133,30 @@ def accounts(db: DriverTables, period: Period, parts: DataFrame | None = None) -
         "currency_rk", code.alias("currency_code"))
 
 
+def versioned(accounts: DataFrame, period: Period) -> DataFrame:
+    """md_account_d with two versions of every fifth customer account inside the period.
+
+    The first version ends on the 15th; the next starts on the 16th, or on
+    the 21st for even keys (a gap). Every third of these moves to the
+    foreign reserve ledger with its second version.
+    """
+    start, end = lit_date(period.start), lit_date(period.end)
+    key, number = F.col("account_rk"), F.col("account_number")
+
+    def version(first, last, text):
+        return F.struct(first.alias("data_actual_date"), last.alias("data_actual_end_date"),
+                        text.alias("account_number"))
+
+    resumed = F.when(key % 2 == 0, F.date_add(start, 20)).otherwise(F.date_add(start, 15))
+    moved = F.when(key % 45 == 0, F.concat(F.lit(str(RESERVE_LEDGER_FOREIGN)), F.substring(number, 6, 100))
+                   ).otherwise(number)
+    split = (key % 15 == 0) & (F.col("data_actual_date") == start)
+    versions = F.when(split, F.array(version(start, F.date_add(start, 14), number), version(resumed, end, moved))
+                      ).otherwise(F.array(version(F.col("data_actual_date"), F.col("data_actual_end_date"), number)))
+    rest = [c for c in accounts.columns if c not in ("data_actual_date", "data_actual_end_date", "account_number")]
+    return accounts.select(*rest, F.inline(versions)).select(*accounts.columns)
+
+
 def opening_balances(db: DriverTables, period: Period, parts: DataFrame | None = None) -> DataFrame:
     """ft_balance_f: on_date, account_rk, currency_rk, balance_out."""
     p = parts if parts is not None else _account_parts(db, period)
