@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import cast_date, parse_date
-from ledgerline.sources.specs import TableSpec
+from ledgerline.sources.specs import RAW_LINE, TableSpec
 
 REJECT_REASON = "_reject_reason"
 
@@ -22,15 +22,19 @@ def _parsed(spec: TableSpec) -> dict[str, Column]:
 PARSED = "_parsed_"  # prefix of the hidden parsed-date columns of a staged table
 
 
-def reject_reason(spec: TableSpec, parsed: dict[str, Column] | None = None) -> Column:
-    """'' for a good row, else a comma list of ``bad_date:<col>`` and
-    ``missing:<col>``, evaluated on the raw row."""
+def reject_reason(spec: TableSpec, parsed: dict[str, Column] | None = None,
+                  raw_line: bool = False) -> Column:
+    """'' for a good row, else a comma list of ``bad_value`` (a malformed
+    field or number of fields; only with ``raw_line``), ``bad_date:<col>``,
+    ``missing:<col>`` and ``bad_code:<col>``, evaluated on the raw row."""
     parsed = parsed or _parsed(spec)
-    checks = []
+    checks = [F.when(F.col(RAW_LINE).isNotNull(), F.lit("bad_value"))] if raw_line else []
     for c in spec.date_columns:
         checks.append(F.when(F.col(c).isNotNull() & parsed[c].isNull(), F.lit(f"bad_date:{c}")))
     for c in spec.required:
         checks.append(F.when(F.col(c).isNull(), F.lit(f"missing:{c}")))
+    for c, values in spec.allowed.items():
+        checks.append(F.when(~F.col(c).isin(*values), F.lit(f"bad_code:{c}")))
     return F.concat_ws(",", *checks) if checks else F.lit("")
 
 
@@ -41,7 +45,7 @@ def stage(raw: DataFrame, spec: TableSpec) -> DataFrame:
     hidden = {f"{PARSED}{c}": e for c, e in _parsed(spec).items()}
     staged = raw.withColumns(hidden)
     parsed = {c: F.col(f"{PARSED}{c}") for c in spec.date_columns}
-    return staged.withColumn(REJECT_REASON, reject_reason(spec, parsed))
+    return staged.withColumn(REJECT_REASON, reject_reason(spec, parsed, RAW_LINE in raw.columns))
 
 
 def accept(staged: DataFrame, spec: TableSpec) -> DataFrame:
@@ -52,8 +56,8 @@ def accept(staged: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def reject(staged: DataFrame) -> DataFrame:
-    """The rejected rows with their reason; fields keep the text they
-    arrived with, so a bad date can be read and corrected."""
+    """The rejected rows with their reason. Dates keep the text they arrived
+    with, and a malformed line is kept whole, so it can be corrected."""
     bad = staged.where(F.col(REJECT_REASON) != "")
     return bad.drop(*[c for c in staged.columns if c.startswith(PARSED)])
 

@@ -231,6 +231,17 @@ def _bodies(p: Period) -> dict[str, str]:
             UNION ALL SELECT 'md_currency_d', count(*), count(*), 0 FROM nation
             UNION ALL SELECT 'md_exchange_rate_d', (SELECT count(*) FROM rate_raw), count(*), 0 FROM rate
             UNION ALL SELECT 'md_ledger_account_s', count(*), count(*), 0 FROM ledger""",
+        "ingest_rejects": """
+            SELECT 'ft_posting_f' AS table_name, reason, count(*) AS n
+            FROM (SELECT CASE (credit_account_rk // 3) % 50
+                           WHEN 0 THEN 'bad_date:oper_date' WHEN 1 THEN 'bad_value,missing:credit_account_rk'
+                           WHEN 2 THEN 'bad_value' WHEN 3 THEN 'bad_value' WHEN 4 THEN 'bad_value'
+                           WHEN 5 THEN 'missing:credit_account_rk' END AS reason FROM posting) p
+            WHERE reason IS NOT NULL GROUP BY reason
+            UNION ALL
+            SELECT 'md_account_d', 'bad_code:char_type', count(*) FROM account
+            WHERE account_rk % 21 = 0 HAVING count(*) > 0
+            UNION ALL SELECT 'notes.csv', 'unknown_file', 1""",
         "full_refresh": "SELECT * FROM account",
         "dedupe_rows": "SELECT DISTINCT * FROM (SELECT * FROM account UNION ALL SELECT * FROM account) u",
         "mart_day_refresh": f"""

@@ -29,13 +29,12 @@ from ledgerline.model import RUN_STATUSES, Period
 from ledgerline.operators import balance as bal
 from ledgerline.operators import report as rep
 from ledgerline.operators import turnover as tov
-from ledgerline.operators.conform import conform, dedupe
+from ledgerline.operators.conform import Conformed, conform, dedupe
 from ledgerline.operators.runlog import RunJournal
 from ledgerline.sources import csv as csvio
 from ledgerline.sources import jdbc, sinks
-from ledgerline.sources.files import file_stem, list_folder
 from ledgerline.sources.ingest import ingest_folder, load_detail_store
-from ledgerline.sources.specs import REGISTRY, REPORT, REPORT_KEYS
+from ledgerline.sources.specs import REPORT, REPORT_KEYS
 
 (ETL_START, ETL_END, TURNOVER_START, TURNOVER_END, BALANCE_START, BALANCE_END,
  EXTRACT_START, EXTRACT_END, LOAD_START, LOAD_END) = RUN_STATUSES
@@ -160,12 +159,8 @@ def load_to_database(spark: SparkSession, landing_dir: str, url: str, properties
     Rejected rows go to
     ``<table>_rejects`` with their reason and original text."""
     written = {}
-    for entry in list_folder(spark, landing_dir):
-        spec = REGISTRY.get(file_stem(entry))
-        if spec is None:
-            continue
-        raw = csvio.read_typed(spark, f"{landing_dir.rstrip('/')}/{entry}", spec)
-        c = conform(raw, spec)
+    for c in ingest_folder(spark, landing_dir).tables.values():
+        spec = c.spec
         table = f"{schema}.{spec.name}"
         jdbc.refresh_table(dedupe(c.accepted, spec, identical_rows=drop_identical_rows),
                            url, table, properties)
@@ -189,9 +184,14 @@ def extract_report(spark: SparkSession, report: DataFrame, out_dir: str,
             work()
 
 
+def conform_report_csv(spark: SparkSession, path: str) -> Conformed:
+    """The (possibly hand-edited) report CSV: good rows, typed, and rejects."""
+    return conform(csvio.read_typed(spark, path, REPORT), REPORT)
+
+
 def read_report_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The (possibly hand-edited) report CSV, typed; dates cast."""
-    return conform(csvio.read_typed(spark, path, REPORT), REPORT).table
+    """The good rows of the report CSV, typed; dates cast."""
+    return conform_report_csv(spark, path).table
 
 
 def load_report(spark: SparkSession, csv_path: str, warehouse: str,
@@ -201,12 +201,15 @@ def load_report(spark: SparkSession, csv_path: str, warehouse: str,
     ``replace_period`` (default): each (from_date, to_date) period in the
     file replaces the same period in the table, so a daily re-run does not
     duplicate rows. ``append``: the source system's behaviour, every run
-    adds its rows."""
+    adds its rows. Lines that do not fit the report go, with their reason
+    and text, to rejects/f101_round_f_v2, replaced by every load."""
     if mode not in ("replace_period", "append"):
         raise ValueError(f"unknown mode {mode!r}")
 
     def work():
-        df = read_report_csv(spark, csv_path).select(*REPORT.columns)
+        found = conform_report_csv(spark, csv_path)
+        sinks.full_refresh(found.rejects, sinks.table_path(warehouse, "rejects", REPORT_V2))
+        df = found.table.select(*REPORT.columns)
         path, keys = sinks.table_path(warehouse, "dm", REPORT_V2), list(REPORT_KEYS[:2])
         if mode == "append":
             sinks.append(df, path, keys)

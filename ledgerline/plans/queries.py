@@ -214,6 +214,45 @@ def q_ingest_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_folder(spark, folder).counts()
 
 
+def write_damaged_landing(m: Model, folder: str) -> None:
+    """Postings in two deliveries and accounts, some lines damaged by their
+    account key, and a file of no known table.
+
+    Postings, by credit customer modulo 50: 0 a date in another pattern, 1 a
+    letter in the key, 2 a word for the amount, 3 the last field missing, 4 a
+    field too many, 5 no key. Accounts of every seventh customer: Latin A.
+    """
+    def lines(df: DataFrame, spec, path: str) -> None:
+        # one column holding whole lines: the writer must not mend them
+        header = spec.sep.join(spec.columns)
+        (df.toDF(header).write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path))
+
+    key, kind = F.col("credit_account_rk"), (F.col("credit_account_rk") / 3).cast("bigint") % 50
+    day = F.when(kind == 0, render_date("oper_date", DOTTED_DATE)).otherwise(render_date("oper_date", DASHED_DATE))
+    credit = (F.when(kind == 1, F.concat(F.lit("x"), key)).when(kind == 5, F.lit(""))
+              .otherwise(key.cast("string")))
+    amount = F.when(kind == 2, F.lit("abc")).otherwise(F.col("credit_amount").cast("string"))
+    debit_amount = F.col("debet_amount").cast("string")
+    line = F.concat_ws(";", day, credit, F.col("debet_account_rk").cast("string"), amount,
+                       F.when(kind != 3, debit_amount), F.when(kind == 4, F.lit("1")))
+    postings = m.postings()
+    for n in (1, 2):
+        part = postings.where(F.col("debet_account_rk") % 2 == n - 1)
+        lines(part.select(line), POSTING, f"{folder}/{POSTING.name}.{n}.csv")
+    latin = (F.col("account_rk") % 21 == 0)
+    accounts = m.accounts().withColumn("char_type", F.when(latin, F.lit("A")).otherwise(F.col("char_type")))
+    csvio.write_delimited(csvio.to_source_layout(accounts, ACCOUNT), f"{folder}/{ACCOUNT.name}.csv", sep=ACCOUNT.sep)
+    csvio.write_delimited(m.currencies(), f"{folder}/notes.csv")
+
+
+def q_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows of a damaged landing folder by table and reason."""
+    m = Model(spark, sf_dir)
+    folder = shared_dir(spark, "landing-damaged")
+    write_damaged_landing(m, folder)
+    return ingest_folder(spark, folder).reject_counts(spark)
+
+
 def q_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Model(spark, sf_dir)
     path = shared_dir(spark, "refresh") + "/ds/md_account_d"
@@ -335,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "csv_string_scan": q_csv_string_scan,
     "parse_dates": q_parse_dates,
     "ingest_row_counts": q_ingest_row_counts,
+    "ingest_rejects": q_ingest_rejects,
     "full_refresh": q_full_refresh,
     "dedupe_rows": q_dedupe_rows,
     "mart_day_refresh": q_mart_day_refresh,

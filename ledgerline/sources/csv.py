@@ -6,20 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import render_date
-from ledgerline.sources.specs import TableSpec
+from ledgerline.sources.specs import RAW_LINE, TableSpec
 
 
-def read_typed(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """Declared-schema scan: header skipped, columns by position.
+def typed_options(spec: TableSpec) -> dict[str, str]:
+    """Reader options of a declared-schema scan; the number of fields is
+    checked whatever columns a query selects."""
+    return {"header": "true", "sep": spec.sep, "mode": "PERMISSIVE", "encoding": "UTF-8",
+            "columnNameOfCorruptRecord": RAW_LINE, "columnPruning": "false"}
 
-    A field that does not fit its type becomes NULL (PERMISSIVE); the
-    conform step counts such rows. No schema inference, so the scan is a
-    single pass and columns not selected later are pruned.
+
+def every_field_checked(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The scan with a ``RAW_LINE`` that depends on all typed columns.
+
+    The reader converts only the columns a query needs and marks a line only
+    for those, so a count could accept a line that a full read rejects. The
+    condition always holds; it keeps the typed columns in the scan.
+    """
+    typed = [f.name for f in spec.schema.fields if f.dataType.typeName() != "string"]
+    return df.withColumn(RAW_LINE, F.when(F.xxhash64(*typed) % 2 < 2, F.col(RAW_LINE))) if typed else df
+
+
+def read_typed(spark: SparkSession, path: str | list[str], spec: TableSpec) -> DataFrame:
+    """Declared-schema scan: header skipped, columns by position; one path
+    or several of one table.
+
+    A field that does not fit its type, or a wrong number of fields, leaves
+    the whole line in ``RAW_LINE``; the conform step rejects such rows. No
+    schema inference, so the scan is a single pass.
     """
-    return (spark.read.schema(spec.schema)
-            .option("header", True).option("sep", spec.sep)
-            .option("mode", "PERMISSIVE").option("encoding", "UTF-8")
-            .csv(path))
+    return every_field_checked(spark.read.schema(spec.scan_schema).options(**typed_options(spec)).csv(path), spec)
 
 
 def read_text_columns(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:

@@ -51,20 +51,37 @@ class IngestResult:
             F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"),
             F.sum("rows_rejected").alias("rows_rejected"))
 
+    def reject_counts(self, spark: SparkSession) -> DataFrame:
+        """table_name, reason, n (bigint): rejected rows by reason, and each
+        file of no known table with the reason ``unknown_file``."""
+        parts = [c.staged.where(F.col(REJECT_REASON) != "").select(
+            F.lit(name).alias("table_name"), F.col(REJECT_REASON).alias("reason"))
+            for name, c in sorted(self.tables.items())]
+        parts += [spark.range(1).select(F.lit(entry).alias("table_name"), F.lit("unknown_file").alias("reason"))
+                  for entry in self.unknown]
+        return reduce(DataFrame.unionByName, parts).groupBy("table_name", "reason").agg(F.count("*").alias("n"))
 
-def ingest_folder(spark: SparkSession, folder: str,
-                  registry: dict[str, TableSpec] = REGISTRY) -> IngestResult:
-    result = IngestResult()
+
+def deliveries(spark: SparkSession, folder: str,
+               registry: dict[str, TableSpec] = REGISTRY) -> tuple[dict[str, list[str]], list[str]]:
+    """Paths by table name, and the entries that belong to no table. All
+    files and folders with a table's stem are deliveries of that table."""
+    paths: dict[str, list[str]] = {}
+    unknown = []
     for entry in list_folder(spark, folder):
         spec = registry.get(file_stem(entry))
         if spec is None:
-            result.unknown.append(entry)
-            continue
-        if spec.name in result.tables:
-            raise ValueError(f"two files for table {spec.name} in {folder}")
-        raw = read_typed(spark, f"{folder.rstrip('/')}/{entry}", spec)
-        result.tables[spec.name] = conform(raw, spec)
-    return result
+            unknown.append(entry)
+        else:
+            paths.setdefault(spec.name, []).append(f"{folder.rstrip('/')}/{entry}")
+    return paths, unknown
+
+
+def ingest_folder(spark: SparkSession, folder: str,
+                  registry: dict[str, TableSpec] = REGISTRY) -> IngestResult:
+    paths, unknown = deliveries(spark, folder, registry)
+    specs = {s.name: s for s in registry.values()}
+    return IngestResult({n: conform(read_typed(spark, p, specs[n]), specs[n]) for n, p in paths.items()}, unknown)
 
 
 def load_detail_store(result: IngestResult, warehouse: str) -> dict[str, str]:

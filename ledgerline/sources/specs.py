@@ -14,7 +14,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-from ledgerline.model import DASHED_DATE, DOTTED_DATE, ISO_DATE, MONEY, RATE
+from ledgerline.model import ACTIVE, DASHED_DATE, DOTTED_DATE, ISO_DATE, MONEY, PASSIVE, RATE
+
+
+#: Scan column with the text of a line whose fields do not fit their types or number.
+RAW_LINE = "_raw_line"
 
 
 @dataclass(frozen=True)
@@ -26,6 +30,8 @@ class TableSpec:
     date_format: str | None = None
     # declared NOT NULL: a row with NULL here (after parsing) is rejected
     required: tuple[str, ...] = ()
+    # the only values a column may hold; a row with another one is rejected
+    allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
     # keep one row per key (A2): the lowest by ``dedupe_order``
     dedupe_keys: tuple[str, ...] = ()
     dedupe_order: tuple[str, ...] = ()
@@ -33,12 +39,16 @@ class TableSpec:
     drop_identical_rows: bool = True
     sep: str = ";"
     layer: str = "ds"
-    extra: dict = field(default_factory=dict)
 
     @property
     def columns(self) -> list[str]:
         return [f.name for f in self.schema.fields]
 
+    @property
+    def scan_schema(self) -> T.StructType:
+        """The columns as read, and the whole line where it does not fit them."""
+        return T.StructType([*self.schema.fields, T.StructField(RAW_LINE, T.StringType(), True)])
+
 
 _TYPES = {
     "STRING": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(),
@@ -81,6 +91,7 @@ ACCOUNT = TableSpec(
     date_columns=("data_actual_date", "data_actual_end_date"), date_format=ISO_DATE,
     required=("data_actual_date", "data_actual_end_date", "account_rk", "account_number",
               "char_type", "currency_rk", "currency_code"),
+    allowed={"char_type": (ACTIVE, PASSIVE)},
 )
 
 CURRENCY = TableSpec(
@@ -128,6 +139,7 @@ REPORT = TableSpec(
         "turn_cre_rub DECIMAL(38,8), turn_cre_val DECIMAL(38,8), turn_cre_total DECIMAL(38,8), "
         "balance_out_rub DECIMAL(38,8), balance_out_val DECIMAL(38,8), balance_out_total DECIMAL(38,8)"),
     date_columns=("from_date", "to_date"), date_format=None,
+    required=("from_date", "to_date", "ledger_account"),
     sep=",", layer="dm", drop_identical_rows=False,
 )
 

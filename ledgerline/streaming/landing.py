@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.conform import accept, reject, stage
+from ledgerline.sources.csv import every_field_checked, typed_options
 from ledgerline.sources.specs import TableSpec
 
 
@@ -40,11 +41,10 @@ class StreamingIngest:
 
 def _stream(spark: SparkSession, spec: TableSpec, landing_dir: str,
             max_files_per_trigger: int | None):
-    reader = (spark.readStream.schema(spec.schema)
-              .option("header", True).option("sep", spec.sep).option("mode", "PERMISSIVE"))
+    reader = spark.readStream.schema(spec.scan_schema).options(**typed_options(spec))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return stage(reader.csv(landing_dir), spec)
+    return stage(every_field_checked(reader.csv(landing_dir), spec), spec)
 
 
 def _start(df, out_dir: str, checkpoint_dir: str, partition_by, available_now: bool):

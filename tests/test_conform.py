@@ -65,3 +65,27 @@ def test_folder_ingest_reports_unknown_files(spark, workdir):
     counts = {r.table_name: (r.rows_in, r.rows_out, r.rows_rejected) for r in res.counts().collect()}
     # identical dimension rows collapse (A1 is on for balances), the bad date is rejected
     assert counts == {"ft_balance_f": (3, 1, 1)}
+
+
+def test_malformed_lines_are_rejected_whole(spark, tmp_path):
+    path = tmp_path / "damaged.csv"
+    path.write_text("d;c;b;x;y\n15-01-2018;1;2;10;10\n15-01-2018;1;2;abc;10\n15-01-2018;1;2;10\n"
+                    "15-01-2018;1;2;10;10;9\n15-01-2018;1;2;123456789012345678901;10\n")
+    c = conform(read_typed(spark, str(path), POSTING), POSTING)
+    assert c.table.count() == 1 and c.table.columns == POSTING.columns
+    rejects = c.rejects.collect()
+    assert {r._reject_reason for r in rejects} == {"bad_value"}
+    assert {r._raw_line for r in rejects} == {
+        "15-01-2018;1;2;abc;10", "15-01-2018;1;2;10", "15-01-2018;1;2;10;10;9",
+        "15-01-2018;1;2;123456789012345678901;10"}
+
+
+def test_an_unknown_account_kind_is_rejected(spark):
+    from ledgerline.sources.specs import ACCOUNT
+
+    raw = spark.createDataFrame([("2018-01-01", "2050-12-31", n, "30101", kind, 1, "643")
+                                 for n, kind in enumerate(["А", "П", "A", None])], ACCOUNT.schema)
+    c = conform(raw, ACCOUNT)
+    assert {r.account_rk for r in c.table.collect()} == {0, 1}
+    assert {r.account_rk: r._reject_reason for r in c.rejects.collect()} == {
+        2: "bad_code:char_type", 3: "missing:char_type"}
