@@ -33,6 +33,14 @@ def assign_ledger(accounts: DataFrame, ledger: DataFrame, period: Period,
             .join(led, "ledger_account", "inner"))
 
 
+def accounts_without_ledger(accounts: DataFrame, ledger: DataFrame, period: Period) -> DataFrame:
+    """Account versions of the period whose ledger is not valid over the whole
+    period, or does not exist: form 101 leaves them out."""
+    led = ledgers_in_period(ledger, period).select(F.col("ledger_account").alias("_ledger"))
+    acc = accounts_in_period(accounts, period)
+    return acc.join(led, ledger_code("account_number") == F.col("_ledger"), "left_anti").select(*accounts.columns)
+
+
 def orphan_balances(balances: DataFrame, accounts: DataFrame, period: Period) -> DataFrame:
     """Opening balances whose account is not valid in the period: they
     would silently drop out of every mart.

@@ -81,6 +81,15 @@ def value_turnover(turnover: DataFrame, accounts: DataFrame, rates: DataFrame) -
         "debet_amount", (F.col("debet_amount") * k).alias("debet_amount_rub"))
 
 
+def unmatched_turnover(turnover: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Turnover on days on which its account is not valid, or of no known
+    account: the rows :func:`value_turnover` leaves out."""
+    valid = accounts.select(F.col("account_rk").alias("_rk"), "data_actual_date", "data_actual_end_date")
+    return turnover.join(valid, (F.col("account_rk") == F.col("_rk"))
+                         & F.col("on_date").between(F.col("data_actual_date"), F.col("data_actual_end_date")),
+                         "left_anti")
+
+
 def turnover_fx(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
                 period: Period | None) -> DataFrame:
     """The per-day turnover mart for a period (``fill_account_turnover``

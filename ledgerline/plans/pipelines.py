@@ -5,6 +5,8 @@ Layout under ``warehouse``::
 
     ds/<table>                     conformed inputs (full refresh)
     rejects/<table>                rows that failed conform
+    rejects/{turnover_unmatched,accounts_without_ledger,orphan_balances}
+                                   rows the marts of the last filled period leave out
     dm/account_turnover_f          per-day turnover, partitioned by on_date
     dm/account_balance_f           per-day balances, partitioned by on_date
     dm/f101_round_f                form 101, partitioned by from_date, to_date
@@ -134,6 +136,19 @@ def fill_report(wh: Warehouse, period: Period) -> None:
     sinks.refresh_partitions(_mart_types(f), wh.path("dm", REPORT_TABLE), ["from_date", "to_date"])
 
 
+def report_unmatched(wh: Warehouse, period: Period) -> None:
+    """Writes what the marts of the period leave out: turnover without a valid
+    account, accounts without a ledger, opening balances without an account."""
+    accounts = wh.read("ds", "md_account_d")
+    turnover = tov.daily_turnover(wh.read("ds", "ft_posting_f"), period)
+    found = {"turnover_unmatched": tov.unmatched_turnover(turnover, accounts),
+             "accounts_without_ledger": rep.accounts_without_ledger(
+                 accounts, wh.read("ds", "md_ledger_account_s"), period),
+             "orphan_balances": rep.orphan_balances(wh.read("ds", "ft_balance_f"), accounts, period)}
+    for name, rows in found.items():
+        sinks.full_refresh(rows, wh.path("rejects", name))
+
+
 def run_fill_procedure(spark: SparkSession, landing_dir: str, warehouse: str,
                        period: Period) -> str:
     """Ingest -> turnover -> opening -> balance (-> report), journalled.
@@ -148,6 +163,7 @@ def run_fill_procedure(spark: SparkSession, landing_dir: str, warehouse: str,
         with j.step(BALANCE_START, BALANCE_END):
             fill_balance(wh, period)
         fill_report(wh, period)
+        report_unmatched(wh, period)
     return run_id
 
 

@@ -56,3 +56,21 @@ def test_unknown_account_kind_has_no_sign(spark):
     rows = spark.createDataFrame([("А",), ("П",), ("A",), (None,)], "char_type string")
     got = [r[0] for r in rows.select(signed_movement(F.lit(3), F.lit(1))).collect()]
     assert got == [2, -2, None, None]
+
+
+def test_rows_that_no_mart_takes_are_reported(spark, workdir):
+    m = Model(spark, SF_SMALL)
+    landing = f"{workdir}/landing-unmatched"
+    write_landing(m, landing)
+    wh = pl.Warehouse(spark, f"{workdir}/wh-unmatched")
+    pl.run_fill_procedure(spark, landing, wh.root, m.period)
+    out = {n: sinks.read_table(spark, wh.path("rejects", n))
+           for n in ("turnover_unmatched", "accounts_without_ledger", "orphan_balances")}
+    assert out["orphan_balances"].count() > 0 and out["accounts_without_ledger"].count() == 0
+    sums = [F.sum("credit_amount"), F.sum("debet_amount")]
+    mart = pl._turnover_mart(wh, m.period)
+    left = out["turnover_unmatched"]
+    assert left.count() > 0
+    got = [a + b for a, b in zip(mart.agg(*sums).first(), left.agg(*sums).first(), strict=True)]
+    assert got == list(m.daily_turnover().agg(*sums).first())
+    assert got[0] == got[1]  # every posting has both sides somewhere
