@@ -269,6 +269,18 @@ def _bodies(p: Period) -> dict[str, str]:
             SELECT a.account_rk, l.ledger_account, l.chapter, l.characteristic
             FROM account a JOIN ledger l
               ON l.ledger_account = CAST(substr(a.account_number, 1, 5) AS INTEGER)""",
+        "turnover_unmatched": f"""
+            SELECT t.on_date, t.account_rk, CAST(t.credit_amount AS DOUBLE) AS credit_amount,
+                   CAST(t.debet_amount AS DOUBLE) AS debet_amount
+            FROM (SELECT on_date, account_rk, sum(credit_amount) AS credit_amount,
+                         sum(debet_amount) AS debet_amount FROM moves
+                  WHERE on_date BETWEEN {_d(p.start)} AND {_d(p.end)} GROUP BY on_date, account_rk) t
+            WHERE NOT EXISTS (SELECT 1 FROM account a WHERE a.account_rk = t.account_rk
+                              AND t.on_date BETWEEN a.data_actual_date AND a.data_actual_end_date)""",
+        "accounts_without_ledger": """
+            SELECT a.account_rk, a.account_number FROM valid_account a
+            WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.ledger_account <> 30103
+                              AND CAST(l.ledger_account AS VARCHAR) = substr(a.account_number, 1, 5))""",
         "orphan_balances": f"""
             SELECT b.account_rk, b.currency_rk, CAST(b.balance_out AS DOUBLE) AS balance_out
             FROM balance b

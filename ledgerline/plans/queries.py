@@ -333,6 +333,21 @@ def q_form101(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_out(Model(spark, sf_dir).form101(), REPORT_MEASURES)
 
 
+def q_turnover_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Model(spark, sf_dir)
+    left = tov.unmatched_turnover(m.daily_turnover(), m.accounts())
+    return _money_out(left.select("on_date", "account_rk", "credit_amount", "debet_amount"),
+                      ["credit_amount", "debet_amount"])
+
+
+def q_accounts_without_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts that form 101 leaves out when one ledger is closed inside the period."""
+    m = Model(spark, sf_dir)
+    closed = F.when(F.col("ledger_account") == fx.CUSTOMER_LEDGER_BASE + 3, F.lit(m.period.start.replace(day=20)))
+    ledger = m.ledger().withColumn("end_date", F.coalesce(closed, F.col("end_date")))
+    return rep.accounts_without_ledger(m.accounts(), ledger, m.period).select("account_rk", "account_number")
+
+
 def q_form101_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form 101 when accounts have several versions, also under two ledgers."""
     return _money_out(Model(spark, sf_dir, versions=True).form101(), REPORT_MEASURES)
@@ -384,6 +399,8 @@ QUERIES: dict[str, Query] = {
     "daily_balance": q_daily_balance,
     "account_versions_balance": q_account_versions_balance,
     "ledger_assign": q_ledger_assign,
+    "turnover_unmatched": q_turnover_unmatched,
+    "accounts_without_ledger": q_accounts_without_ledger,
     "orphan_balances": q_orphan_balances,
     "form101": q_form101,
     "form101_versions": q_form101_versions,
