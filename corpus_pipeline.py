@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import crf, exact_dedup, mixing, near_dup, packing
-from ledgerline.llm.common import crc_fold, stored, table
+from ledgerline.llm.common import crc_fold, numbered, stored, table
 from ledgerline.llm.queries import vocabulary
 
 #: Documents whose toxicity score reaches this go.
@@ -21,15 +21,15 @@ TOXIC_FROM = 0.3
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below ``TOXIC_FROM``; learned from the labelled documents outside fold 2 of 4.
 
-    The score is joined back by reading order, so repeated and NULL ids stay
-    documents of their own.
+    The score is joined back by a stored row number, so repeated and NULL ids
+    stay documents of their own.
     """
     labels = table(spark, sf_dir, "labels").where(crc_fold(F.col("doc_id"), 4) != 2)
     model = crf.learn(docs, labels)
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    toxic = stored(crf.score(numbered, model, id_col="_row").where(F.col("score") >= TOXIC_FROM).select(
+    rows = numbered(docs, "_row")
+    toxic = stored(crf.score(rows, model, id_col="_row").where(F.col("score") >= TOXIC_FROM).select(
         F.col("_row").alias("_toxic")), "pipeline-toxic")
-    return numbered.join(toxic, F.col("_row") == F.col("_toxic"), "left_anti").drop("_row")
+    return rows.join(toxic, F.col("_row") == F.col("_toxic"), "left_anti").drop("_row")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,15 @@ def stored(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, row_col: str, *columns: Column) -> DataFrame:
+    """``columns`` of ``docs`` (default: all) with a number per row, stored.
+
+    The number is a column of the files. Numbering each scan anew would not do:
+    how a scan is split depends on the cores there are when it is planned.
+    """
+    return stored(docs.select(*(columns or ["*"]), F.monotonically_increasing_id().alias(row_col)), "numbered")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored, word_count
+from ledgerline.llm.common import numbered, stored, word_count
 
 #: Documents per permutation bucket: what one window task sorts, whatever the source's size.
 BUCKET_ROWS = 2_000
@@ -124,7 +124,7 @@ def split_quotas(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
 
 def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, levels: int = 4,
             block_words: int = 4096, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
-            source_col: str = "source") -> DataFrame:
+            source_col: str = "source", row_col: str | None = None) -> DataFrame:
     """One row per input row: row, doc_id, size, source, source_size, target, copies.
 
     ``copies`` is an array of (epoch, shard, place), one entry for every time the mix
@@ -132,11 +132,11 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3
     shard's documents. Documents are taken whole, so a source misses its target
     by less than what its best-fitting document leaves. Documents without words
     are never taken. NULL ids, repeated ids and repeated rows are documents of
-    their own, told apart by their reading order ``row``; a NULL source is a
-    source; an empty table gives no rows.
+    their own, told apart by ``row`` (``row_col`` of a stored table, or else their
+    reading order); a NULL source is a source; an empty table gives no rows.
     """
     sized = stored(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "mix-sizes")
     buckets = max(1, -(-sized.count() // BUCKET_ROWS))
     targets = stored(source_targets(sized, weights, most), "mix-targets")
@@ -208,13 +208,12 @@ def _fill_gaps(lined: DataFrame, most: int) -> DataFrame:
 def draw(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents themselves, with the columns of ``docs``: each row as often as the mix takes it.
 
-    ``docs`` must read the same rows in the same order each time (a stored
-    table); rows come out ordered by place inside each shard's partitions.
+    Rows come out ordered by place inside each shard's partitions.
     """
-    plan = mixture(docs, **options).where(F.size("copies") > 0).select(
+    rows = numbered(docs, "_row_here")
+    plan = mixture(rows, row_col="_row_here", **options).where(F.size("copies") > 0).select(
         F.col("row").alias("_row"), F.explode("copies").alias("_copy"))
-    numbered = docs.withColumn("_row_here", F.monotonically_increasing_id())
-    mixed = numbered.join(plan, F.col("_row_here") == F.col("_row"))
+    mixed = rows.join(plan, F.col("_row_here") == F.col("_row"))
     return mixed.sortWithinPartitions("_copy.shard", "_copy.place").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ship, stored
+from ledgerline.llm.common import numbered, ship, stored
 
 WORDS, BANDS, ROWS = 5, 40, 7
 #: Elements of texts whose darts are thrown together.
@@ -144,8 +144,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """row, doc_id, n (elements), set_a, set_b (128-bit hash of the set), bands (array of bucket keys), stored."""
+def features(texts: DataFrame) -> DataFrame:
+    """Of rows (row, doc_id, text): row, doc_id, n (elements), set_a, set_b (128-bit hash of the set), bands (array of bucket keys), stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
@@ -171,14 +171,12 @@ def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     names=["row", "doc_id", "n", "set_a", "set_b", "bands"])
                 at += n
 
-    ship(docs.sparkSession)
-    return stored(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
-            run, "row bigint, doc_id bigint, n bigint, set_a bigint, set_b bigint, bands array<bigint>"), "near-features")
+    ship(texts.sparkSession)
+    return stored(texts.select("row", "doc_id", "text").mapInArrow(
+        run, "row bigint, doc_id bigint, n bigint, set_a bigint, set_b bigint, bands array<bigint>"), "near-features")
 
 
-def _sets(docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
+def _sets(texts: DataFrame, rows: DataFrame) -> DataFrame:
     """row, elements (array of 64-bit hashes) of the given rows, stored.
 
     Up to ``SENT_ROWS`` row numbers are sent to the scan's tasks (8 bytes each); beyond that the join shuffles.
@@ -194,11 +192,9 @@ def _sets(docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
                                                  names=["row", "elements"])
                 at += len(texts)
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"),
-                           F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = stored(rows.select(F.col("row").alias("r")), "near-involved")
     rows = F.broadcast(rows) if rows.count() <= SENT_ROWS else rows
-    found = numbered.join(rows, F.col("row") == F.col("r"), "left_semi")
+    found = texts.select("row", "text").join(rows, F.col("row") == F.col("r"), "left_semi")
     return stored(found.mapInArrow(run, "row bigint, elements array<bigint>"), "near-sets")
 
 
@@ -243,7 +239,8 @@ def components(links: DataFrame) -> DataFrame:
         labels = moved.select("row", "label")
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
+                    row_col: str | None = None) -> DataFrame:
     """One row per input row: row, doc_id, class_id, class_size, kept.
 
     Rows are in one class if a chain of pairs with a similarity of at least
@@ -251,10 +248,13 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     it has none); one row of a class is kept, the one with the smallest id,
     NULL last, then the first in reading order. Texts without words have no
     elements and are classes of their own; texts of fewer than five words are
-    one element, so equal ones are copies. Repeated rows are copies. ``docs``
-    must be a stored table (its rows are read twice, by reading order).
+    one element, so equal ones are copies. Repeated rows are copies. ``row`` is
+    ``row_col`` of a stored table that has its rows numbered; without it they
+    are numbered here and stored with their texts.
     """
-    found = features(docs, id_col, text_col)
+    columns = F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    texts = docs.select(F.col(row_col).alias("row"), *columns) if row_col else numbered(docs, "row", *columns)
+    found = features(texts)
     copies = stored(found.where("n > 0").groupBy("set_a", "set_b").agg(F.min("row").alias("node")), "near-nodes")
     nodes = found.join(copies.select("node"), F.col("row") == F.col("node"), "left_semi")
     places = nodes.select("row", "n", F.explode("bands").alias("bucket"))
@@ -264,7 +264,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     central = members.groupBy(F.col("row").alias("c_row")).agg(F.sum("size").alias("centre"))
     members = stored(members.join(central, F.col("row") == F.col("c_row")).select("bucket", "row", "n", "centre"),
                      "near-members")
-    sets = _sets(docs, members.select("row").distinct(), text_col)
+    sets = _sets(texts, members.select("row").distinct())
 
     pivots = stored(members.groupBy("bucket").agg(F.max(F.struct("centre", "row", "n")).alias("p")).select(
         F.col("bucket").alias("p_bucket"), F.col("p.row").alias("pivot"), F.col("p.n").alias("p_n")), "near-pivots")
@@ -313,7 +313,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents whose row is kept, with the columns of ``docs`` (a stored table)."""
-    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("row").alias("_gone"))
-    numbered = docs.withColumn("_row_here", F.monotonically_increasing_id())
-    return numbered.join(stored(gone, "near-gone"), F.col("_row_here") == F.col("_gone"), "left_anti").drop("_row_here")
+    """The documents whose row is kept, with the columns of ``docs``."""
+    rows = numbered(docs, "_row_here")
+    gone = near_duplicates(rows, row_col="_row_here", **options).where("NOT kept").select(F.col("row").alias("_gone"))
+    return rows.join(stored(gone, "near-gone"), F.col("_row_here") == F.col("_gone"), "left_anti").drop("_row_here")
