@@ -23,8 +23,6 @@ from ledgerline.llm.common import numbered, stored, word_count
 
 #: Documents per permutation bucket: what one window task sorts, whatever the source's size.
 BUCKET_ROWS = 2_000
-#: Rounds in which every source still short of its target gets one more best-fitting document.
-FILL_ROUNDS = 4
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -129,8 +127,9 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3
 
     ``copies`` is an array of (epoch, shard, place), one entry for every time the mix
     takes the document (at most ``most``; empty: not taken); ``place`` orders a
-    shard's documents. Documents are taken whole, so a source misses its target
-    by less than what its best-fitting document leaves. Documents without words
+    shard's documents. Documents are taken whole. Where the cut falls into one, the
+    line goes on with those that fit: what a source then misses of its target is
+    less than any document it could still take. Documents without words
     are never taken. NULL ids, repeated ids and repeated rows are documents of
     their own, told apart by ``row`` (``row_col`` of a stored table, or else their
     reading order); a NULL source is a source; an empty table gives no rows.
@@ -158,7 +157,7 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3
     fits = F.filter(epochs, lambda e: (F.col("size") > 0)
                     & (e * F.col("source_size") + start + F.col("size") <= F.round(F.col("target"))))
     places = F.transform(fits, lambda e: e * F.col("source_size") + start)
-    lined = stored(lined.select("row", "doc_id", "size", "source", "source_size", "ord", "target", "h",
+    lined = stored(lined.select("row", "doc_id", "size", "source", "source_size", "ord", "target", "h", "bucket",
                                 places.alias("places")), "mix-places")
     lined = _fill_gaps(lined, most)
 
@@ -184,25 +183,60 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3
 
 
 def _fill_gaps(lined: DataFrame, most: int) -> DataFrame:
-    """Each round adds to every source the one document that brings it nearest to its target."""
-    for _ in range(FILL_ROUNDS):
-        taken = lined.groupBy("ord").agg(
-            (F.first("target") - F.sum(F.col("size") * F.size("places"))).alias("gap"),
-            F.max(F.array_max("places")).alias("last"))
-        gaps = stored(taken.select(F.col("ord").alias("g_ord"), "gap", F.coalesce("last", F.lit(0)).alias("last")),
-                      "mix-gaps")
-        gained = F.col("gap") - F.abs(F.col("gap") - F.col("size"))
-        room = lined.join(gaps, F.col("ord") == F.col("g_ord")).where(
-            (F.size("places") < most) & (F.col("size") > 0) & (gained > 0))
-        best = room.groupBy("g_ord").agg(F.max(F.struct(gained.alias("gained"), "h", "row")).alias("best"),
-                                         F.max("last").alias("last"))
-        best = stored(best.select(F.col("best.row").alias("b_row"), F.col("last").alias("b_place")), "mix-best")
-        if best.isEmpty():
+    """The line goes on behind the cut, over documents that fit what is left, until none does.
+
+    A round leaves out the documents longer than their source's gap, and takes
+    the others in the order of (copies so far, line) up to the gap; what is left
+    then is shorter than the document the round ended at. A round that has
+    documents takes one at least. Last, a source takes one document beyond its
+    target where that is nearer.
+    """
+    used = F.coalesce(F.sum(F.col("size") * F.size("places")), F.lit(0))
+    gaps = stored(lined.groupBy(F.col("ord").alias("g_ord")).agg(
+        F.round(F.first("target")).cast("bigint").alias("goal"), used.cast("bigint").alias("used")), "mix-gaps")
+    pool = lined.where("size > 0").select("row", "ord", "size", "h", "bucket", F.size("places").alias("n"))
+    added = None
+    while True:
+        gap = F.col("goal") - F.col("used")
+        room = pool.join(gaps, F.col("ord") == F.col("g_ord")).where((F.col("n") < most) & (F.col("size") <= gap))
+        sums = room.groupBy("ord", "n", "bucket").agg(F.sum("size").alias("words"))
+        earlier = Window.partitionBy("ord").orderBy("n", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+        sums = stored(sums.select(
+            F.col("ord").alias("b_ord"), F.col("n").alias("b_n"), F.col("bucket").alias("b_bucket"),
+            F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before")), "mix-buckets")
+        if sums.isEmpty():
             break
-        lined = stored(lined.join(best, F.col("row") == F.col("b_row"), "left").withColumn(
-            "places", F.when(F.col("b_row").isNotNull(), F.concat("places", F.array("b_place"))).otherwise(
-                F.col("places"))).drop("b_row", "b_place"), "mix-filled")
-    return lined
+        inside = Window.partitionBy("ord", "n", "bucket").orderBy("h", "row").rowsBetween(Window.unboundedPreceding, 0)
+        room = room.withColumn("upto", F.sum("size").over(inside)).join(
+            sums, (F.col("ord") == F.col("b_ord")) & (F.col("n") == F.col("b_n")) & (F.col("bucket") == F.col("b_bucket")))
+        end = F.col("before") + F.col("upto")
+        room = stored(room.select("row", "ord", "size", "h", "bucket", "n", (end <= gap).alias("fits"),
+                                  (F.col("used") + end - F.col("size")).alias("place")), "mix-room")
+        taken = room.where("fits").select("row", "place")
+        added = taken if added is None else added.unionByName(taken)
+        more = room.where("fits").groupBy("ord").agg(F.sum("size").alias("more"))
+        gaps = stored(gaps.join(more, F.col("g_ord") == F.col("ord"), "left").select(
+            "g_ord", "goal", (F.col("used") + F.coalesce("more", F.lit(0))).alias("used")), "mix-gaps")
+        pool = room.select("row", "ord", "size", "h", "bucket", (F.col("n") + F.col("fits").cast("int")).alias("n"))
+    if added is not None:
+        lined = _with_places(lined, added)
+
+    gap = F.col("goal") - F.col("used")
+    gained = gap - F.abs(gap - F.col("size"))
+    room = lined.join(gaps, F.col("ord") == F.col("g_ord")).where(
+        (F.size("places") < most) & (F.col("size") > 0) & (gained > 0))
+    best = stored(room.groupBy("g_ord").agg(
+        F.max(F.struct(gained.alias("gained"), "h", "row")).alias("best"), F.first("used").alias("place")).select(
+            F.col("best.row").alias("row"), "place"), "mix-best")
+    return lined if best.isEmpty() else _with_places(lined, best)
+
+
+def _with_places(lined: DataFrame, added: DataFrame) -> DataFrame:
+    """The lines with the places of ``added`` (row, place) behind their own, stored."""
+    more = added.groupBy(F.col("row").alias("a_row")).agg(F.sort_array(F.collect_list("place")).alias("more"))
+    return stored(lined.join(more, F.col("row") == F.col("a_row"), "left").withColumn(
+        "places", F.when(F.col("more").isNull(), F.col("places")).otherwise(F.concat("places", "more"))).drop(
+            "a_row", "more"), "mix-filled")
 
 
 def draw(docs: DataFrame, **options) -> DataFrame:
