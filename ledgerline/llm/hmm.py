@@ -2,23 +2,27 @@
 
 Tokens are counted once, in chunks of documents: a chunk is one row with its
 word list, the documents' tokens as positions in that list, and the words'
-training counts. From the exact corpus counts come the smoothed unigram base
-and the model's alphabet: every word of at least a threshold count is a symbol
-of its own (the threshold is set so that at most ``symbols`` words qualify);
-all rarer words share the symbols of ``TAILS`` classes by their last two
-letters, inside which a word keeps its base share; words without a count are
-one symbol. So the alphabet is bounded and every word has its exact weight.
-
-Baum-Welch: each pass reads the chunks, runs forward-backward on the training
-documents in the tasks, and sums expected counts over all partitions with one
-aggregate. Scoring is one scaled forward pass; a chunk gets the counts of its
-words by a join on the word, so no task ever holds the vocabulary.
+training counts. Every word that occurs in training text has emissions of its
+own, whatever its count; all other words share one unknown symbol. In state s
+a word of count c has the weight
+
+    (1 - BASE_SHARE) * (expected(word, s) + base) / (expected(s) + 1) + BASE_SHARE * base
+
+with base = (c + 1) / (n + v + 1) for n training tokens of v words, so the
+weights of a state add up to 1 and the rule is the same for any corpus.
+
+Counts and expected counts are a table over all words, dealt by hash to
+buckets; a bucket's row holds them as arrays. A block is what a chunk and a
+bucket share: places in the chunk's word list and in the bucket's arrays. A
+Baum-Welch pass sends the table's values to the chunks by the blocks, runs
+forward-backward on their training documents, and adds the expected counts
+back up by bucket. Scoring is one scaled forward pass. So no task and no
+driver ever holds the vocabulary.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +33,16 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.chain import Chains
 from ledgerline.llm.common import ship, stored
+from ledgerline.llm.near_dup import mixed
 
 #: The end of a text as a token; no word holds a separator.
 END = "\n"
-#: Tokens per chunk, tokens worked on at a time, classes of rare words.
-CHUNK_TOKENS, STEP_TOKENS, TAILS = 2_000_000, 250_000, 512
-#: Rarer words have no symbol of their own even where there is room: too few tokens to tell states apart.
-LEAST_COUNT = 20
+#: Tokens per chunk, tokens worked on at a time.
+CHUNK_TOKENS, STEP_TOKENS = 2_000_000, 250_000
+#: Buckets of the word table at least; (chunk, word) pairs per bucket beyond.
+BUCKETS, BUCKET_PAIRS = 64, 250_000
+#: Share of every state's emissions that follows the base, so none is near 0.
+BASE_SHARE = 0.15
 _CHUNK = ("chunk string, ids array<bigint>, held array<boolean>, lengths array<int>, tokens binary, "
           "words array<string>, counts array<bigint>")
 
@@ -45,10 +52,6 @@ def tokenise(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def tail_class(word: str) -> int:
-    return zlib.crc32(word[-2:].encode()) % TAILS
-
-
 def encode(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFrame:
     """The chunks (see module text), stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,50 +96,40 @@ def encode(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFra
                               F.col(text_col).alias("text")).mapInArrow(run, _CHUNK), "lm-chunks")
 
 
-def _threshold(counts: DataFrame, symbols: int) -> int:
-    """Least count from which at most ``symbols`` words have a symbol, from a histogram of some 200 rows."""
-    step = F.floor(F.log2("c") * 4)
-    bins = sorted(((r["b"], r["n"], r["least"]) for r in counts.where("c > 0").groupBy(step.alias("b")).agg(
-        F.count("*").alias("n"), F.min("c").alias("least")).collect()), reverse=True)
-    total, least = 0, None
-    for _, n, low in bins:
-        total += n
-        if total > symbols:
-            break
-        least = low
-    return least if least is not None else (bins[0][2] + 1 if bins else 1)
-
-
 class Alphabet:
-    """Symbols: frequent words, then classes of rare words, then words without a count."""
+    """Base weights of words, of classes of words and of the unknown symbol, as one array that adds up to 1."""
 
-    def __init__(self, frequent: list[str], weights: list[int], least: int, class_weights: dict[int, int],
+    def __init__(self, words: list[str], weights: list[int], least: int, class_weights: dict[int, int],
                  n: int, v: int):
-        self.least = least
-        self.frequent = {w: i for i, w in enumerate(frequent)}
-        self.classes = np.zeros(TAILS)
-        for k, x in class_weights.items():
-            self.classes[k] = x
-        self.n, self.v = n, v
-        self.base = np.concatenate([weights, self.classes, [1.0]]) / (n + v + 1)
-
-    def __len__(self) -> int:
-        return len(self.base)
-
-    def of(self, words: list[str]) -> np.ndarray:
-        """Symbols of words that occur in training text."""
-        first, own = len(self.frequent), self.frequent.get
-        return np.array([first + tail_class(w) if (k := own(w)) is None else k for w in words], np.int32)
-
-
-def start(alphabet: Alphabet, states: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, move, emit) before training: base weights, tilted at random per symbol and state."""
-    random = np.random.default_rng(seed)
-    emit = alphabet.base[:, None] * np.exp(0.5 * random.standard_normal((len(alphabet), states)))
+        self.words, self.least = words, least
+        self.base = np.concatenate([weights, list(class_weights.values()), [1.0]]) / (n + v + 1)
+
+
+def tilt(words: np.ndarray, states: int) -> np.ndarray:
+    """words x states factors exp(z / 2), z normal by the word's hash: what tells states apart at the start."""
+    h = pd.util.hash_array(np.asarray(words, object), categorize=False)
+    keys = h[:, None] + (np.arange(2 * states, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    u = ((mixed(keys) >> np.uint64(11)).astype(float) + 0.5) * 2.0 ** -53
+    return np.exp(0.5 * np.sqrt(-2.0 * np.log(u[:, :states])) * np.cos(2.0 * np.pi * u[:, states:]))
+
+
+def start(states: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, move) before training."""
     move = np.full((states, states), 0.05 / max(1, states - 1)) if states > 1 else np.ones((1, 1))
     if states > 1:
         np.fill_diagonal(move, 0.95)
-    return np.full(states, 1.0 / states), move, emit / emit.sum(axis=0)
+    return np.full(states, 1.0 / states), move
+
+
+def emissions(expected: np.ndarray, totals: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """words x states weights (see module text)."""
+    own = (expected + base[:, None]) / (totals + 1.0)
+    return (1 - BASE_SHARE) * own + BASE_SHARE * base[:, None]
+
+
+def maximise(firsts: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, move) of the expected counts."""
+    return (firsts + 0.1) / (firsts + 0.1).sum(), (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True)
 
 
 def _steps(lengths: np.ndarray) -> Iterator[slice]:
@@ -167,54 +160,110 @@ def expected_counts(symbols: np.ndarray, lengths: np.ndarray, model: tuple) -> t
     return firsts, moves, emits
 
 
-def maximise(firsts: np.ndarray, moves: np.ndarray, emits: np.ndarray, alphabet: Alphabet,
-             base_share: float = 0.15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The model of the counts; ``base_share`` of every state's emissions follows the base, so none is near 0."""
-    first = (firsts + 0.1) / (firsts + 0.1).sum()
-    move = (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True)
-    emit = (emits + alphabet.base[:, None]) / (emits.sum(axis=0) + 1.0)
-    emit = (1 - base_share) * emit + base_share * alphabet.base[:, None]
-    return first, move, emit
-
+def _word_table(chunks: DataFrame, states: int) -> tuple[DataFrame, DataFrame]:
+    """(table, blocks), stored.
 
-def _em_pass(chunks: DataFrame, model: tuple, alphabet: Alphabet):
-    """Expected counts of all training documents: one aggregate over the tasks' sums."""
-    spark = chunks.sparkSession
-    shared = spark.sparkContext.broadcast((model, alphabet))  # symbols + TAILS rows of a few numbers
-    states, size = len(model[0]), len(alphabet)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, letters = shared.value
-        totals = None
-        for batch in batches:
-            for row in range(batch.num_rows):
-                # without .as_py() on the column: one chunk at a time
-                held = np.array(batch.column("held")[row].values.to_numpy(zero_copy_only=False), bool)
-                lengths = batch.column("lengths")[row].values.to_numpy().astype(np.int64)
-                tokens = np.frombuffer(batch.column("tokens")[row].as_py(), "<i4")
-                if held.all():
-                    continue
-                symbols = letters.of(batch.column("words")[row].values.to_numpy(zero_copy_only=False).tolist())
-                tokens = tokens[np.repeat(~held, lengths)]
-                found = expected_counts(symbols[tokens], lengths[~held], now)
-                totals = found if totals is None else [a + b for a, b in zip(totals, found, strict=True)]
-        if totals is None:
-            return
-        table = np.vstack([totals[2], totals[1], totals[0][None, :]])
-        used = np.flatnonzero(table.sum(axis=1) > 0)
-        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(table[used, s]) for s in range(states))],
-                                         names=["row", *(f"s{s}" for s in range(states))])
-
-    schema = "row bigint, " + ", ".join(f"s{s} double" for s in range(states))
-    sums = chunks.select("held", "lengths", "tokens", "words").mapInArrow(run, schema).groupBy("row").agg(
-        *[F.sum(f"s{s}").alias(f"s{s}") for s in range(states)]).toPandas()
-    table = np.zeros((size + states + 1, states))
-    table[sums["row"].to_numpy()] = sums[[f"s{s}" for s in range(states)]].to_numpy()
-    shared.unpersist()
-    return table[-1], table[size:-1], table[:size]
-
-
-def score_texts(docs: DataFrame, held: Column, states: int = 4, symbols: int = 32_768, passes: int = 3,
+    table: bucket, counts, expected (binary, a place per word), sums (training
+    tokens, training words, expected tokens per state). blocks: bucket, chunk,
+    at, place (binary).
+    """
+    pairs = chunks.agg(F.sum(F.size("counts"))).first()[0] or 0
+    buckets = max(BUCKETS, -(-pairs // BUCKET_PAIRS))
+    rows = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
+        F.pmod(F.xxhash64("w.words"), F.lit(buckets)).alias("bucket"), "chunk", "at",
+        F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        place, words = pd.factorize(rows["word"])
+        counts = np.zeros(len(words), np.int64)
+        np.add.at(counts, place, rows["c"].to_numpy())
+        expected = (counts[:, None] * tilt(words, states)).astype("<f4")
+        sums = [float(counts.sum()), float((counts > 0).sum()), *expected.sum(axis=0, dtype=float)]
+        out = [(key[0], None, None, None, counts.astype("<i8").tobytes(), expected.tobytes(), sums)]
+        at = rows["at"].to_numpy()
+        for chunk, part in rows.groupby("chunk").indices.items():
+            out.append((key[0], chunk, at[part].astype("<i4").tobytes(), place[part].astype("<i4").tobytes(),
+                        None, None, None))
+        return pd.DataFrame(out, columns=["bucket", "chunk", "at", "place", "counts", "expected", "sums"])
+
+    both = stored(rows.groupBy("bucket").applyInPandas(
+        run, "bucket bigint, chunk string, at binary, place binary, counts binary, expected binary, "
+             "sums array<double>"), "lm-words")
+    return (both.where("chunk IS NULL").select("bucket", "counts", "expected", "sums"),
+            both.where("chunk IS NOT NULL").select("bucket", "chunk", "at", "place"))
+
+
+def _sums(table: DataFrame, n: int) -> np.ndarray:
+    """The sums of all buckets."""
+    out = np.zeros(n)
+    for r in table.select(F.posexplode("sums").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).collect():
+        out[r["k"]] = r["x"]
+    return out
+
+
+def _at_chunks(table: DataFrame, blocks: DataFrame, states: int) -> DataFrame:
+    """The blocks with the counts and expected counts of their words."""
+    def run(key: tuple, rows: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        counts = np.frombuffer(rows["counts"].iloc[0], "<i8")
+        expected = np.frombuffer(rows["expected"].iloc[0], "<f4").reshape(-1, states)
+        places = [np.frombuffer(x, "<i4") for x in parts["place"]]
+        return parts.assign(counts=[counts[x].tobytes() for x in places],
+                            expected=[expected[x].tobytes() for x in places])
+
+    return table.select("bucket", "counts", "expected").groupBy("bucket").cogroup(
+        blocks.groupBy("bucket")).applyInPandas(
+            run, "bucket bigint, chunk string, at binary, place binary, counts binary, expected binary")
+
+
+def _chunk_words(words: pd.DataFrame, states: int) -> tuple[np.ndarray, np.ndarray]:
+    """(counts, expected) in the order of the chunk's word list, from its blocks."""
+    at = np.concatenate([np.frombuffer(x, "<i4") for x in words["at"]])
+    counts, expected = np.empty(len(at), np.int64), np.empty((len(at), states))
+    counts[at] = np.concatenate([np.frombuffer(x, "<i8") for x in words["counts"]])
+    expected[at] = np.concatenate([np.frombuffer(x, "<f4").reshape(-1, states) for x in words["expected"]])
+    return counts, expected
+
+
+def _em_pass(chunks: DataFrame, table: DataFrame, blocks: DataFrame, first: np.ndarray, move: np.ndarray,
+             totals: np.ndarray, size: float) -> DataFrame:
+    """The table with the expected counts of all training documents; sums: (first, move, tokens per state)."""
+    states = len(first)
+
+    def expect(key: tuple, words: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = words[["bucket", "place", "at"]].iloc[:0 if rows.empty else None].copy()
+        found = None
+        if len(out):
+            counts, expected = _chunk_words(words, states)
+            emit = emissions(expected, totals, (counts + 1) / size)
+            row = rows.iloc[0]
+            held, lengths = np.asarray(row["held"], bool), np.asarray(row["lengths"], np.int64)
+            tokens = np.frombuffer(row["tokens"], "<i4")[np.repeat(~held, lengths)]
+            found = expected_counts(tokens, lengths[~held], (first, move, emit))
+            sums = np.concatenate([found[0], found[1].ravel(), found[2].sum(axis=0)])
+        values = [found[2][np.frombuffer(x, "<i4")].astype("<f4").tobytes() for x in out["at"]]
+        return out[["bucket", "place"]].assign(expected=values, sums=[sums if i == 0 else None for i in range(len(out))])
+
+    def add(key: tuple, rows: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        counts = rows["counts"].iloc[0]
+        expected = np.zeros((len(counts) // 8, states))
+        for place, values in zip(parts["place"], parts["expected"], strict=True):
+            expected[np.frombuffer(place, "<i4")] += np.frombuffer(values, "<f4").reshape(-1, states)
+        sums = np.zeros(states * (states + 2))
+        for x in parts["sums"]:
+            if x is not None:
+                sums += x
+        return pd.DataFrame({"bucket": [key[0]], "counts": [counts], "expected": [expected.astype("<f4").tobytes()],
+                             "sums": [sums]})
+
+    trained = chunks.where(F.exists("held", lambda x: ~x)).select(
+        F.col("chunk").alias("part"), "held", "lengths", "tokens")
+    parts = _at_chunks(table, blocks, states).groupBy("chunk").cogroup(trained.groupBy("part")).applyInPandas(
+        expect, "bucket bigint, place binary, expected binary, sums array<double>")
+    return stored(table.select("bucket", "counts").groupBy("bucket").cogroup(parts.groupBy("bucket")).applyInPandas(
+        add, "bucket bigint, counts binary, expected binary, sums array<double>"), "lm-words")
+
+
+def score_texts(docs: DataFrame, held: Column, states: int = 4, passes: int = 3,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
@@ -224,49 +273,23 @@ def score_texts(docs: DataFrame, held: Column, states: int = 4, symbols: int = 3
     document every token has weight 1 of the base and of the model.
     """
     chunks = encode(docs, F.coalesce(held, F.lit(False)), id_col, text_col)
-    pairs = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
-        "chunk", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
-    counts = stored(pairs.groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
-    total = counts.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    n, v = total["n"] or 0, total["v"] or 0
-
-    least = max(_threshold(counts, symbols), LEAST_COUNT)
-    top = counts.where(F.col("c") >= least).select("word", "c").toPandas().sort_values("word")
-    tail = F.crc32(F.substring("word", -2, 2)) % TAILS
-    rare = counts.where((F.col("c") > 0) & (F.col("c") < least)).groupBy(tail.alias("k")).agg(
-        F.sum(F.col("c") + 1).alias("weight")).collect()
-    alphabet = Alphabet(top.word.tolist(), (top.c + 1).tolist(), least,
-                        {int(r["k"]): r["weight"] for r in rare}, n, v)
-
-    model = start(alphabet, states)
+    table, blocks = _word_table(chunks, states)
+    n, v, *totals = _sums(table, 2 + states).tolist()
+    totals, size = np.array(totals), n + v + 1
+    first, move = start(states)
     for _ in range(passes if n else 0):
-        model = maximise(*_em_pass(chunks, model, alphabet), alphabet)
-    return _score(chunks, pairs, counts, alphabet, model)
-
-
-def _score(chunks: DataFrame, pairs: DataFrame, counts: DataFrame, alphabet: Alphabet, model: tuple) -> DataFrame:
-    spark = chunks.sparkSession
-    shared = spark.sparkContext.broadcast((model, alphabet))
-    known = pairs.select("chunk", "at", "word").join(
-        counts.select(F.col("word").alias("c_word"), F.col("c").alias("count")), F.col("word") == F.col("c_word"))
-    known = known.select("chunk", F.col("at").cast("int").alias("at"), F.col("count"),
-                         F.when(F.col("count") > 0, F.col("word")).alias("word"))
-    # inside a chunk only frequent words need their text; the others are told by class and count
-    frequent = F.col("count") >= alphabet.least
-    tail = (F.crc32(F.substring("word", -2, 2)) % TAILS).cast("int")
-    known = known.select("chunk", "at", "count", tail.alias("tail"), F.when(frequent, F.col("word")).alias("word"))
+        table = _em_pass(chunks, table, blocks, first, move, totals, size)
+        firsts, moves, totals = np.split(_sums(table, states * (states + 2)), [states, states * (states + 1)])
+        first, move = maximise(firsts, moves.reshape(states, states))
+    return _score(chunks, _at_chunks(table, blocks, states), first, move, totals, int(n), size)
 
+
+def _score(chunks: DataFrame, known: DataFrame, first: np.ndarray, move: np.ndarray, totals: np.ndarray, n: int,
+           size: float) -> DataFrame:
     def run(key: tuple, words: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        (first, move, emit), letters = shared.value
-        words = words.sort_values("at")
-        count = words["count"].to_numpy()
-        base = np.log10((count + 1) / (letters.n + letters.v + 1))
-        own = words["word"].map(letters.frequent).to_numpy(np.float64, na_value=np.nan)
-        tails = words["tail"].fillna(0).to_numpy(np.int64)
-        frequent = len(letters.frequent)
-        symbol = np.where(count == 0, len(letters) - 1, np.where(np.isnan(own), frequent + tails, own)).astype(np.int32)
-        weight = np.where((count > 0) & np.isnan(own), letters.classes[tails], 0.0)
-        share = np.where(weight > 0, np.log10((count + 1) / np.maximum(weight, 1.0)), 0.0)
+        counts, expected = _chunk_words(words, len(first))
+        weight = (counts + 1) / size
+        emit, base = emissions(expected, totals, weight), np.log10(weight)
         out = []
         for row in rows.itertuples(index=False):
             lengths = np.asarray(row.lengths, np.int64)
@@ -274,18 +297,17 @@ def _score(chunks: DataFrame, pairs: DataFrame, counts: DataFrame, alphabet: Alp
             ends = np.cumsum(lengths)
             logs = np.empty(len(lengths))
             for part in _steps(lengths):
-                here = symbol[tokens[ends[part.start] - lengths[part.start]:ends[part.stop - 1]]]
+                here = tokens[ends[part.start] - lengths[part.start]:ends[part.stop - 1]]
                 logs[part] = Chains(lengths[part]).forward(lambda at, here=here: emit[here[at]], first, move)[0]
             at = ends - lengths
-            sums = [np.add.reduceat(x[tokens], at) for x in (base, share, (count > 0).astype(np.int64))]
+            sums = [np.add.reduceat(x[tokens], at) for x in (base, (counts > 0).astype(np.int64))]
             out.append(pd.DataFrame({
                 "doc_id": pd.array(list(row.ids), dtype="Int64"), "held_out": np.asarray(row.held, bool),
-                "n_tokens": lengths, "n_known": sums[2], "train_tokens": letters.n, "base_score": sums[0],
-                "score": logs / math.log(10) + sums[1]}))
+                "n_tokens": lengths, "n_known": sums[1], "train_tokens": n, "base_score": sums[0],
+                "score": logs / math.log(10)}))
         return pd.concat(out)
 
     parts = chunks.select(F.col("chunk").alias("part"), "ids", "held", "lengths", "tokens")
     return known.groupBy("chunk").cogroup(parts.groupBy("part")).applyInPandas(
         run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
              "base_score double, score double")
-

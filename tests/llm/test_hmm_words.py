@@ -1,0 +1,47 @@
+"""Every training word has emissions of its own, however rare; the tables equal one dense model."""
+
+import math
+import os
+import random
+import sys
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from ledgerline.llm import hmm  # noqa: E402
+from ledgerline.llm.chain import Chains  # noqa: E402
+
+
+def dense(texts, held, states, passes):
+    """log10 scores by one emission matrix over all words."""
+    lists = [[w.decode() for w in hmm.tokenise(t)] + ["\n"] for t in texts]
+    train = [x for x, h in zip(lists, held, strict=True) if not h]
+    words = sorted({w for x in lists for w in x})
+    at = {w: i for i, w in enumerate(words)}
+    counts = np.bincount([at[w] for x in train for w in x], minlength=len(words))
+    base = (counts + 1) / (counts.sum() + (counts > 0).sum() + 1)
+    expected, (first, move) = counts[:, None] * hmm.tilt(np.array(words, object), states), hmm.start(states)
+    lengths, flat = np.array([len(x) for x in train]), np.array([at[w] for x in train for w in x])
+    for _ in range(passes):
+        emit = hmm.emissions(expected, expected.sum(axis=0), base)
+        firsts, moves, expected = hmm.expected_counts(flat, lengths, (first, move, emit))
+        first, move = hmm.maximise(firsts, moves)
+    emit = hmm.emissions(expected, expected.sum(axis=0), base)
+    unknown = hmm.emissions(np.zeros((1, states)), expected.sum(axis=0), 1 - base[counts > 0].sum(keepdims=True))
+    assert emit[counts > 0].sum(axis=0) + unknown[0] == pytest.approx(np.ones(states))
+    chains, here = Chains(np.array([len(x) for x in lists])), np.array([at[w] for x in lists for w in x])
+    return chains.forward(lambda i: emit[here[i]], first, move)[0] / math.log(10)
+
+
+def test_rare_words_tell_states_apart(spark):
+    r = random.Random(1)
+    texts = [" ".join(f"{'ab'[i % 2]}{r.randrange(200)}zz" for _ in range(30)) for i in range(120)]  # about 9 of each word
+    held = [i % 10 >= 8 for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = sorted(hmm.score_texts(docs, F.col("doc_id") % 10 >= 8, states=2, passes=6).collect())
+    assert [x.score for x in got] == pytest.approx(dense(texts, held, 2, 6).tolist(), rel=1e-4)
+    tokens = sum(x.n_tokens for x in got if x.held_out)
+    assert sum(x.score - x.base_score for x in got if x.held_out) / tokens > 0.15  # log10(2) = 0.3 at best
