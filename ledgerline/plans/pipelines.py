@@ -22,6 +22,7 @@ longer have rows.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,17 +90,23 @@ def fill_turnover(wh: Warehouse, period: Period) -> None:
 def fill_opening(wh: Warehouse, period: Period, rate_rule: str = "exact") -> None:
     """The seed row of every account on the opening date.
 
-    Balances delivered for that date count first and replace its partition
+    Balances delivered for that date count first. If the month before was run
+    (the mart has the day before, too), they replace the rolled rows of their
+    accounts and all other accounts keep theirs; else they are the whole day
     (the source system emptied the whole mart). Where none are delivered the
-    day must have been rolled by the run of the month before; it is left
-    alone. With neither there is nothing to start from, which is an error.
+    day must have been rolled; it is left alone. With neither there is nothing
+    to start from, which is an error.
     """
+    mart = wh.path("dm", BALANCE_MART)
     o = bal.opening_balance(wh.read("ds", "ft_balance_f"), wh.read("ds", "md_exchange_rate_d"),
                             period.opening, rate_rule)
     if not o.isEmpty():
-        sinks.replace_days(_mart_types(o), wh.path("dm", BALANCE_MART), "on_date",
-                           period.opening, period.opening)
-    elif not sinks.has_rows(wh.spark, wh.path("dm", BALANCE_MART), "on_date", period.opening):
+        o = _mart_types(o)
+        if sinks.has_rows(wh.spark, mart, "on_date", period.opening - dt.timedelta(days=1)):
+            rolled = _balance_mart(wh).where(F.col("on_date") == F.lit(period.opening))
+            o = o.unionByName(rolled.join(o.select("account_rk"), "account_rk", "left_anti"))
+        sinks.replace_days(o, mart, "on_date", period.opening, period.opening)
+    elif not sinks.has_rows(wh.spark, mart, "on_date", period.opening):
         raise ValueError(f"no balances delivered or rolled for {period.opening}")
 
 
@@ -138,13 +145,14 @@ def fill_report(wh: Warehouse, period: Period) -> None:
 
 def report_unmatched(wh: Warehouse, period: Period) -> None:
     """Writes what the marts of the period leave out: turnover without a valid
-    account, accounts without a ledger, opening balances without an account."""
+    account, accounts without a ledger, balances of the opening used (delivered
+    or rolled) without an account."""
     accounts = wh.read("ds", "md_account_d")
     turnover = tov.daily_turnover(wh.read("ds", "ft_posting_f"), period)
     found = {"turnover_unmatched": tov.unmatched_turnover(turnover, accounts),
              "accounts_without_ledger": rep.accounts_without_ledger(
                  accounts, wh.read("ds", "md_ledger_account_s"), period),
-             "orphan_balances": rep.orphan_balances(wh.read("ds", "ft_balance_f"), accounts, period)}
+             "orphan_balances": rep.orphan_balances(_balance_mart(wh), accounts, period)}
     for name, rows in found.items():
         sinks.full_refresh(rows, wh.path("rejects", name))
 
