@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import crf, exact_dedup, hmm, language, mixing, near_dup, packing, quality, topk, warc
+from ledgerline.llm import (clusters, crf, exact_dedup, hmm, language, mixing, near_dup, packing, quality, topk,
+                            warc)
 from ledgerline.llm.common import crc_fold, table
 
 
@@ -82,15 +83,48 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "class_id", "class_size", "kept")
 
 
+def op11_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with the nearest of 16 centroids after three rounds."""
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_exact_topk, op2_language_id, op3_hmm_scoring, op4_harmonic_packing,
                              op5_compression_quality, op6_exact_dedup, op7_warc_roundtrip, op8_crf_toxicity,
-                             op9_source_mixing, op10_dart_minhash)
+                             op9_source_mixing, op10_dart_minhash, op11_hadamard_clusters)
 }
 
+
+def _cluster_sql(rounds: int = 3, centroids: int = 16) -> str:
+    """The clustering in plain SQL: every distance, every mean."""
+    near = """a{n} AS MATERIALIZED (SELECT row, min(struct_pack(d := d, k := k)) AS best FROM (
+  SELECT v.row, c.k, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+  FROM v, c{n} AS c) GROUP BY row)"""
+    move = """c{m} AS MATERIALIZED (SELECT c.k, coalesce(m.x, c.x) AS x FROM c{n} AS c LEFT JOIN (
+  SELECT k, list((s - ((s % w) + w) % w) // w ORDER BY i) AS x FROM (
+    SELECT a.best.k AS k, i, sum(v.x[i])::HUGEINT AS s, count(*)::HUGEINT AS w
+    FROM a{n} AS a JOIN v USING (row), range(1, 65) AS r(i) GROUP BY a.best.k, i) GROUP BY k) AS m ON m.k = c.k)"""
+    steps = [near.format(n=0)]
+    for n in range(rounds):
+        steps += [move.format(n=n, m=n + 1), near.format(n=n + 1)]
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::HUGEINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS k, x FROM v
+  ORDER BY sha256('1:' || vec_id), x LIMIT {centroids}),
+{", ".join(steps)}
+SELECT v.vec_id, a.best.k::INTEGER AS cluster, a.best.d AS distance,
+  sum(a.best.d) OVER (PARTITION BY a.best.k)::BIGINT AS cluster_inertia, sum(a.best.d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN v USING (row) JOIN c{rounds} AS c ON c.k = a.best.k"""
+
+
 _SPACE = r"[\x20\x09-\x0D]+"
 
 LLM_ORACLE: dict[str, str] = {
+    "op11_hadamard_clusters": _cluster_sql(),
     "op1_exact_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
