@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (clusters, crf, exact_dedup, hmm, language, mixing, near_dup, packing, quality, topk,
-                            warc)
+from ledgerline.llm import (clusters, crf, exact_dedup, hmm, jaccard, language, mixing, near_dup, packing, quality,
+                            spelling, topk, warc)
 from ledgerline.llm.common import crc_fold, table
 
 
@@ -88,10 +88,21 @@ def op11_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_pivotal_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with the more frequent word it is a variant of; one slip in 199 words by the contract."""
+    return spelling.variants(table(spark, sf_dir, "documents"), slip_every=199)
+
+
+def op13_combination_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of links (three words, 90 % of the union)."""
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_exact_topk, op2_language_id, op3_hmm_scoring, op4_harmonic_packing,
                              op5_compression_quality, op6_exact_dedup, op7_warc_roundtrip, op8_crf_toxicity,
-                             op9_source_mixing, op10_dart_minhash, op11_hadamard_clusters)
+                             op9_source_mixing, op10_dart_minhash, op11_hadamard_clusters,
+                             op12_pivotal_spelling, op13_combination_jaccard)
 }
 
 
