@@ -12,12 +12,11 @@ from ledgerline.functions.dates import date_days, lit_date
 from ledgerline.functions.ledger import signed_movement
 from ledgerline.model import Period
 from ledgerline.operators.fx import rates_starting_on, with_rate_on
-from ledgerline.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from ledgerline.operators.sizing import spread_join
 
 
 def opening_balance(balances: DataFrame, rates: DataFrame, on_date: dt.date,
-                    rate_rule: str = "exact",
-                    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    rate_rule: str = "exact") -> DataFrame:
     """on_date, account_rk, balance_out, balance_out_rub for the seed day.
 
     ``exact`` (default): the rate whose validity starts on ``on_date``,
@@ -27,8 +26,7 @@ def opening_balance(balances: DataFrame, rates: DataFrame, on_date: dt.date,
     """
     b = balances.where(F.col("on_date") == lit_date(on_date))
     if rate_rule == "exact":
-        r = bounded_broadcast(rates_starting_on(rates, on_date), broadcast_rows)
-        valued = b.join(r, "currency_rk", "left")
+        valued = spread_join(b, rates_starting_on(rates, on_date), "currency_rk", "left")
     elif rate_rule == "as_of":
         valued = with_rate_on(b, rates, "on_date", "currency_rk")
     else:

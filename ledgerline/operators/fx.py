@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import lit_date
-from ledgerline.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from ledgerline.operators.sizing import SPREAD, spread_join
 
 OPEN_END = dt.date(9999, 12, 31)
+#: Days per bucket of the interval join.
+BUCKET_DAYS = 32
+#: Buckets are numbered between these days; what lies beyond falls into the first or the last.
+FIRST_DAY, LAST_DAY = dt.date(1980, 1, 1), dt.date(2100, 1, 1)
 
 
 def rates_starting_on(rates: DataFrame, day: dt.date) -> DataFrame:
@@ -38,18 +42,39 @@ def rate_intervals(rates: DataFrame) -> DataFrame:
         "reduced_cource")
 
 
+def day_bucket(day: Column, days: int = BUCKET_DAYS) -> Column:
+    """Number of the bucket a day falls into. Days before ``FIRST_DAY`` and
+    after ``LAST_DAY`` share the outermost buckets, so an open interval has a
+    bounded number of them."""
+    inside = F.least(F.greatest(day, lit_date(FIRST_DAY)), lit_date(LAST_DAY))
+    return F.floor(F.unix_date(inside) / days).cast("int")
+
+
+def in_buckets(intervals: DataFrame, first: str = "valid_from", last: str = "valid_to",
+               days: int = BUCKET_DAYS) -> DataFrame:
+    """A row per interval and bucket it touches, with the column ``_bucket``; empty intervals have none."""
+    touched = F.sequence(day_bucket(F.col(first), days), day_bucket(F.col(last), days))
+    return intervals.where(F.col(first) <= F.col(last)).withColumn("_bucket", F.explode(touched))
+
+
 def with_rate_on(df: DataFrame, rates: DataFrame, date_col: str = "on_date",
                  currency_col: str = "currency_rk", out: str = "reduced_cource",
-                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 spread: int = SPREAD, days: int = BUCKET_DAYS) -> DataFrame:
     """Left interval join (J2): the rate of ``currency_col`` valid on
-    ``date_col``; NULL when there is none.
+    ``date_col``; NULL when there is none, or where date or currency is NULL.
 
-    Equi-join on currency plus a range condition. The rate table is
-    broadcast when it is proven small, otherwise it is a shuffle join on
-    currency that AQE splits if one currency dominates.
+    Validity is split into buckets of days and the join is an equi-join on
+    (currency, bucket, spread): a row meets the few rates of its currency
+    and bucket, however long the rate history, and a hot currency's rows of
+    one bucket go to ``spread`` tasks (see :mod:`ledgerline.operators.sizing`).
+    The interval itself stays a condition of the join, so the outermost
+    buckets are exact, too.
     """
-    r = bounded_broadcast(rate_intervals(rates), broadcast_rows).alias("_r")
-    d = df.alias("_d")
-    cond = ((F.col(f"_d.{currency_col}") == F.col("_r.currency_rk"))
-            & F.col(f"_d.{date_col}").between(F.col("_r.valid_from"), F.col("_r.valid_to")))
-    return d.join(r, cond, "left").select("_d.*", F.col("_r.reduced_cource").alias(out))
+    r = in_buckets(rate_intervals(rates), days=days).select(
+        F.col("currency_rk").alias("_r_currency"), F.col("_bucket").alias("_r_bucket"),
+        F.col("valid_from").alias("_r_from"), F.col("valid_to").alias("_r_to"),
+        F.col("reduced_cource").alias("_r_rate"))
+    d = df.withColumn("_bucket", day_bucket(F.col(date_col), days))
+    cond = ((F.col(currency_col) == F.col("_r_currency")) & (F.col("_bucket") == F.col("_r_bucket"))
+            & F.col(date_col).between(F.col("_r_from"), F.col("_r_to")))
+    return spread_join(d, r, cond, "left", spread).select(*df.columns, F.col("_r_rate").alias(out))

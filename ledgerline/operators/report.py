@@ -10,7 +10,7 @@ from ledgerline.functions.dates import lit_date
 from ledgerline.functions.ledger import currency_class_sums, is_domestic, ledger_code, signed_movement
 from ledgerline.model import Period
 from ledgerline.operators.balance import accounts_in_period, movements
-from ledgerline.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from ledgerline.operators.sizing import spread_join
 from ledgerline.operators.turnover import in_period
 
 
@@ -21,16 +21,12 @@ def ledgers_in_period(ledger: DataFrame, period: Period) -> DataFrame:
         & (F.col("end_date").isNull() | (F.col("end_date") >= lit_date(period.end))))
 
 
-def assign_ledger(accounts: DataFrame, ledger: DataFrame, period: Period,
-                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def assign_ledger(accounts: DataFrame, ledger: DataFrame, period: Period) -> DataFrame:
     """Each account with the ledger named by the first five characters of
     its number: accounts columns + ledger_account, chapter, characteristic.
-    The ledger is a small dimension, joined by broadcast when proven so."""
-    led = bounded_broadcast(
-        ledgers_in_period(ledger, period).select("ledger_account", "chapter", "characteristic"),
-        broadcast_rows)
-    return (accounts.withColumn("ledger_account", ledger_code("account_number"))
-            .join(led, "ledger_account", "inner"))
+    The ledger is a small dimension; a ledger that holds most accounts is spread."""
+    led = ledgers_in_period(ledger, period).select("ledger_account", "chapter", "characteristic")
+    return spread_join(accounts.withColumn("ledger_account", ledger_code("account_number")), led, "ledger_account")
 
 
 def accounts_without_ledger(accounts: DataFrame, ledger: DataFrame, period: Period) -> DataFrame:
@@ -61,8 +57,7 @@ def orphan_balances(balances: DataFrame, accounts: DataFrame, period: Period) ->
 
 def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
             turnover: DataFrame, period: Period, closing: DataFrame | None = None,
-            rates: DataFrame | None = None,
-            broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            rates: DataFrame | None = None) -> DataFrame:
     """Monthly trial balance per ledger, split domestic / foreign.
 
     from_date, to_date, chapter, ledger_account (text), characteristic and
@@ -85,7 +80,7 @@ def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
     sums are combined map-side, so a ledger holding most accounts is no hot
     spot.
     """
-    acc = assign_ledger(accounts_in_period(accounts, period), ledger, period, broadcast_rows)
+    acc = assign_ledger(accounts_in_period(accounts, period), ledger, period)
     keys = ["account_rk", "currency_rk", "currency_code", "char_type", "chapter",
             "ledger_account", "characteristic", "first_day", "last_day"]
     base = acc.select(*keys)

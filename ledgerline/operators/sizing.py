@@ -1,42 +1,46 @@
-"""Broadcast only what is proven small.
-
-Two ways to prove it:
-
-Joins on a low-cardinality key (ledger code, currency) must not become
-shuffle joins at all: the shuffle would send every row of a hot ledger or
-currency to one task. Their dimension side is therefore broadcast behind a
-row-count check (the default below); only beyond it does the join fall back
-to a shuffle join, which AQE's skew handling then splits.
-
-* ``broadcast_rows=None``: leave it to Spark. The planner
-  broadcasts a side only when its estimated size is under
-  ``spark.sql.autoBroadcastJoinThreshold``; with AQE the decision is taken
-  again on the actual size of the finished shuffle stage
-  (``spark.sql.adaptive.autoBroadcastJoinThreshold``). Above the threshold
-  the join stays a shuffle join. No extra job.
-* ``broadcast_rows=N`` (default N = 1,000,000): count at most N+1 rows of
-  the side first and hint ``broadcast`` when it has at most N rows. One
-  small extra job; the size estimate of a derived dimension (an aggregate
-  over a fact table) is the size of the fact table, so it cannot be
-  trusted.
+"""Joins of facts to a dimension on a low-cardinality key (ledger code, currency).
+
+Such a join must not send all rows of a hot key to one task:
+
+* A dimension that the planner estimates at ``BROADCAST_BYTES`` or less is
+  broadcast. The estimate comes from the sizes of the files it is read from
+  (dimensions are stored tables), so it costs no job; it is Spark's own, and
+  a dimension of unknown size counts as large.
+* Beyond that the join is a shuffle join with spread keys: every fact row
+  draws one of ``spread`` numbers from its own hash, every dimension row is
+  repeated for each number, and the join is on (key, number). A key's facts
+  go to ``spread`` tasks, whatever its share.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS: int | None = 1_000_000
+#: Estimated bytes of a dimension up to which it is broadcast.
+BROADCAST_BYTES = 8 << 20
+#: Tasks the facts of one key go to at most in a shuffle join.
+SPREAD = 16
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``
-    unchanged (and so subject to the planner's own size threshold).
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's size estimate; no job runs. Unknown sizes come out huge."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the answer is "too big".
+
+def spread_join(facts: DataFrame, dim: DataFrame, on: Column | str, how: str = "inner",
+                spread: int = SPREAD) -> DataFrame:
+    """``facts.join(dim, on, how)`` for a dimension with a hot key (see module text).
+
+    ``on``: a column name both sides have, or a condition over the columns of
+    both; ``how``: ``inner`` or ``left``.
     """
-    if max_rows is None or max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if estimated_bytes(dim) <= BROADCAST_BYTES:
+        return facts.join(F.broadcast(dim), on, how)
+    left = facts.withColumn("_spread", F.pmod(F.xxhash64(*facts.columns), F.lit(spread)))
+    right = dim.withColumn("_dim_spread", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
+    same = F.col("_spread") == F.col("_dim_spread")
+    if isinstance(on, str):
+        right = right.withColumnRenamed(on, "_dim_key")
+        return left.join(right, same & (F.col(on) == F.col("_dim_key")), how).drop("_dim_key", "_spread", "_dim_spread")
+    return left.join(right, same & on, how).drop("_spread", "_dim_spread")

@@ -9,7 +9,8 @@ so agreement checks the Spark plan's shortcuts too.
 from __future__ import annotations
 
 from ledgerline.model import ACTIVE, DEFAULT_PERIOD, PASSIVE, Period
-from ledgerline.sources.fixtures import MARKET_SEGMENTS
+from ledgerline.sources.fixtures import (LONG_RATE_QUOTES, LONG_RATE_START, LONG_RATE_STEP,
+                                         MARKET_SEGMENTS)
 
 
 def _d(x) -> str:
@@ -33,7 +34,40 @@ account AS (
 )"""
 
 
-def views(p: Period, versions: bool = False) -> str:
+def _overlapping(p: Period) -> str:
+    """The account view cut out of overlapping versions: the winner of every day, then runs of days."""
+    at = {n: _d(p.start.fromordinal(p.start.toordinal() + n)) for n in (4, 7, 9, 11, 19)}
+    several = f"account_rk % 15 = 0 AND data_actual_date = {_d(p.start)}"
+    other = f"CASE WHEN char_type = '{ACTIVE}' THEN '{PASSIVE}' ELSE '{ACTIVE}' END"
+    return f""",
+delivered AS (
+  SELECT * FROM account_once
+  UNION ALL SELECT * REPLACE ({at[4]} AS data_actual_end_date, '30301' || substr(account_number, 6) AS account_number)
+  FROM account_once WHERE {several}
+  UNION ALL SELECT * REPLACE ({at[7]} AS data_actual_date, {at[19]} AS data_actual_end_date,
+                              '30302' || substr(account_number, 6) AS account_number)
+  FROM account_once WHERE {several}
+  UNION ALL SELECT * REPLACE ({at[9]} AS data_actual_date, {at[11]} AS data_actual_end_date, {other} AS char_type)
+  FROM account_once WHERE {several}
+),
+delivered_day AS (
+  SELECT v.*, CAST(g.d AS DATE) AS day,
+         row_number() OVER (PARTITION BY account_rk, g.d ORDER BY data_actual_date DESC, data_actual_end_date,
+                            account_number DESC, char_type DESC, currency_rk DESC, currency_code DESC) AS rank
+  FROM delivered v, LATERAL (SELECT unnest(generate_series(CAST(v.data_actual_date AS TIMESTAMP),
+                             CAST(v.data_actual_end_date AS TIMESTAMP), INTERVAL 1 DAY)) AS d) g
+),
+account AS (
+  SELECT min(day) AS data_actual_date, max(day) AS data_actual_end_date, account_rk, account_number, char_type,
+         currency_rk, currency_code
+  FROM (SELECT *, day - CAST(row_number() OVER (PARTITION BY account_rk, data_actual_date, data_actual_end_date,
+                      account_number, char_type ORDER BY day) AS INTEGER) AS run
+        FROM delivered_day WHERE rank = 1) r
+  GROUP BY account_rk, account_number, char_type, currency_rk, currency_code, data_actual_date, data_actual_end_date, run
+)"""
+
+
+def views(p: Period, versions: str | None = None) -> str:
     seg = " ".join(f"WHEN '{s}' THEN {30101 + i}" for i, s in enumerate(MARKET_SEGMENTS))
     ccy = "CASE {k} WHEN 0 THEN '643' WHEN 1 THEN '810' ELSE CAST({k} + 100 AS VARCHAR) END"
     prev_end = p.opening.fromordinal(p.opening.toordinal() - 1)
@@ -61,7 +95,7 @@ acc_parts AS (
          CASE WHEN ledger_account % 2 = 1 THEN '{ACTIVE}' ELSE '{PASSIVE}' END AS char_type,
          currency_rk, code AS currency_code
   FROM (SELECT *, {ccy.format(k='currency_rk')} AS code FROM acc_parts) t
-){_versioned(p) if versions else ''},
+){ {None: lambda p: '', 'versions': _versioned, 'overlapping': _overlapping}[versions](p)},
 balance AS (
   SELECT {_d(p.opening)} AS on_date, account_rk, currency_rk, opening_amount AS balance_out
   FROM acc_parts
@@ -193,7 +227,8 @@ FORM101_COLUMNS = (
 
 
 #: Queries over the account view with several versions.
-VERSIONED = {"account_versions_balance", "form101_versions"}
+VERSIONED = {"account_versions_balance": "versions", "form101_versions": "versions",
+             "account_versions_disjoint": "overlapping", "overlapping_versions_balance": "overlapping"}
 
 
 def _bodies(p: Period) -> dict[str, str]:
@@ -289,6 +324,35 @@ def _bodies(p: Period) -> dict[str, str]:
         "account_versions_balance": """
             SELECT on_date, account_rk, CAST(balance_out AS DOUBLE) AS balance_out,
                    CAST(balance_out_rub AS DOUBLE) AS balance_out_rub FROM daily_balance""",
+        "overlapping_versions_balance": """
+            SELECT on_date, account_rk, CAST(balance_out AS DOUBLE) AS balance_out,
+                   CAST(balance_out_rub AS DOUBLE) AS balance_out_rub FROM daily_balance""",
+        "account_versions_disjoint": "SELECT * FROM account",
+        # what a full rebuild from all postings gives
+        "balance_restated": """
+            SELECT on_date, account_rk, CAST(balance_out AS DOUBLE) AS balance_out,
+                   CAST(balance_out_rub AS DOUBLE) AS balance_out_rub FROM daily_balance""",
+        "turnover_fx_long_rates": f"""
+            SELECT t.on_date, t.account_rk, a.currency_rk, CAST(r.reduced_cource AS DOUBLE) AS rate,
+                   CAST(t.credit_amount * coalesce(r.reduced_cource, 1) AS DOUBLE) AS credit_amount_rub,
+                   CAST(t.debet_amount * coalesce(r.reduced_cource, 1) AS DOUBLE) AS debet_amount_rub
+            FROM (SELECT on_date, account_rk, sum(credit_amount) AS credit_amount, sum(debet_amount) AS debet_amount
+                  FROM moves GROUP BY on_date, account_rk) t
+            JOIN acc_parts a ON a.account_rk = t.account_rk
+            LEFT JOIN (
+              SELECT k, d0, reduced_cource, coalesce(least(d1, lead(d0) OVER (PARTITION BY k ORDER BY d0) - 1), d1) AS d1
+              FROM (SELECT k, d0, coalesce(d1, DATE '9999-12-31') AS d1, reduced_cource,
+                           row_number() OVER (PARTITION BY k, d0 ORDER BY d1 NULLS FIRST, reduced_cource) AS rank
+                    FROM (SELECT CAST(s_nationkey AS INTEGER) AS k,
+                                 DATE '{LONG_RATE_START}' + CAST(n * {LONG_RATE_STEP} + s_suppkey % 2 * 7 AS INTEGER) AS d0,
+                                 CASE WHEN n < {LONG_RATE_QUOTES - 1} THEN DATE '{LONG_RATE_START}'
+                                   + CAST(n * {LONG_RATE_STEP} + s_suppkey % 2 * 7 + CASE WHEN n % 10 = 9 THEN 5 ELSE 30 END
+                                          AS INTEGER) END AS d1,
+                                 CAST(CAST((10 + (s_nationkey * 7 + n) % 50) * 10 + (s_suppkey % 4) * 25 AS DECIMAL(10,4))
+                                      / 100 AS DECIMAL(10,4)) AS reduced_cource
+                          FROM supplier, range({LONG_RATE_QUOTES}) AS q(n)
+                          WHERE s_nationkey >= 2 AND s_nationkey % 5 <> 4) quotes) ranked
+              WHERE rank = 1) r ON r.k = a.currency_rk AND t.on_date BETWEEN r.d0 AND r.d1""",
         "form101": f"SELECT {FORM101_COLUMNS} FROM form101",
         "form101_versions": f"SELECT {FORM101_COLUMNS} FROM form101",
         "report_roundtrip": f"SELECT {FORM101_COLUMNS} FROM form101",
@@ -306,4 +370,4 @@ def _bodies(p: Period) -> dict[str, str]:
 
 
 def oracle_queries(p: Period = DEFAULT_PERIOD) -> dict[str, str]:
-    return {k: f"WITH {views(p, k in VERSIONED).strip()}\n{body.strip()}" for k, body in _bodies(p).items()}
+    return {k: f"WITH {views(p, VERSIONED.get(k)).strip()}\n{body.strip()}" for k, body in _bodies(p).items()}

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ledgerline.model import RUN_STATUSES, Period
 from ledgerline.operators import balance as bal
 from ledgerline.operators import report as rep
+from ledgerline.operators import restate as rst
 from ledgerline.operators import turnover as tov
 from ledgerline.operators.conform import Conformed, conform, dedupe
 from ledgerline.operators.runlog import RunJournal
@@ -157,6 +158,27 @@ def report_unmatched(wh: Warehouse, period: Period) -> None:
         sinks.full_refresh(rows, wh.path("rejects", name))
 
 
+def restate(wh: Warehouse, period: Period, since: dt.date) -> None:
+    """The marts of a filled period after postings from ``since`` on were
+    delivered late (and ingested): changed accounts get their balances from
+    their first changed day on, the report is summed again.
+
+    The balances are replaced before the turnover they are compared with, so a
+    run that breaks off in between finds the same changes again.
+    """
+    rest_of = Period(since, period.end)
+    accounts = wh.read("ds", "md_account_d")
+    new = _mart_types(tov.turnover_fx(wh.read("ds", "ft_posting_f"), accounts, wh.read("ds", "md_exchange_rate_d"),
+                                      rest_of))
+    changes = rst.turnover_changes(_turnover_mart(wh, rest_of), new)
+    path = f"{wh.path('dm', TURNOVER_MART)}_changes"
+    sinks.full_refresh(changes, path)
+    b = rst.restated_balance(accounts, _balance_mart(wh), wh.spark.read.parquet(path), new, period, since)
+    sinks.replace_days(_mart_types(b), wh.path("dm", BALANCE_MART), "on_date", since, period.end)
+    sinks.replace_days(new, wh.path("dm", TURNOVER_MART), "on_date", since, period.end)
+    fill_report(wh, period)
+
+
 def run_fill_procedure(spark: SparkSession, landing_dir: str, warehouse: str,
                        period: Period) -> str:
     """Ingest -> turnover -> opening -> balance (-> report), journalled.

@@ -20,9 +20,12 @@ from ledgerline.model import DASHED_DATE, DEFAULT_PERIOD, DOTTED_DATE, ISO_DATE,
 from ledgerline.operators import balance as bal
 from ledgerline.operators import conform as cf
 from ledgerline.operators import report as rep
+from ledgerline.operators import restate as rst
 from ledgerline.operators import runlog
 from ledgerline.operators import turnover as tov
-from ledgerline.session import checkpoint_root, shared_dir
+from ledgerline.operators import versions as ver
+from ledgerline.operators.fx import with_rate_on
+from ledgerline.session import shared_dir
 from ledgerline.sources import csv as csvio
 from ledgerline.sources import fixtures as fx
 from ledgerline.sources import sinks
@@ -55,19 +58,21 @@ def _once(method):
 
 
 def _materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint folder (shared
-    storage on a cluster): computed once, lineage cut, survives the loss of
-    the executors that computed it."""
-    checkpoint_root(spark)
-    return df.checkpoint(eager=True)
+    """A table in the session's checkpoint folder (shared storage on a
+    cluster), read back: computed once, lineage cut, survives the loss of the
+    executors that computed it. Spark knows its size when it plans joins."""
+    path = shared_dir(spark, "dimension")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Model:
     """The banking tables of one period over one driver-table folder;
-    ``versions``: part of the accounts have two versions in the period."""
+    ``versions``: part of the accounts have two versions in the period;
+    ``"overlapping"``: several that overlap, as delivered."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, period: Period = DEFAULT_PERIOD,
-                 versions: bool = False):
+                 versions: bool | str = False):
         self.spark, self.period, self.versions = spark, period, versions
         self.db = fx.DriverTables.shared(spark, sf_dir)
         self._views: dict[str, DataFrame] = {}
@@ -79,6 +84,8 @@ class Model:
     @_once
     def accounts(self) -> DataFrame:
         a = fx.accounts(self.db, self.period, self.account_parts())
+        if self.versions == "overlapping":
+            return ver.disjoint_versions(fx.overlapping(a, self.period))
         return fx.versioned(a, self.period) if self.versions else a
 
     @_once
@@ -315,6 +322,56 @@ def q_account_versions_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_out(b, ["balance_out", "balance_out_rub"])
 
 
+def q_turnover_fx_long_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turnover, valued with seven years of rates that overlap, leave gaps and end open."""
+    m = Model(spark, sf_dir)
+    rates = _materialize(spark, cf.keep_first(
+        fx.long_rates_raw(m.db), EXCHANGE_RATE.dedupe_keys, EXCHANGE_RATE.dedupe_order))
+    of = m.account_parts().select(F.col("account_rk").alias("_rk"), "currency_rk")
+    moved = tov.daily_turnover(m.postings()).join(of, F.col("account_rk") == F.col("_rk")).drop("_rk")
+    rated = with_rate_on(moved, rates, out="rate")
+    k = F.coalesce("rate", F.lit(1))
+    out = rated.select("on_date", "account_rk", "currency_rk", "rate", (F.col("credit_amount") * k).alias("credit_amount_rub"),
+                       (F.col("debet_amount") * k).alias("debet_amount_rub"))
+    return _money_out(out, ["rate", "credit_amount_rub", "debet_amount_rub"])
+
+
+def q_account_versions_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping, nested and equally starting account versions, cut so that one counts on a day."""
+    return Model(spark, sf_dir, versions="overlapping").accounts()
+
+
+def q_overlapping_versions_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-forward over versions that were delivered overlapping."""
+    b = Model(spark, sf_dir, versions="overlapping").daily_balance()
+    return _money_out(b, ["balance_out", "balance_out_rub"])
+
+
+def q_balance_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The balance mart, filled without some postings of the month's last part and restated when they arrive late."""
+    m = Model(spark, sf_dir)
+    root, first_late = shared_dir(spark, "restated"), m.period.start.replace(day=11)
+    late = (F.col("credit_account_rk") % 7 == 0) & (F.col("oper_date") >= F.lit(first_late))
+    early = tov.turnover_fx(m.postings().where(~late), m.accounts(), m.rates(), m.period)
+    turnover, balance = f"{root}/account_turnover_f", f"{root}/account_balance_f"
+    sinks.replace_days(early, turnover, "on_date", m.period.start, m.period.end)
+    early = spark.read.schema(early.schema).parquet(turnover)
+    filled = bal.daily_balance(m.accounts(), m.opening(), early, m.period)
+    opening = m.opening().select(*[F.col(f.name).cast(f.dataType) for f in filled.schema])
+    sinks.replace_days(filled.unionByName(opening), balance, "on_date", m.period.opening, m.period.end)
+    mart = spark.read.schema(filled.schema).parquet(balance)
+
+    rest_of = Period(first_late, m.period.end)
+    new = tov.turnover_fx(m.postings(), m.accounts(), m.rates(), rest_of)
+    changes = rst.turnover_changes(tov.in_period(early, "on_date", rest_of), new)
+    again = rst.restated_balance(m.accounts(), mart, _materialize(spark, changes), new, m.period, first_late)
+    # the balances first: after a crash in between the same changes are found again
+    sinks.replace_days(again, balance, "on_date", first_late, m.period.end)
+    sinks.replace_days(new, turnover, "on_date", first_late, m.period.end)
+    back = spark.read.schema(filled.schema).parquet(balance)
+    return _money_out(tov.in_period(back, "on_date", m.period), ["balance_out", "balance_out_rub"])
+
+
 # --- step 5: ledger, orphans, report ---------------------------------------
 
 def q_ledger_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,6 +455,10 @@ QUERIES: dict[str, Query] = {
     "turnover_fx": q_turnover_fx,
     "daily_balance": q_daily_balance,
     "account_versions_balance": q_account_versions_balance,
+    "turnover_fx_long_rates": q_turnover_fx_long_rates,
+    "account_versions_disjoint": q_account_versions_disjoint,
+    "overlapping_versions_balance": q_overlapping_versions_balance,
+    "balance_restated": q_balance_restated,
     "ledger_assign": q_ledger_assign,
     "turnover_unmatched": q_turnover_unmatched,
     "accounts_without_ledger": q_accounts_without_ledger,

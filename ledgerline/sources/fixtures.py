@@ -157,6 +157,33 @@ def versioned(accounts: DataFrame, period: Period) -> DataFrame:
     return accounts.select(*rest, F.inline(versions)).select(*accounts.columns)
 
 
+def overlapping(accounts: DataFrame, period: Period) -> DataFrame:
+    """md_account_d with overlapping versions of every fifth customer account.
+
+    Over the account's own version lie one that starts with it and ends on
+    the 5th, one from the 8th to the 20th and inside it one from the 10th to
+    the 12th of the opposite kind; the second and third under the reserve
+    ledgers.
+    """
+    start, end, number, kind = (F.col(c) for c in (
+        "data_actual_date", "data_actual_end_date", "account_number", "char_type"))
+
+    def version(first, last, ledger, of_kind):
+        text = number if ledger is None else F.concat(F.lit(str(ledger)), F.substring(number, 6, 100))
+        return F.struct(first.alias("data_actual_date"), last.alias("data_actual_end_date"),
+                        text.alias("account_number"), of_kind.alias("char_type"))
+
+    own = version(start, end, None, kind)
+    more = F.array(own, version(start, F.date_add(start, 4), RESERVE_LEDGER_DOMESTIC, kind),
+                   version(F.date_add(start, 7), F.date_add(start, 19), RESERVE_LEDGER_FOREIGN, kind),
+                   version(F.date_add(start, 9), F.date_add(start, 11), None,
+                           F.when(kind == ACTIVE, F.lit(PASSIVE)).otherwise(F.lit(ACTIVE))))
+    several = (F.col("account_rk") % 15 == 0) & (start == lit_date(period.start))
+    rest = [c for c in accounts.columns
+            if c not in ("data_actual_date", "data_actual_end_date", "account_number", "char_type")]
+    return accounts.select(*rest, F.inline(F.when(several, more).otherwise(F.array(own)))).select(*accounts.columns)
+
+
 def opening_balances(db: DriverTables, period: Period, parts: DataFrame | None = None) -> DataFrame:
     """ft_balance_f: on_date, account_rk, currency_rk, balance_out."""
     p = parts if parts is not None else _account_parts(db, period)
@@ -219,6 +246,31 @@ def exchange_rates_raw(db: DriverTables, period: Period) -> DataFrame:
         currency_code(F.col("currency_rk")).alias("code_iso_num"))
 
 
+#: Rate history: quotes of a supplier, days between them and first day.
+LONG_RATE_QUOTES, LONG_RATE_STEP, LONG_RATE_START = 130, 20, "1994-12-01"
+
+
+def long_rates_raw(db: DriverTables) -> DataFrame:
+    """Seven years of rate quotes, in the layout of md_exchange_rate_d.
+
+    Every supplier quotes its nation's currency (those that have rates, see
+    :func:`exchange_rates_raw`) every 20 days, suppliers with odd keys a
+    week later. A quote holds for 31 days, into the next ones; every tenth
+    for 6 days only, which leaves gaps; the last has an open end.
+    """
+    n = F.col("n")
+    first = F.date_add(F.lit(LONG_RATE_START).cast("date"), (n * LONG_RATE_STEP + F.col("s_suppkey") % 2 * 7).cast("int"))
+    last = F.when(n < LONG_RATE_QUOTES - 1, F.date_add("d0", F.when(n % 10 == 9, 5).otherwise(30)))
+    quotes = (db.table("supplier").select(F.col("s_nationkey").cast("int").alias("currency_rk"), "s_suppkey")
+              .where((F.col("currency_rk") >= 2) & (F.col("currency_rk") % 5 != 4))
+              .withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(LONG_RATE_QUOTES - 1)))).withColumn("d0", first))
+    hundredths = (10 + (F.col("currency_rk") * 7 + n) % 50) * 10 + (F.col("s_suppkey") % 4) * 25
+    return quotes.select(
+        F.col("d0").alias("data_actual_date"), last.alias("data_actual_end_date"), "currency_rk",
+        (hundredths.cast(RATE_IN) / 100).cast(RATE_IN).alias("reduced_cource"),
+        currency_code(F.col("currency_rk")).alias("code_iso_num"))
+
+
 def ledger(db: DriverTables) -> DataFrame:
     """md_ledger_account_s: every ledger an account of the fixture can
     carry, derived from the segments and nations present in the data."""

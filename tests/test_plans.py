@@ -56,7 +56,9 @@ def test_low_cardinality_dimensions_are_broadcast(plans):
         assert re.search(r"BroadcastHashJoin \[ledger_account#\d+\]", plans[name]), name
         assert not re.search(r"hashpartitioning\(ledger_account", plans[name]), name
     for name in ("turnover_fx", "form101", "daily_balance", "opening_balance"):
-        assert re.search(r"BroadcastHashJoin \[currency_rk#\d+\]", plans[name]), name
+        by_currency = r"BroadcastHashJoin \[currency_rk#\d+\]" if name == "opening_balance" else \
+            r"BroadcastHashJoin \[currency_rk#\d+, _bucket#\d+\]"  # J2 meets rates by currency and day bucket
+        assert re.search(by_currency, plans[name]), name
 
 
 def test_roll_forward_window_needs_no_extra_exchange(plans):
