@@ -96,10 +96,12 @@ def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
         F.lead("first_day").over(versions).isNull().alias("_last"),
         F.sum(signed_movement(F.col("_deb"), F.col("_cre"))).over(upto).alias("_moved"))
     if closing is not None:
-        # the balance of the account's last valid day in the period
+        # the balance of the account's last valid day in the period. The day is a range, not a join
+        # key: the join then needs no other partitioning than the account's, which all sides have
         bout = in_period(closing, "on_date", period).select(
-            "account_rk", F.col("on_date").alias("last_day"), F.col("balance_out_rub").alias("_out"))
-        rows = rows.join(bout, ["account_rk", "last_day"], "left")
+            F.col("account_rk").alias("_rk"), F.col("on_date").alias("_day"), F.col("balance_out_rub").alias("_out"))
+        rows = rows.join(bout, (F.col("account_rk") == F.col("_rk")) & (F.col("_day") >= F.col("last_day"))
+                         & (F.col("_day") <= F.col("last_day")), "left").drop("_rk", "_day")
     else:
         rows = rows.withColumn(
             "_out", F.coalesce(F.col("_in"), F.lit(0)) + F.col("_moved"))

@@ -354,6 +354,7 @@ def _bodies(p: Period) -> dict[str, str]:
                           WHERE s_nationkey >= 2 AND s_nationkey % 5 <> 4) quotes) ranked
               WHERE rank = 1) r ON r.k = a.currency_rk AND t.on_date BETWEEN r.d0 AND r.d1""",
         "form101": f"SELECT {FORM101_COLUMNS} FROM form101",
+        "form101_from_marts": f"SELECT {FORM101_COLUMNS} FROM form101",
         "form101_versions": f"SELECT {FORM101_COLUMNS} FROM form101",
         "report_roundtrip": f"SELECT {FORM101_COLUMNS} FROM form101",
         "run_log_status": """

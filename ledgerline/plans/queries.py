@@ -30,6 +30,7 @@ from ledgerline.sources import csv as csvio
 from ledgerline.sources import fixtures as fx
 from ledgerline.sources import sinks
 from ledgerline.sources.ingest import ingest_folder
+from ledgerline.sources.marts import BucketedMart
 from ledgerline.sources.specs import (ACCOUNT, BALANCE, CURRENCY, EXCHANGE_RATE, LEDGER,
                                       POSTING, REPORT, REPORT_MEASURES)
 
@@ -390,6 +391,30 @@ def q_form101(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_out(Model(spark, sf_dir).form101(), REPORT_MEASURES)
 
 
+def marts_of(m: Model, root: str) -> dict[str, BucketedMart]:
+    """The accounts, the turnover and the balances of the period (with the opening date) as bucketed marts."""
+    parts = {"md_account_d": (m.accounts(), None), "account_turnover_f": (m.turnover(), "on_date"),
+             "account_balance_f": (m.daily_balance(), "on_date")}
+    marts = {n: BucketedMart(m.spark, f"{root}/{n}", df.schema, day=day) for n, (df, day) in parts.items()}
+    marts["md_account_d"].refresh(m.accounts())
+    marts["account_turnover_f"].replace_days(m.turnover(), m.period.start, m.period.end)
+    opening = m.opening().select(*[F.col(f.name).cast(f.dataType) for f in m.daily_balance().schema])
+    marts["account_balance_f"].replace_days(m.daily_balance().unionByName(opening), m.period.opening, m.period.end)
+    return marts
+
+
+def form101_of(m: Model, marts: dict[str, BucketedMart]) -> DataFrame:
+    balance = marts["account_balance_f"].read()
+    return rep.form101(marts["md_account_d"].read(), m.ledger(), balance.where(F.col("on_date") == F.lit(m.period.opening)),
+                       marts["account_turnover_f"].read(), m.period, closing=balance)
+
+
+def q_form101_from_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form 101 out of stored marts, bucketed by account: opening, turnover and closing balances as they stand there."""
+    m = Model(spark, sf_dir)
+    return _money_out(form101_of(m, marts_of(m, shared_dir(spark, "bucketed"))), REPORT_MEASURES)
+
+
 def q_turnover_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Model(spark, sf_dir)
     left = tov.unmatched_turnover(m.daily_turnover(), m.accounts())
@@ -465,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "orphan_balances": q_orphan_balances,
     "form101": q_form101,
     "form101_versions": q_form101_versions,
+    "form101_from_marts": q_form101_from_marts,
     "report_roundtrip": q_report_roundtrip,
     "run_log_status": q_run_log_status,
     "posting_stream_ingest": q_posting_stream_ingest,
