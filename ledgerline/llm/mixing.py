@@ -16,6 +16,8 @@ node, source), so a rerun gives the same mixture.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,10 @@ from ledgerline.llm.common import numbered, stored, word_count
 
 #: Documents per permutation bucket: what one window task sorts, whatever the source's size.
 BUCKET_ROWS = 2_000
+#: Buckets per group: prefix sums run inside groups, then over groups.
+GROUP_BUCKETS = 1_024
+#: Words meant for an output shard; levels of the tree built between two stored tables.
+SHARD_WORDS, STORED_LEVELS = 8_000_000, 8
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -116,11 +122,32 @@ def split_quotas(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
                 "'counts', zip_with(counts, lefts, (c, l) -> c - l))))")
         node = node.where("size(counts) > 0").selectExpr("node", "counts", "ords", f"{left} AS lefts").selectExpr(
             "ords", f"{both} AS child").selectExpr("child.node AS node", "child.counts AS counts", "ords")
+        if level % STORED_LEVELS == STORED_LEVELS - 1:  # the next levels grow from many tasks
+            node = stored(node.repartition("node"), "mix-nodes")
     return node.selectExpr("node AS shard", "explode(arrays_zip(ords, counts)) AS c").selectExpr(
         "cast(shard AS int) AS shard", "c.ords AS ord", "cast(c.counts AS bigint) AS blocks")
 
 
-def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, levels: int = 4,
+def _before(sums: DataFrame, *keys: str) -> DataFrame:
+    """The sums (ord, keys..., bucket, words) with ``before``, the words of all earlier rows of their ``ord``.
+
+    Prefix sums in two steps, so no task holds more of a source than a group of buckets or the groups.
+    """
+    grouped = sums.withColumn("part", F.floor(F.col("bucket") / GROUP_BUCKETS))
+    wholes = grouped.groupBy("ord", *keys, "part").agg(F.sum("words").alias("whole"))
+    line = Window.partitionBy("ord").orderBy(*keys, "part").rowsBetween(Window.unboundedPreceding, -1)
+    wholes = wholes.withColumn("earlier", F.coalesce(F.sum("whole").over(line), F.lit(0))).drop("whole")
+    inside = Window.partitionBy("ord", *keys, "part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    within = grouped.withColumn("within", F.coalesce(F.sum("words").over(inside), F.lit(0)))
+    return within.join(wholes, ["ord", *keys, "part"]).withColumn("before", F.col("earlier") + F.col("within"))
+
+
+def tree_levels(words: int) -> int:
+    """Levels of the tree: shards of about ``SHARD_WORDS`` words of all the documents have."""
+    return max(0, math.ceil(math.log2(max(1, words) / SHARD_WORDS)))
+
+
+def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, levels: int | None = None,
             block_words: int = 4096, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
             source_col: str = "source", row_col: str | None = None) -> DataFrame:
     """One row per input row: row, doc_id, size, source, source_size, target, copies.
@@ -136,19 +163,20 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3
     """
     sized = stored(docs.select(
         (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "mix-sizes")
-    buckets = max(1, -(-sized.count() // BUCKET_ROWS))
+        F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col), F.col(text_col)).alias("h")), "mix-sizes")
+    total = sized.agg(F.count("*").alias("n"), F.sum("size").alias("words")).first()
+    buckets = max(1, -(-total["n"] // BUCKET_ROWS))
+    levels = tree_levels(total["words"] or 0) if levels is None else levels
     targets = stored(source_targets(sized, weights, most), "mix-targets")
     target = F.broadcast(targets) if targets.count() <= 10_000 else targets  # a row of some 60 bytes per source
     target = target.withColumnRenamed("source", "t_source")
     lined = sized.join(target, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source", "weight")
-    h = F.xxhash64(F.lit(seed), "doc_id", "size", "row")
-    lined = stored(lined.withColumn("h", h).withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets))), "mix-lined")
+    lined = stored(lined.withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets))), "mix-lined")
 
     sums = lined.groupBy("ord", "bucket").agg(F.sum("size").alias("words"))
-    before = F.sum("words").over(Window.partitionBy("ord").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    sums = stored(sums.select(F.col("ord").alias("b_ord"), F.col("bucket").alias("b_bucket"),
-                              F.coalesce(before, F.lit(0)).alias("before")), "mix-buckets")
+    sums = stored(_before(sums).select(F.col("ord").alias("b_ord"), F.col("bucket").alias("b_bucket"), "before"),
+                  "mix-buckets")
     inside = Window.partitionBy("ord", "bucket").orderBy("h", "row").rowsBetween(Window.unboundedPreceding, 0)
     lined = lined.withColumn("upto", F.sum("size").over(inside)).join(
         sums, (F.col("ord") == F.col("b_ord")) & (F.col("bucket") == F.col("b_bucket")))
@@ -170,9 +198,9 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3
         "shard", F.col("ord").alias("r_ord"),
         F.explode(F.sequence(F.col("upto") - F.col("blocks"), F.col("upto") - 1)).alias("r_block"))
     runs = stored(runs, "mix-runs")
-    taken = lined.select("row", "ord", F.posexplode("places").alias("epoch", "place")).withColumn(
+    taken = lined.select("row", "h", "ord", F.posexplode("places").alias("epoch", "place")).withColumn(
         "block", block(F.col("place")).cast("bigint"))
-    order = F.xxhash64(F.lit(seed + 1), "row", "epoch")
+    order = F.xxhash64(F.lit(seed + 1), "h", "epoch")
     dealt = taken.join(runs, (F.col("ord") == F.col("r_ord")) & (F.col("block") == F.col("r_block"))).groupBy(
         F.col("row").alias("d_row")).agg(F.sort_array(F.collect_list(
             F.struct("epoch", "shard", order.alias("place")))).alias("copies"))
@@ -200,10 +228,9 @@ def _fill_gaps(lined: DataFrame, most: int) -> DataFrame:
         gap = F.col("goal") - F.col("used")
         room = pool.join(gaps, F.col("ord") == F.col("g_ord")).where((F.col("n") < most) & (F.col("size") <= gap))
         sums = room.groupBy("ord", "n", "bucket").agg(F.sum("size").alias("words"))
-        earlier = Window.partitionBy("ord").orderBy("n", "bucket").rowsBetween(Window.unboundedPreceding, -1)
-        sums = stored(sums.select(
-            F.col("ord").alias("b_ord"), F.col("n").alias("b_n"), F.col("bucket").alias("b_bucket"),
-            F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before")), "mix-buckets")
+        sums = stored(_before(sums, "n").select(
+            F.col("ord").alias("b_ord"), F.col("n").alias("b_n"), F.col("bucket").alias("b_bucket"), "before"),
+            "mix-buckets")
         if sums.isEmpty():
             break
         inside = Window.partitionBy("ord", "n", "bucket").orderBy("h", "row").rowsBetween(Window.unboundedPreceding, 0)
