@@ -3,8 +3,8 @@
 In byte-level BPE a word together with the space before it is encoded without
 regard to its neighbours. A text whose only separators are single spaces and
 single line ends is therefore the concatenation of its words' ids; words are
-encoded by the tokenizer once and looked up afterwards. Any other text is
-encoded as a whole.
+encoded by the tokenizer once and looked up afterwards. Any other text, and
+any that holds one of the tokenizer's added tokens, is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -33,13 +33,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("ids must fit 16 bits")
         self.cache: dict[str, bytes] = {}
         self.feed = self._ids("\n").tobytes()
         self.line_end = len(self.feed) // 2
         layout = json.loads(self.tokenizer.to_str())
+        # their strings in a text are tokens of their own, wherever they stand
+        self.added = [x["content"] for x in layout.get("added_tokens") or []]
         # a byte-level BPE that splits at words: a word of letters is one piece, which its model takes as it is
         self.latin_words = (layout["model"]["type"] == "BPE" and layout["normalizer"] is None
                             and layout["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False,
@@ -128,6 +129,8 @@ class Encoder:
         ids, ends = ids[source], np.concatenate([[0], ends])
         bounds = parts.offsets.to_numpy()
         has_odd = np.add.reduceat(odd[at], bounds[:-1] - bounds[0]) > 0
+        for content in self.added:
+            has_odd |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False).astype(bool)
         for i, whole in enumerate(has_odd.tolist()):
             if whole:
                 yield self._ids(texts[i].as_py())
