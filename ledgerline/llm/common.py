@@ -54,6 +54,14 @@ def numbered(docs: DataFrame, row_col: str, *columns: Column) -> DataFrame:
     return stored(docs.select(*(columns or ["*"]), F.monotonically_increasing_id().alias(row_col)), "numbered")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores behind it until no column of the frame has it (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import one_space, stored
+from ledgerline.llm.common import free_name, one_space, stored
 
 
 def md5_bytes(text: Column) -> Column:
@@ -69,15 +69,16 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     document; one of them stays.
     """
     groups = duplicate_groups(docs, id_col, text_col)
+    k_id, k_hash, k_text, h, t = (free_name(docs, x) for x in ("k_id", "k_hash", "k_text", "_h", "_t"))
     keys = stored(groups.where("kept").select(
-        F.col("doc_id").alias("k_id"), F.col("content_hash").alias("k_hash"),
-        F.col("exact_text").alias("k_text")), "exact-kept")
+        F.col("doc_id").alias(k_id), F.col("content_hash").alias(k_hash),
+        F.col("exact_text").alias(k_text)), "exact-kept")
     text = one_space(F.col(text_col))
-    match = (F.col(id_col).eqNullSafe(F.col("k_id")) & (md5_bytes(text) == F.col("k_hash"))
-             & (F.col("k_text").isNull() | (F.col("k_text") == text)))
+    match = (F.col(id_col).eqNullSafe(F.col(k_id)) & (md5_bytes(text) == F.col(k_hash))
+             & (F.col(k_text).isNull() | (F.col(k_text) == text)))
     found = docs.join(keys, match, "left_semi")
     repeats = groups.groupBy("doc_id", "content_hash", "exact_text").count().where("count > 1")
     if repeats.isEmpty():
         return found
-    once = found.withColumn("_h", md5_bytes(text)).withColumn("_t", text)
-    return once.dropDuplicates([id_col, "_h", "_t"]).drop("_h", "_t")
+    once = found.withColumn(h, md5_bytes(text)).withColumn(t, text)
+    return once.dropDuplicates([id_col, h, t]).drop(h, t)

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import numbered, stored, word_count
+from ledgerline.llm.common import free_name, numbered, stored, word_count
 
 #: Documents per permutation bucket: what one window task sorts, whatever the source's size.
 BUCKET_ROWS = 2_000
@@ -271,11 +271,13 @@ def draw(docs: DataFrame, **options) -> DataFrame:
 
     Rows come out ordered by place inside each shard's partitions.
     """
-    rows = numbered(docs, "_row_here")
-    plan = mixture(rows, row_col="_row_here", **options).where(F.size("copies") > 0).select(
-        F.col("row").alias("_row"), F.explode("copies").alias("_copy"))
-    mixed = rows.join(plan, F.col("_row_here") == F.col("_row"))
-    return mixed.sortWithinPartitions("_copy.shard", "_copy.place").select(*[F.col(f"`{c}`") for c in docs.columns])
+    here = free_name(docs, "_row_here")
+    rows = numbered(docs, here)
+    row, copy = free_name(rows, "_row"), free_name(rows, "_copy")
+    plan = mixture(rows, row_col=here, **options).where(F.size("copies") > 0).select(
+        F.col("row").alias(row), F.explode("copies").alias(copy))
+    mixed = rows.join(plan, F.col(here) == F.col(row))
+    return mixed.sortWithinPartitions(f"{copy}.shard", f"{copy}.place").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def taken_words(copies: Column, size: Column) -> Column:

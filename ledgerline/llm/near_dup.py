@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import numbered, ship, stored
+from ledgerline.llm.common import free_name, numbered, ship, stored
 
 WORDS, BANDS, ROWS = 5, 40, 7
 #: Elements of texts whose darts are thrown together.
@@ -314,6 +314,8 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents whose row is kept, with the columns of ``docs``."""
-    rows = numbered(docs, "_row_here")
-    gone = near_duplicates(rows, row_col="_row_here", **options).where("NOT kept").select(F.col("row").alias("_gone"))
-    return rows.join(stored(gone, "near-gone"), F.col("_row_here") == F.col("_gone"), "left_anti").drop("_row_here")
+    here = free_name(docs, "_row_here")
+    rows = numbered(docs, here)
+    out = free_name(rows, "_gone")
+    gone = near_duplicates(rows, row_col=here, **options).where("NOT kept").select(F.col("row").alias(out))
+    return rows.join(stored(gone, "near-gone"), F.col(here) == F.col(out), "left_anti").drop(here)
