@@ -286,7 +286,7 @@ def _bodies(p: Period) -> dict[str, str]:
                    CAST(sum(debet_amount) AS DOUBLE) AS debet_amount,
                    CAST(sum(debet_amount_rub) AS DOUBLE) AS debet_amount_rub
             FROM turnover_fx GROUP BY on_date
-            -- day {mid.isoformat()} is written twice; it must count once""",
+            -- day {mid.isoformat()} is first written wrong; the opening date's folder ends empty""",
         "date_spine": "SELECT account_rk, on_date FROM spine",
         "daily_turnover": """
             SELECT on_date, account_rk, CAST(sum(credit_amount) AS DOUBLE) AS credit_amount,
@@ -354,6 +354,44 @@ def _bodies(p: Period) -> dict[str, str]:
                           WHERE s_nationkey >= 2 AND s_nationkey % 5 <> 4) quotes) ranked
               WHERE rank = 1) r ON r.k = a.currency_rk AND t.on_date BETWEEN r.d0 AND r.d1""",
         "form101": f"SELECT {FORM101_COLUMNS} FROM form101",
+        "landing_redelivered": """
+            SELECT oper_date, credit_account_rk, debet_account_rk, CAST(credit_amount AS DOUBLE) AS credit_amount,
+                   CAST(debet_amount AS DOUBLE) AS debet_amount FROM posting""",
+        "ingest_reordered": """
+            SELECT oper_date, credit_account_rk, debet_account_rk,
+                   CASE WHEN debet_account_rk % 4 <> 3 THEN CAST(credit_amount AS DOUBLE) END AS credit_amount,
+                   CAST(debet_amount AS DOUBLE) AS debet_amount FROM posting""",
+        "turnover_stream": """
+            SELECT on_date, account_rk, CAST(sum(credit_amount) AS DOUBLE) AS credit_amount,
+                   CAST(sum(debet_amount) AS DOUBLE) AS debet_amount
+            FROM moves GROUP BY on_date, account_rk""",
+        "report_reload": f"SELECT {FORM101_COLUMNS}, CAST(2 AS BIGINT) AS n_rows FROM form101",
+        "run_lookup": """
+            SELECT CAST(o_orderkey AS VARCHAR) AS log_id, o_orderdate AS start_time,
+                   CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 1 DAY END AS end_time,
+                   CASE WHEN o_orderstatus = 'F' THEN 'Finished_etl_process'
+                        ELSE 'Started_etl_process' END AS status
+            FROM orders WHERE o_orderkey IN (SELECT unnest(range(1, 1000, 7)))""",
+        "balance_two_months": f"""
+            SELECT s.on_date, s.account_rk,
+              CAST(coalesce(o.balance_out, 0) + sum(CASE WHEN s.char_type = '{ACTIVE}'
+                THEN coalesce(t.debet_amount, 0) - coalesce(t.credit_amount, 0)
+                ELSE coalesce(t.credit_amount, 0) - coalesce(t.debet_amount, 0) END) OVER w AS DOUBLE) AS balance_out,
+              CAST(coalesce(o.balance_out_rub, 0) + sum(coalesce(t.rate, 1) * CASE WHEN s.char_type = '{ACTIVE}'
+                THEN coalesce(t.debet_amount, 0) - coalesce(t.credit_amount, 0)
+                ELSE coalesce(t.credit_amount, 0) - coalesce(t.debet_amount, 0) END) OVER w AS DOUBLE) AS balance_out_rub
+            FROM (SELECT account_rk, char_type, CAST(g.d AS DATE) AS on_date FROM valid_account,
+                  LATERAL (SELECT unnest(generate_series(CAST({_d(p.start)} AS TIMESTAMP), CAST({_d(p.end)} AS TIMESTAMP)
+                           + INTERVAL 28 DAY, INTERVAL 1 DAY)) AS d) g) s
+            LEFT JOIN opening o ON o.account_rk = s.account_rk
+            LEFT JOIN (SELECT m.on_date, m.account_rk, sum(m.credit_amount) AS credit_amount,
+                              sum(m.debet_amount) AS debet_amount, any_value(r.reduced_cource) AS rate
+                       FROM moves m JOIN account a ON a.account_rk = m.account_rk
+                       LEFT JOIN rate r ON r.currency_rk = a.currency_rk
+                            AND m.on_date BETWEEN r.data_actual_date AND r.data_actual_end_date
+                       GROUP BY m.on_date, m.account_rk) t
+              ON t.account_rk = s.account_rk AND t.on_date = s.on_date
+            WINDOW w AS (PARTITION BY s.account_rk ORDER BY s.on_date)""",
         "form101_from_marts": f"SELECT {FORM101_COLUMNS} FROM form101",
         "form101_versions": f"SELECT {FORM101_COLUMNS} FROM form101",
         "report_roundtrip": f"SELECT {FORM101_COLUMNS} FROM form101",

@@ -27,12 +27,16 @@ from ledgerline.operators import versions as ver
 from ledgerline.operators.fx import with_rate_on
 from ledgerline.session import shared_dir
 from ledgerline.sources import csv as csvio
+from ledgerline.plans import pipelines as pl
 from ledgerline.sources import fixtures as fx
+from ledgerline.sources import register as reg
 from ledgerline.sources import sinks
-from ledgerline.sources.ingest import ingest_folder
+from ledgerline.sources.headers import read_aligned
+from ledgerline.sources.ingest import deliveries, ingest_folder
 from ledgerline.sources.marts import BucketedMart
 from ledgerline.sources.specs import (ACCOUNT, BALANCE, CURRENCY, EXCHANGE_RATE, LEDGER,
                                       POSTING, REPORT, REPORT_MEASURES)
+from ledgerline.streaming import turnover as st
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -278,10 +282,17 @@ def q_mart_day_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Model(spark, sf_dir)
     path = shared_dir(spark, "mart") + "/dm/account_turnover_f"
     month = m.turnover()
-    sinks.refresh_partitions(month, path, ["on_date"])
-    day = m.period.start.replace(day=15)
+    # the 15th is written with doubled amounts, and a day before the period that must end empty
+    day, outside = m.period.start.replace(day=15), m.period.opening
+    wrong = month.where(F.col("on_date") == F.lit(day))
+    doubled = wrong.select(*[(F.col(c) * 2).cast(t).alias(c) if t.startswith("decimal") else F.col(c)
+                             for c, t in wrong.dtypes])
+    first = month.where(F.col("on_date") != F.lit(day)).unionByName(doubled).unionByName(
+        wrong.withColumn("on_date", F.lit(outside)))
+    sinks.refresh_partitions(first, path, ["on_date"])
     again = tov.turnover_fx(m.postings(), m.accounts(), m.rates(), Period(day, day))
     sinks.replace_days(again, path, "on_date", day, day)
+    sinks.replace_days(again, path, "on_date", outside, outside)
     back = spark.read.schema(month.schema).parquet(path)
     out = back.groupBy("on_date").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -463,7 +474,108 @@ def q_posting_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_out(back.select(*POSTING.columns), ["credit_amount", "debet_amount"])
 
 
+def q_landing_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings delivered in two loads, the second of which brings all files of the first again, under another name."""
+    m = Model(spark, sf_dir)
+    root = shared_dir(spark, "redelivered")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    first = F.col("debet_account_rk") % 2 == 0
+
+    def deliver(part: DataFrame, name: str) -> None:
+        # dealt by key, so a second delivery has the same files, in any order of rows
+        dealt = csvio.to_source_layout(part, POSTING).repartition(4, "credit_account_rk")
+        csvio.write_delimited(dealt, f"{landing}/{POSTING.name}.{name}.csv", sep=POSTING.sep)
+
+    deliver(m.postings().where(first), "1")
+    reg.ingest_new(spark, landing, warehouse, "monday")
+    deliver(m.postings().where(first), "1-again")
+    deliver(m.postings().where(~first), "2")
+    reg.ingest_new(spark, landing, warehouse, "tuesday")
+    return _money_out(reg.read_loaded(spark, warehouse, POSTING), ["credit_amount", "debet_amount"])
+
+
+def q_ingest_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings in four files: as declared, columns swapped, one column more, one less."""
+    m = Model(spark, sf_dir)
+    folder = shared_dir(spark, "landing-reordered")
+    kind = F.col("debet_account_rk") % 4
+    source = csvio.to_source_layout(m.postings(), POSTING)
+    c = POSTING.columns
+    for n, columns in enumerate((c, [c[4], c[1], c[0], c[3], c[2]], [c[0], "note", *c[1:]], [c[0], c[1], c[2], c[4]])):
+        part = source.withColumn("note", F.concat(F.lit("no. "), "credit_account_rk")).where(kind == n)
+        csvio.write_delimited(part.select(*columns), f"{folder}/{POSTING.name}.{n}.csv", sep=POSTING.sep, upper_header=n == 1)
+    paths = deliveries(spark, folder)[0][POSTING.name]
+    out = cf.conform(read_aligned(spark, paths, POSTING), POSTING).table
+    return _money_out(out, ["credit_amount", "debet_amount"])
+
+
+def q_turnover_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turnover of all postings, taken from a stream of files in several micro-batches and folded in between."""
+    m = Model(spark, sf_dir)
+    root = shared_dir(spark, "turnover-stream")
+    landing, mart = f"{root}/landing/{POSTING.name}", f"{root}/dm/account_turnover_f"
+    source = csvio.to_source_layout(m.postings(), POSTING)
+    for n in range(2):
+        part = source.where(F.col("debet_account_rk") % 2 == n).repartition(4)
+        csvio.write_delimited(part, landing, sep=POSTING.sep, mode="append")
+        st.stream_turnover(spark, landing, mart, f"{root}/_checkpoint", max_files_per_trigger=2).awaitTermination()
+        if n == 0:
+            st.compact(spark, mart, max(b for _, b, _ in st.folders(spark, mart)), m.period.start)
+    return _money_out(st.read_turnover(spark, mart), ["credit_amount", "debet_amount"])
+
+
+def q_report_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported report loaded into the _v2 table twice, and once more by appending; every row with its number."""
+    m = Model(spark, sf_dir)
+    root = shared_dir(spark, "reload")
+    pl.extract_report(spark, m.form101(), f"{root}/report.csv")
+    for mode in ("replace_period", "replace_period", "append"):
+        pl.load_report(spark, f"{root}/report.csv", root, mode=mode)
+    back = spark.read.parquet(sinks.table_path(root, "dm", pl.REPORT_V2)).select(*REPORT.columns)
+    out = back.groupBy(*REPORT.columns).agg(F.count("*").alias("n_rows"))
+    return _money_out(out, REPORT_MEASURES)
+
+
+def q_run_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of single runs by key, from a compacted journal and the events that came after."""
+    db = fx.DriverTables.shared(spark, sf_dir)
+    events = fx.run_events(db).withColumn("log_id", F.col("log_id").cast("string"))
+    journal = runlog.RunJournal(spark, shared_dir(spark, "journal") + "/logs/events")
+    late = F.col("kind") == "end"
+    journal.add(events.where(~late))
+    journal.compact()
+    journal.add(events.where(late))
+    wanted = [str(n) for n in range(1, 1000, 7)]
+    return journal.runs(wanted)
+
+
+def q_balance_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """January filled and closed, then February rolled from its last day; balances of both months."""
+    m = Model(spark, sf_dir)
+    february = Period.month(m.period.end.year + m.period.end.month // 12, m.period.end.month % 12 + 1)
+    # the accounts of the period stay open through the next month
+    last = F.col("data_actual_date") == F.lit(m.period.start)
+    accounts = m.accounts().withColumn("data_actual_end_date", F.when(last, F.lit(february.end)).otherwise(
+        F.col("data_actual_end_date")))
+    mart = shared_dir(spark, "two-months") + "/dm/account_balance_f"
+    opening, schema = m.opening(), None
+    for period in (m.period, february):
+        turnover = tov.daily_turnover(m.postings(), period)
+        b = bal.daily_balance(accounts, opening, turnover, period, rates=m.rates())
+        schema = schema or b.schema
+        sinks.replace_days(b.select(*[F.col(f.name).cast(f.dataType) for f in schema]), mart, "on_date",
+                           period.start, period.end)
+        opening = spark.read.schema(schema).parquet(mart).where(F.col("on_date") == F.lit(period.end))
+    return _money_out(spark.read.schema(schema).parquet(mart), ["balance_out", "balance_out_rub"])
+
+
 QUERIES: dict[str, Query] = {
+    "landing_redelivered": q_landing_redelivered,
+    "ingest_reordered": q_ingest_reordered,
+    "turnover_stream": q_turnover_stream,
+    "report_reload": q_report_reload,
+    "run_lookup": q_run_lookup,
+    "balance_two_months": q_balance_two_months,
     "opening_balance": q_opening_balance,
     "opening_balance_as_of": q_opening_balance_as_of,
     "dedupe_rates": q_dedupe_rates,

@@ -15,11 +15,13 @@ the batch conform.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.conform import accept, reject, stage
 from ledgerline.sources.csv import every_field_checked, typed_options
+from ledgerline.sources.register import FILE, take_new
 from ledgerline.sources.specs import TableSpec
 
 
@@ -72,3 +74,23 @@ def stream_ingest(spark: SparkSession, spec: TableSpec, landing_dir: str, table_
         queries.append(_start(rejected, rejects_dir, f"{checkpoint_dir.rstrip('/')}/rejected",
                               (), available_now))
     return StreamingIngest(queries)
+
+
+def stream_new(spark: SparkSession, spec: TableSpec, landing_dir: str, warehouse: str, checkpoint_dir: str,
+               name: str, available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """As :func:`stream_ingest`, but files known to the delivery register, loaded before by a batch or by
+    this stream under any name, are left out (see :mod:`ledgerline.sources.register`).
+
+    Each micro-batch is a load named after the stream and its number, so a
+    batch that broke off is repeated as a whole.
+    """
+    def take(batch: DataFrame, number: int) -> None:
+        take_new(batch, spec, warehouse, f"{name}-{number}")
+
+    reader = spark.readStream.schema(spec.scan_schema).options(**typed_options(spec))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = every_field_checked(reader.csv(landing_dir), spec).withColumn(FILE, F.col("_metadata.file_path"))
+    writer = rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_dir)
+    trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
+    return writer.trigger(**trigger).start()
