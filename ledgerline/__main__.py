@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--landing", required=True)
     f.add_argument("--warehouse", required=True)
     f.add_argument("--month", required=True, type=_period, help="YYYY-MM")
+    f.add_argument("--versioned", action="store_true", help="publish the run's tables together at its end")
     d = sub.add_parser("load-db", help="D2: landing CSVs into database tables")
     d.add_argument("--landing", required=True)
     d.add_argument("--url", required=True)
@@ -53,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName(f"ledgerline-{args.cmd}").getOrCreate()
     if args.cmd == "fill":
-        run_id = pl.run_fill_procedure(spark, args.landing, args.warehouse, args.month)
+        run_id = pl.run_fill_procedure(spark, args.landing, args.warehouse, args.month, args.versioned)
         print(run_id)
     elif args.cmd == "load-db":
         props = {k: v for k, v in (("driver", args.driver),

@@ -38,6 +38,7 @@ from ledgerline.operators.runlog import RunJournal
 from ledgerline.sources import csv as csvio
 from ledgerline.sources import jdbc, sinks
 from ledgerline.sources.ingest import ingest_folder, load_detail_store
+from ledgerline.sources.publish import Release
 from ledgerline.sources.specs import REPORT, REPORT_KEYS
 
 (ETL_START, ETL_END, TURNOVER_START, TURNOVER_END, BALANCE_START, BALANCE_END,
@@ -72,11 +73,68 @@ class Warehouse:
     def journal(self) -> RunJournal:
         return RunJournal(self.spark, self.path("logs", "events"))
 
+    def refresh(self, df: DataFrame, layer: str, name: str) -> None:
+        """Replace a whole table."""
+        sinks.full_refresh(df, self.path(layer, name))
+
+    def replace_days(self, df: DataFrame, name: str, first: dt.date, last: dt.date) -> None:
+        """Replace the days of a per-day mart, those without rows included."""
+        sinks.replace_days(df, self.path("dm", name), "on_date", first, last)
+
+    def replace_periods(self, df: DataFrame, name: str) -> None:
+        """Replace the periods (from_date, to_date) that ``df`` has rows of."""
+        sinks.refresh_partitions(df, self.path("dm", name), ["from_date", "to_date"])
+
+    def read_days(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.path("dm", name))
+
+    def has_day(self, name: str, day: dt.date) -> bool:
+        return sinks.has_rows(self.spark, self.path("dm", name), "on_date", day)
+
+    def publish(self) -> None:
+        """Nothing to do: every table counts as soon as it is written."""
+
+
+class VersionedWarehouse(Warehouse):
+    """A warehouse whose runs are published as a whole (see :mod:`ledgerline.sources.publish`).
+
+    It shows the last version when it was opened and what was written through
+    it since; others see that only after ``publish``. The journal is not
+    versioned: it records runs that broke off, too.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root)
+        self.release = Release(spark, root)
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        return self.release.read(f"{layer}/{name}")
+
+    def refresh(self, df: DataFrame, layer: str, name: str) -> None:
+        self.release.write(df, f"{layer}/{name}")
+
+    def replace_days(self, df: DataFrame, name: str, first: dt.date, last: dt.date) -> None:
+        rows = df.where(F.col("on_date").between(F.lit(first), F.lit(last)))
+        self.release.write_parts(rows, f"dm/{name}", ["on_date"], lambda part: first.isoformat() <= part.split("=")[1]
+                                 <= last.isoformat())
+
+    def replace_periods(self, df: DataFrame, name: str) -> None:
+        self.release.write_parts(df, f"dm/{name}", ["from_date", "to_date"], lambda part: False)
+
+    def read_days(self, name: str, schema: str) -> DataFrame:
+        return self.release.read(f"dm/{name}", schema)
+
+    def has_day(self, name: str, day: dt.date) -> bool:
+        return f"on_date={day.isoformat()}" in self.release.tables.get(f"dm/{name}", {})
+
+    def publish(self) -> None:
+        self.release.publish()
+
 
 def ingest(wh: Warehouse, landing_dir: str) -> list[str]:
     """CSV landing folder -> ds tables. Returns the unknown files."""
     result = ingest_folder(wh.spark, landing_dir)
-    load_detail_store(result, wh.root)
+    load_detail_store(result, wh.refresh)
     return result.unknown
 
 
@@ -84,8 +142,7 @@ def fill_turnover(wh: Warehouse, period: Period) -> None:
     """dm.account_turnover_f for every day of the period."""
     t = tov.turnover_fx(wh.read("ds", "ft_posting_f"), wh.read("ds", "md_account_d"),
                         wh.read("ds", "md_exchange_rate_d"), period)
-    sinks.replace_days(_mart_types(t), wh.path("dm", TURNOVER_MART), "on_date",
-                       period.start, period.end)
+    wh.replace_days(_mart_types(t), TURNOVER_MART, period.start, period.end)
 
 
 def fill_opening(wh: Warehouse, period: Period, rate_rule: str = "exact") -> None:
@@ -98,31 +155,28 @@ def fill_opening(wh: Warehouse, period: Period, rate_rule: str = "exact") -> Non
     day must have been rolled; it is left alone. With neither there is nothing
     to start from, which is an error.
     """
-    mart = wh.path("dm", BALANCE_MART)
     o = bal.opening_balance(wh.read("ds", "ft_balance_f"), wh.read("ds", "md_exchange_rate_d"),
                             period.opening, rate_rule)
     if not o.isEmpty():
         o = _mart_types(o)
-        if sinks.has_rows(wh.spark, mart, "on_date", period.opening - dt.timedelta(days=1)):
+        if wh.has_day(BALANCE_MART, period.opening - dt.timedelta(days=1)):
             rolled = _balance_mart(wh).where(F.col("on_date") == F.lit(period.opening))
             o = o.unionByName(rolled.join(o.select("account_rk"), "account_rk", "left_anti"))
-        sinks.replace_days(o, mart, "on_date", period.opening, period.opening)
-    elif not sinks.has_rows(wh.spark, mart, "on_date", period.opening):
+        wh.replace_days(o, BALANCE_MART, period.opening, period.opening)
+    elif not wh.has_day(BALANCE_MART, period.opening):
         raise ValueError(f"no balances delivered or rolled for {period.opening}")
 
 
 def _balance_mart(wh: Warehouse) -> DataFrame:
     # partition column typed explicitly: a day partition is a date
-    return wh.spark.read.schema(
-        "account_rk bigint, balance_out decimal(38,8), balance_out_rub decimal(38,8), on_date date"
-    ).parquet(wh.path("dm", BALANCE_MART))
+    return wh.read_days(
+        BALANCE_MART, "account_rk bigint, balance_out decimal(38,8), balance_out_rub decimal(38,8), on_date date")
 
 
 def _turnover_mart(wh: Warehouse, period: Period) -> DataFrame:
-    t = wh.spark.read.schema(
-        "account_rk bigint, credit_amount decimal(38,8), credit_amount_rub decimal(38,8), "
-        "debet_amount decimal(38,8), debet_amount_rub decimal(38,8), on_date date"
-    ).parquet(wh.path("dm", TURNOVER_MART))
+    t = wh.read_days(
+        TURNOVER_MART, "account_rk bigint, credit_amount decimal(38,8), credit_amount_rub decimal(38,8), "
+        "debet_amount decimal(38,8), debet_amount_rub decimal(38,8), on_date date")
     return tov.in_period(t, "on_date", period)
 
 
@@ -131,8 +185,7 @@ def fill_balance(wh: Warehouse, period: Period) -> None:
     from the opening partition over the turnover mart."""
     opening = _balance_mart(wh).where(F.col("on_date") == F.lit(period.opening))
     b = bal.daily_balance(wh.read("ds", "md_account_d"), opening, _turnover_mart(wh, period), period)
-    sinks.replace_days(_mart_types(b), wh.path("dm", BALANCE_MART), "on_date",
-                       period.start, period.end)
+    wh.replace_days(_mart_types(b), BALANCE_MART, period.start, period.end)
 
 
 def fill_report(wh: Warehouse, period: Period) -> None:
@@ -141,7 +194,7 @@ def fill_report(wh: Warehouse, period: Period) -> None:
     opening = marts.where(F.col("on_date") == F.lit(period.opening))
     f = rep.form101(wh.read("ds", "md_account_d"), wh.read("ds", "md_ledger_account_s"), opening,
                     _turnover_mart(wh, period), period, closing=marts)
-    sinks.refresh_partitions(_mart_types(f), wh.path("dm", REPORT_TABLE), ["from_date", "to_date"])
+    wh.replace_periods(_mart_types(f), REPORT_TABLE)
 
 
 def report_unmatched(wh: Warehouse, period: Period) -> None:
@@ -155,7 +208,7 @@ def report_unmatched(wh: Warehouse, period: Period) -> None:
                  accounts, wh.read("ds", "md_ledger_account_s"), period),
              "orphan_balances": rep.orphan_balances(_balance_mart(wh), accounts, period)}
     for name, rows in found.items():
-        sinks.full_refresh(rows, wh.path("rejects", name))
+        wh.refresh(rows, "rejects", name)
 
 
 def restate(wh: Warehouse, period: Period, since: dt.date) -> None:
@@ -171,19 +224,22 @@ def restate(wh: Warehouse, period: Period, since: dt.date) -> None:
     new = _mart_types(tov.turnover_fx(wh.read("ds", "ft_posting_f"), accounts, wh.read("ds", "md_exchange_rate_d"),
                                       rest_of))
     changes = rst.turnover_changes(_turnover_mart(wh, rest_of), new)
-    path = f"{wh.path('dm', TURNOVER_MART)}_changes"
-    sinks.full_refresh(changes, path)
-    b = rst.restated_balance(accounts, _balance_mart(wh), wh.spark.read.parquet(path), new, period, since)
-    sinks.replace_days(_mart_types(b), wh.path("dm", BALANCE_MART), "on_date", since, period.end)
-    sinks.replace_days(new, wh.path("dm", TURNOVER_MART), "on_date", since, period.end)
+    wh.refresh(changes, "dm", f"{TURNOVER_MART}_changes")
+    b = rst.restated_balance(accounts, _balance_mart(wh), wh.read("dm", f"{TURNOVER_MART}_changes"), new, period, since)
+    wh.replace_days(_mart_types(b), BALANCE_MART, since, period.end)
+    wh.replace_days(new, TURNOVER_MART, since, period.end)
     fill_report(wh, period)
 
 
 def run_fill_procedure(spark: SparkSession, landing_dir: str, warehouse: str,
-                       period: Period) -> str:
+                       period: Period, versioned: bool = False) -> str:
     """Ingest -> turnover -> opening -> balance (-> report), journalled.
-    Returns the log id of the whole run."""
-    wh = Warehouse(spark, warehouse)
+    Returns the log id of the whole run.
+
+    With ``versioned`` the run's tables are published together at its end: a
+    run that breaks off, or is refused because another one was published
+    meanwhile, leaves the last version as it was."""
+    wh = VersionedWarehouse(spark, warehouse) if versioned else Warehouse(spark, warehouse)
     j = wh.journal()
     with j.step(ETL_START, ETL_END) as run_id:
         ingest(wh, landing_dir)
@@ -194,6 +250,7 @@ def run_fill_procedure(spark: SparkSession, landing_dir: str, warehouse: str,
             fill_balance(wh, period)
         fill_report(wh, period)
         report_unmatched(wh, period)
+        wh.publish()
     return run_id
 
 

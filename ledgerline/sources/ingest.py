@@ -8,6 +8,7 @@ each table is one lazy plan, and the row-count report is one aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from ledgerline.operators.conform import REJECT_REASON, Conformed, conform
 from ledgerline.sources.csv import read_typed
 from ledgerline.sources.files import file_stem, list_folder
-from ledgerline.sources.sinks import full_refresh, table_path
 from ledgerline.sources.specs import REGISTRY, TableSpec
 
 
@@ -84,16 +84,14 @@ def ingest_folder(spark: SparkSession, folder: str,
     return IngestResult({n: conform(read_typed(spark, p, specs[n]), specs[n]) for n, p in paths.items()}, unknown)
 
 
-def load_detail_store(result: IngestResult, warehouse: str) -> dict[str, str]:
-    """Full refresh of every ingested table and of its reject table. The
-    writes are independent jobs and are submitted together: small
-    dimension loads then share the cluster instead of queueing."""
-    written, writes = {}, []
-    for name, c in result.tables.items():
-        path = table_path(warehouse, c.spec.layer, name)
-        writes += [(c.table, path), (c.rejects, table_path(warehouse, "rejects", name))]
-        written[name] = path
+def load_detail_store(result: IngestResult, write: Callable[[DataFrame, str, str], None]) -> list[str]:
+    """Full refresh of every ingested table and of its reject table, by
+    ``write(rows, layer, name)``; the tables written. The writes are
+    independent jobs and are submitted together: small dimension loads then
+    share the cluster instead of queueing."""
+    writes = [w for name, c in result.tables.items()
+              for w in ((c.table, c.spec.layer, name), (c.rejects, "rejects", name))]
     with ThreadPoolExecutor(max_workers=max(1, min(len(writes), 8))) as pool:
-        for f in [pool.submit(full_refresh, df, path) for df, path in writes]:
+        for f in [pool.submit(write, *w) for w in writes]:
             f.result()
-    return written
+    return list(result.tables)
