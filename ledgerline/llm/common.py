@@ -42,7 +42,16 @@ def stored(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a table that ``stored`` returned and nothing reads any more."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(docs: DataFrame, row_col: str, *columns: Column) -> DataFrame:

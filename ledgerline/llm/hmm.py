@@ -13,11 +13,13 @@ weights of a state add up to 1 and the rule is the same for any corpus.
 
 Counts and expected counts are a table over all words, dealt by hash to
 buckets; a bucket's row holds them as arrays. A block is what a chunk and a
-bucket share: places in the chunk's word list and in the bucket's arrays. A
-Baum-Welch pass sends the table's values to the chunks by the blocks, runs
-forward-backward on their training documents, and adds the expected counts
-back up by bucket. Scoring is one scaled forward pass. So no task and no
-driver ever holds the vocabulary.
+bucket share: the places of the chunk's words in the bucket's arrays. A chunk
+lists its words by hash, so a bucket's words are a run of the list and the
+blocks, in order of their buckets, make up the whole of it: values travel
+without keys. A Baum-Welch pass sends the weights of the states to the chunks
+by the blocks, runs forward-backward on their training documents, and adds the
+expected counts back up by bucket. Scoring is one scaled forward pass. So no
+task and no driver ever holds the vocabulary.
 """
 
 from __future__ import annotations
@@ -32,15 +34,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.chain import Chains
-from ledgerline.llm.common import ship, stored
+from ledgerline.llm.common import discard, ship, stored
 from ledgerline.llm.near_dup import mixed
 
 #: The end of a text as a token; no word holds a separator.
 END = "\n"
 #: Tokens per chunk, tokens worked on at a time.
 CHUNK_TOKENS, STEP_TOKENS = 2_000_000, 250_000
-#: Buckets of the word table at least; (chunk, word) pairs per bucket beyond.
+#: Buckets of the word table at least, a power of two; (chunk, word) pairs per bucket beyond.
 BUCKETS, BUCKET_PAIRS = 64, 250_000
+#: Buckets or chunks a task gets on average at most.
+GROUPS_A_TASK = 2
+#: Seed of Spark's xxhash64, whose order of words is used on both sides.
+HASH_SEED = 42
 #: Share of every state's emissions that follows the base, so none is near 0.
 BASE_SHARE = 0.15
 _CHUNK = ("chunk string, ids array<bigint>, held array<boolean>, lengths array<int>, tokens binary, "
@@ -55,6 +61,7 @@ def tokenise(text: str | None) -> list[bytes]:
 def encode(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFrame:
     """The chunks (see module text), stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
         from pyspark import TaskContext
 
         name, number = TaskContext.get().partitionId(), 0
@@ -64,8 +71,13 @@ def encode(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFra
         def chunk() -> pa.RecordBatch:
             flat = np.concatenate(tokens)
             counts = np.bincount(np.concatenate(train), minlength=len(words)) if train else np.zeros(len(words), int)
-            values = [f"{name}-{number}", ids, holds, lengths, flat.astype("<i4").tobytes(),
-                      [w.decode() for w in words], counts.tolist()]
+            order = np.argsort(np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), np.uint64, len(words)),
+                               kind="stable")
+            place = np.empty(len(words), np.int32)
+            place[order] = np.arange(len(words))
+            listed = list(words)
+            values = [f"{name}-{number}", ids, holds, lengths, packed(place[flat]),
+                      [listed[i].decode() for i in order], counts[order].tolist()]
             kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
                      pa.list_(pa.string()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)],
@@ -96,13 +108,18 @@ def encode(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFra
                               F.col(text_col).alias("text")).mapInArrow(run, _CHUNK), "lm-chunks")
 
 
-class Alphabet:
-    """Base weights of words, of classes of words and of the unknown symbol, as one array that adds up to 1."""
+def packed(tokens: np.ndarray) -> bytes:
+    """The places as zstandard, byte by byte of their four bytes: they travel with every pass."""
+    import zstandard
 
-    def __init__(self, words: list[str], weights: list[int], least: int, class_weights: dict[int, int],
-                 n: int, v: int):
-        self.words, self.least = words, least
-        self.base = np.concatenate([weights, list(class_weights.values()), [1.0]]) / (n + v + 1)
+    return zstandard.compress(np.ascontiguousarray(tokens.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(raw.T).view("<i4").ravel()
 
 
 def tilt(words: np.ndarray, states: int) -> np.ndarray:
@@ -160,37 +177,42 @@ def expected_counts(symbols: np.ndarray, lengths: np.ndarray, model: tuple) -> t
     return firsts, moves, emits
 
 
-def _word_table(chunks: DataFrame, states: int) -> tuple[DataFrame, DataFrame]:
-    """(table, blocks), stored.
+def _dealt(df: DataFrame, key: str, groups: int) -> DataFrame:
+    """The rows by key over enough partitions that one holds a few groups, however many there are."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-groups // GROUPS_A_TASK)), key)
+
+
+def _word_table(chunks: DataFrame, states: int) -> tuple[DataFrame, DataFrame, int]:
+    """(table, blocks, buckets), stored.
 
     table: bucket, counts, expected (binary, a place per word), sums (training
     tokens, training words, expected tokens per state). blocks: bucket, chunk,
-    at, place (binary).
+    place (binary, in the order of the chunk's words), and for each bucket a row
+    without chunk that has its counts.
     """
     pairs = chunks.agg(F.sum(F.size("counts"))).first()[0] or 0
-    buckets = max(BUCKETS, -(-pairs // BUCKET_PAIRS))
+    bits = max(BUCKETS.bit_length() - 1, (-(-pairs // BUCKET_PAIRS) - 1).bit_length())
     rows = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
-        F.pmod(F.xxhash64("w.words"), F.lit(buckets)).alias("bucket"), "chunk", "at",
+        F.shiftrightunsigned(F.xxhash64("w.words"), 64 - bits).alias("bucket"), "chunk", "at",
         F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["chunk", "at"], ignore_index=True)
         place, words = pd.factorize(rows["word"])
         counts = np.zeros(len(words), np.int64)
         np.add.at(counts, place, rows["c"].to_numpy())
         expected = (counts[:, None] * tilt(words, states)).astype("<f4")
         sums = [float(counts.sum()), float((counts > 0).sum()), *expected.sum(axis=0, dtype=float)]
-        out = [(key[0], None, None, None, counts.astype("<i8").tobytes(), expected.tobytes(), sums)]
-        at = rows["at"].to_numpy()
+        out = [(key[0], None, None, counts.astype("<i8").tobytes(), expected.tobytes(), sums)]
         for chunk, part in rows.groupby("chunk").indices.items():
-            out.append((key[0], chunk, at[part].astype("<i4").tobytes(), place[part].astype("<i4").tobytes(),
-                        None, None, None))
-        return pd.DataFrame(out, columns=["bucket", "chunk", "at", "place", "counts", "expected", "sums"])
+            out.append((key[0], chunk, place[np.sort(part)].astype("<i4").tobytes(), None, None, None))
+        return pd.DataFrame(out, columns=["bucket", "chunk", "place", "counts", "expected", "sums"])
 
     both = stored(rows.groupBy("bucket").applyInPandas(
-        run, "bucket bigint, chunk string, at binary, place binary, counts binary, expected binary, "
-             "sums array<double>"), "lm-words")
+        run, "bucket bigint, chunk string, place binary, counts binary, expected binary, sums array<double>"), "lm-words")
     return (both.where("chunk IS NULL").select("bucket", "counts", "expected", "sums"),
-            both.where("chunk IS NOT NULL").select("bucket", "chunk", "at", "place"))
+            both.select("bucket", "chunk", "place", "counts"), 1 << bits)
 
 
 def _sums(table: DataFrame, n: int) -> np.ndarray:
@@ -201,66 +223,72 @@ def _sums(table: DataFrame, n: int) -> np.ndarray:
     return out
 
 
-def _at_chunks(table: DataFrame, blocks: DataFrame, states: int) -> DataFrame:
-    """The blocks with the counts and expected counts of their words."""
+def _at_chunks(table: DataFrame, blocks: DataFrame, buckets: int, columns: str, values) -> DataFrame:
+    """The blocks (bucket, chunk) with what ``values`` makes of a bucket's (counts, expected): arrays with a row
+    per word, sent in the order of the chunk's words."""
+    names = [c.split()[0] for c in columns.split(", ")]
+
     def run(key: tuple, rows: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-        counts = np.frombuffer(rows["counts"].iloc[0], "<i8")
-        expected = np.frombuffer(rows["expected"].iloc[0], "<f4").reshape(-1, states)
+        arrays = values(np.frombuffer(rows["counts"].iloc[0], "<i8"), np.frombuffer(rows["expected"].iloc[0], "<f4"))
         places = [np.frombuffer(x, "<i4") for x in parts["place"]]
-        return parts.assign(counts=[counts[x].tobytes() for x in places],
-                            expected=[expected[x].tobytes() for x in places])
+        return parts[["bucket", "chunk"]].assign(**{n: [x[p].tobytes() for p in places]
+                                                    for n, x in zip(names, arrays, strict=True)})
 
-    return table.select("bucket", "counts", "expected").groupBy("bucket").cogroup(
-        blocks.groupBy("bucket")).applyInPandas(
-            run, "bucket bigint, chunk string, at binary, place binary, counts binary, expected binary")
+    return _dealt(table.select("bucket", "counts", "expected"), "bucket", buckets).groupBy("bucket").cogroup(
+        _dealt(blocks.where("chunk IS NOT NULL").select("bucket", "chunk", "place"), "bucket", buckets).groupBy(
+            "bucket")).applyInPandas(run, f"bucket bigint, chunk string, {columns}")
 
 
-def _chunk_words(words: pd.DataFrame, states: int) -> tuple[np.ndarray, np.ndarray]:
-    """(counts, expected) in the order of the chunk's word list, from its blocks."""
-    at = np.concatenate([np.frombuffer(x, "<i4") for x in words["at"]])
-    counts, expected = np.empty(len(at), np.int64), np.empty((len(at), states))
-    counts[at] = np.concatenate([np.frombuffer(x, "<i8") for x in words["counts"]])
-    expected[at] = np.concatenate([np.frombuffer(x, "<f4").reshape(-1, states) for x in words["expected"]])
-    return counts, expected
+def _joined(words: pd.DataFrame, column: str, kind: str, width: int) -> np.ndarray:
+    """The arrays of a chunk's blocks, put together in the order of its words."""
+    return np.concatenate([np.frombuffer(x, kind) for x in words[column]]).reshape(-1, width)
 
 
-def _em_pass(chunks: DataFrame, table: DataFrame, blocks: DataFrame, first: np.ndarray, move: np.ndarray,
-             totals: np.ndarray, size: float) -> DataFrame:
+def _em_pass(chunks: DataFrame, n_chunks: int, table: DataFrame, blocks: DataFrame, buckets: int, first: np.ndarray,
+             move: np.ndarray, totals: np.ndarray, size: float) -> DataFrame:
     """The table with the expected counts of all training documents; sums: (first, move, tokens per state)."""
     states = len(first)
 
+    def weights(counts: np.ndarray, expected: np.ndarray) -> list[np.ndarray]:
+        return [emissions(expected.reshape(-1, states), totals, (counts + 1) / size).astype("<f4")]
+
     def expect(key: tuple, words: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = words[["bucket", "place", "at"]].iloc[:0 if rows.empty else None].copy()
-        found = None
+        words = words.sort_values("bucket", ignore_index=True)
+        out = words[["bucket", "chunk"]].iloc[:0 if rows.empty else None]
+        values, sums = [], []
         if len(out):
-            counts, expected = _chunk_words(words, states)
-            emit = emissions(expected, totals, (counts + 1) / size)
+            emit = _joined(words, "emit", "<f4", states).astype(np.float64)
             row = rows.iloc[0]
             held, lengths = np.asarray(row["held"], bool), np.asarray(row["lengths"], np.int64)
-            tokens = np.frombuffer(row["tokens"], "<i4")[np.repeat(~held, lengths)]
+            tokens = unpacked(row["tokens"])[np.repeat(~held, lengths)]
             found = expected_counts(tokens, lengths[~held], (first, move, emit))
-            sums = np.concatenate([found[0], found[1].ravel(), found[2].sum(axis=0)])
-        values = [found[2][np.frombuffer(x, "<i4")].astype("<f4").tobytes() for x in out["at"]]
-        return out[["bucket", "place"]].assign(expected=values, sums=[sums if i == 0 else None for i in range(len(out))])
+            ends = np.cumsum([len(x) // (4 * states) for x in words["emit"]])
+            values = [x.astype("<f4").tobytes() for x in np.split(found[2], ends[:-1])]
+            sums = [np.concatenate([found[0], found[1].ravel(), found[2].sum(axis=0)])] + [None] * (len(out) - 1)
+        return out.assign(expected=values, sums=sums)
 
     def add(key: tuple, rows: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-        counts = rows["counts"].iloc[0]
+        counts = rows["counts"][rows["chunk"].isna()].iloc[0]
+        places = {c: p for c, p in zip(rows["chunk"], rows["place"], strict=True) if p is not None}
         expected = np.zeros((len(counts) // 8, states))
-        for place, values in zip(parts["place"], parts["expected"], strict=True):
-            expected[np.frombuffer(place, "<i4")] += np.frombuffer(values, "<f4").reshape(-1, states)
         sums = np.zeros(states * (states + 2))
-        for x in parts["sums"]:
-            if x is not None:
-                sums += x
+        for chunk, values, some in zip(parts["chunk"], parts["expected"], parts["sums"], strict=True):
+            # a block's places are distinct
+            expected[np.frombuffer(places[chunk], "<i4")] += np.frombuffer(values, "<f4").reshape(-1, states)
+            if some is not None:
+                sums += some
         return pd.DataFrame({"bucket": [key[0]], "counts": [counts], "expected": [expected.astype("<f4").tobytes()],
                              "sums": [sums]})
 
     trained = chunks.where(F.exists("held", lambda x: ~x)).select(
         F.col("chunk").alias("part"), "held", "lengths", "tokens")
-    parts = _at_chunks(table, blocks, states).groupBy("chunk").cogroup(trained.groupBy("part")).applyInPandas(
-        expect, "bucket bigint, place binary, expected binary, sums array<double>")
-    return stored(table.select("bucket", "counts").groupBy("bucket").cogroup(parts.groupBy("bucket")).applyInPandas(
-        add, "bucket bigint, counts binary, expected binary, sums array<double>"), "lm-words")
+    sent = _at_chunks(table, blocks, buckets, "emit binary", weights)
+    parts = _dealt(sent, "chunk", n_chunks).groupBy("chunk").cogroup(
+        _dealt(trained, "part", n_chunks).groupBy("part")).applyInPandas(
+            expect, "bucket bigint, chunk string, expected binary, sums array<double>")
+    return stored(_dealt(blocks, "bucket", buckets).groupBy("bucket").cogroup(
+        _dealt(parts, "bucket", buckets).groupBy("bucket")).applyInPandas(
+            add, "bucket bigint, counts binary, expected binary, sums array<double>"), "lm-words")
 
 
 def score_texts(docs: DataFrame, held: Column, states: int = 4, passes: int = 3,
@@ -273,27 +301,34 @@ def score_texts(docs: DataFrame, held: Column, states: int = 4, passes: int = 3,
     document every token has weight 1 of the base and of the model.
     """
     chunks = encode(docs, F.coalesce(held, F.lit(False)), id_col, text_col)
-    table, blocks = _word_table(chunks, states)
+    n_chunks = chunks.count()
+    table, blocks, buckets = _word_table(chunks, states)
     n, v, *totals = _sums(table, 2 + states).tolist()
     totals, size = np.array(totals), n + v + 1
     first, move = start(states)
-    for _ in range(passes if n else 0):
-        table = _em_pass(chunks, table, blocks, first, move, totals, size)
+    for done in range(passes if n else 0):
+        last, table = table, _em_pass(chunks, n_chunks, table, blocks, buckets, first, move, totals, size)
+        if done:
+            discard(last)  # the table of the pass before; the first one is stored with the blocks
         firsts, moves, totals = np.split(_sums(table, states * (states + 2)), [states, states * (states + 1)])
         first, move = maximise(firsts, moves.reshape(states, states))
-    return _score(chunks, _at_chunks(table, blocks, states), first, move, totals, int(n), size)
+    known = _at_chunks(table, blocks, buckets, "counts binary, expected binary",
+                       lambda counts, expected: [counts, expected.reshape(-1, states)])
+    return _score(chunks, n_chunks, known, first, move, totals, int(n), size)
 
 
-def _score(chunks: DataFrame, known: DataFrame, first: np.ndarray, move: np.ndarray, totals: np.ndarray, n: int,
-           size: float) -> DataFrame:
+def _score(chunks: DataFrame, n_chunks: int, known: DataFrame, first: np.ndarray, move: np.ndarray,
+           totals: np.ndarray, n: int, size: float) -> DataFrame:
     def run(key: tuple, words: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        counts, expected = _chunk_words(words, len(first))
+        words = words.sort_values("bucket", ignore_index=True)
+        counts = _joined(words, "counts", "<i8", 1).ravel()
+        expected = _joined(words, "expected", "<f4", len(first))
         weight = (counts + 1) / size
         emit, base = emissions(expected, totals, weight), np.log10(weight)
         out = []
         for row in rows.itertuples(index=False):
             lengths = np.asarray(row.lengths, np.int64)
-            tokens = np.frombuffer(row.tokens, "<i4")
+            tokens = unpacked(row.tokens)
             ends = np.cumsum(lengths)
             logs = np.empty(len(lengths))
             for part in _steps(lengths):
@@ -308,6 +343,7 @@ def _score(chunks: DataFrame, known: DataFrame, first: np.ndarray, move: np.ndar
         return pd.concat(out)
 
     parts = chunks.select(F.col("chunk").alias("part"), "ids", "held", "lengths", "tokens")
-    return known.groupBy("chunk").cogroup(parts.groupBy("part")).applyInPandas(
+    return _dealt(known, "chunk", n_chunks).groupBy("chunk").cogroup(
+        _dealt(parts, "part", n_chunks).groupBy("part")).applyInPandas(
         run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
              "base_score double, score double")

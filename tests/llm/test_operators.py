@@ -194,8 +194,6 @@ def test_hmm_base_and_proper_probabilities(spark):
     want = sorted(round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in token(r.text)), 6) for r in docs.collect())
     assert sorted(round(r.base_score, 6) for r in got) == want
     assert all(r.train_tokens == n and r.score < 0 and r.n_known <= r.n_tokens for r in got)
-    alphabet = hmm.Alphabet(["a", "b"], [30, 21], 20, {3: 9.0}, 50, 9)
-    assert alphabet.base.sum() == pytest.approx((30 + 21 + 9 + 1) / 60)
     untrained = hmm.score_texts(docs, F.lit(True)).collect()
     assert len(untrained) == 13 and all(r.base_score == 0 and r.n_known == 0 for r in untrained)
     assert hmm.score_texts(docs.limit(0), F.lit(False)).count() == 0
