@@ -8,7 +8,9 @@ above 1 the bucket is skipped; otherwise the task counts what length pruning
 (the prefix of vectors long enough to reach the bound) and coordinate pruning
 (vectors whose value at one of the query's largest coordinates is possible at
 that cosine) would leave, takes the smaller set, and verifies its products.
-Queries and candidates meet block by block; a pair of blocks is one row.
+Queries and candidates meet block by block; a pair of blocks is one row. A task
+goes through its buckets from the longest vectors down and keeps the k best of
+each query it has seen, whose least score is the query's bound for the next.
 """
 
 from __future__ import annotations
@@ -25,28 +27,34 @@ from ledgerline.llm.common import ship, stored
 
 #: Rows per bucket and per query block; coordinates tried per query.
 BUCKET_ROWS, QUERY_ROWS, FOCUS = 4096, 512, 3
+#: Queries whose best candidates a task holds at once.
+HELD_QUERIES = 100_000
 #: Share of a bucket from which a product of whole blocks is cheaper than picked rows.
 DENSE = 0.2
 _EXACT = 2.0 ** 53
 
 
 def _vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """vec_id, v (array of integers), norm, dim of usable rows; of rows with one id the least vector counts."""
+    """row (a number of its own), vec_id, v (array of integers), norm, dim of usable rows."""
     x = F.col(vector_col).cast("array<double>")
     finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf")))
     ints = rows.where(F.col(id_col).isNotNull() & x.isNotNull() & finite).select(
         F.col(id_col).cast("bigint").alias("vec_id"), F.transform(x, lambda e: F.floor(e * scale)).alias("v"))
-    ints = ints.groupBy("vec_id").agg(F.min("v").alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e.cast("double") * e))
-    return stored(ints.select("vec_id", "v", norm.alias("norm"), F.size("v").alias("dim")), "topk-vectors")
+    return stored(ints.select("vec_id", "v", norm.alias("norm"), F.size("v").alias("dim"),
+                              F.monotonically_increasing_id().alias("row")), "topk-vectors")
 
 
 def _matrix(values: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
     return values.flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, 0), np.int64)
 
 
+def _ids(rows: np.ndarray, ids: np.ndarray) -> bytes:
+    return np.stack([rows, ids], axis=1).astype("<i8").tobytes()
+
+
 def _buckets(vectors: DataFrame) -> DataFrame:
-    """bucket, dim, longest, n, ids, matrix (both binary int64): rows in falling order of length, stored."""
+    """bucket, dim, longest, n, ids (two int64 a row: row, vec_id), matrix (int64): rows in falling order of length, stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -60,20 +68,20 @@ def _buckets(vectors: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name * 1_000_000 + number]), pa.array([int(dims[a])], pa.int32()),
                      pa.array([part.column("norm")[0].as_py()]), pa.array([b - a]),
-                     pa.array([part.column("vec_id").to_numpy().astype("<i8").tobytes()], pa.binary()),
+                     pa.array([_ids(part.column("row").to_numpy(), part.column("vec_id").to_numpy())], pa.binary()),
                      pa.array([part.column("v").flatten().to_numpy().astype("<i8").tobytes()], pa.binary())],
                     names=["bucket", "dim", "longest", "n", "ids", "matrix"])
                 number += 1
 
     parts = max(1, -(-vectors.count() // (8 * BUCKET_ROWS)))
     ranged = vectors.repartitionByRange(parts, "dim", F.desc("norm"), "vec_id").sortWithinPartitions(
-        "dim", F.desc("norm"), "vec_id").select("vec_id", "v", "norm", "dim")
+        "dim", F.desc("norm"), "vec_id").select("row", "vec_id", "v", "norm", "dim")
     return stored(ranged.mapInArrow(run, "bucket bigint, dim int, longest double, n bigint, ids binary, matrix binary"),
                   "topk-buckets")
 
 
 def _query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
-    """block, q_dim, q_longest, least bound, q_ids, q_bounds, q_matrix of queries (vec_id, v, norm, dim, bound), stored."""
+    """block, q_dim, q_longest, least bound, q_ids, q_bounds, q_matrix of queries (row, vec_id, v, norm, dim, bound), stored."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for at in range(0, len(rows), 2 * QUERY_ROWS):
@@ -82,12 +90,12 @@ def _query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
             out.append({
                 "q_dim": key[1], "q_longest": float(part["norm"].max()),
                 "q_reach": float((bound / np.maximum(part["norm"].to_numpy(), 1e-300)).min()),
-                "q_ids": part["vec_id"].to_numpy().astype("<i8").tobytes(), "q_bounds": bound.astype("<f8").tobytes(),
+                "q_ids": _ids(part["row"].to_numpy(), part["vec_id"].to_numpy()), "q_bounds": bound.astype("<f8").tobytes(),
                 "q_matrix": np.stack(part["v"].to_list()).astype("<i8").tobytes()})
         return pd.DataFrame(out)
 
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")
-    found = queries.select("vec_id", "v", "norm", "dim", "bound", block).groupBy("block", "dim").applyInPandas(
+    block = F.pmod(F.xxhash64("vec_id", "row"), F.lit(blocks)).alias("block")
+    found = queries.select("row", "vec_id", "v", "norm", "dim", "bound", block).groupBy("block", "dim").applyInPandas(
         run, "q_dim int, q_longest double, q_reach double, q_ids binary, q_bounds binary, q_matrix binary")
     return stored(found, "topk-queries")
 
@@ -96,7 +104,7 @@ class Bucket:
     """A bucket with what pruning needs, built on first use."""
 
     def __init__(self, ids: bytes, matrix: bytes, dim: int):
-        self.ids = np.frombuffer(ids, "<i8")
+        self.rows, self.ids = np.frombuffer(ids, "<i8").reshape(-1, 2).T
         self.ints = np.frombuffer(matrix, "<i8").reshape(len(self.ids), dim)
         self.values = self.ints.astype(np.float64)
         self.norms = np.sqrt((self.values ** 2).sum(axis=1))
@@ -128,7 +136,8 @@ def possible(unit_value: float, cosine: float) -> tuple[float, float]:
 
 
 def search(bucket: Bucket, ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, k: int) -> Iterator[tuple]:
-    """(query id, vec ids, scores): the bucket's k best of each query that reach its bound, ties to smaller ids."""
+    """(query row, vec ids, scores): the bucket's k best of each query (``ids``: its row number) that reach its
+    bound, ties to smaller ids; a query's own row is left out."""
     norms = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1))
     longest, n = float(bucket.norms.max(initial=0.0)), len(bucket.ids)
     dense, prefix = [], np.zeros(len(ids), int)
@@ -158,14 +167,15 @@ def search(bucket: Bucket, ids: np.ndarray, queries: np.ndarray, bounds: np.ndar
     if dense:
         rows = slice(0, int(prefix[dense].max()))
         for i, scores in zip(dense, bucket.products(queries[dense], rows), strict=True):
-            yield _best(ids[i], bucket.ids[rows], scores, bounds[i], k)
+            yield _best(ids[i], bucket.rows[rows], bucket.ids[rows], scores, bounds[i], k)
     for i, rows in picked:
         if len(rows):
-            yield _best(ids[i], bucket.ids[rows], bucket.products(queries[i:i + 1], rows)[0], bounds[i], k)
+            yield _best(ids[i], bucket.rows[rows], bucket.ids[rows], bucket.products(queries[i:i + 1], rows)[0],
+                        bounds[i], k)
 
 
-def _best(query: int, ids: np.ndarray, scores: np.ndarray, bound: float, k: int) -> tuple:
-    good = np.flatnonzero((scores >= bound) & (ids != query))
+def _best(query: int, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, bound: float, k: int) -> tuple:
+    good = np.flatnonzero((scores >= bound) & (rows != query))
     if len(good) > k:
         least = np.partition(scores[good], len(good) - k)[len(good) - k]
         good = good[scores[good] >= least]
@@ -173,26 +183,61 @@ def _best(query: int, ids: np.ndarray, scores: np.ndarray, bound: float, k: int)
     return query, ids[order], scores[order]
 
 
+class Held:
+    """The k best candidates of each query a task has met."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.best: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
+
+    def bound(self, row: int, bound: float) -> float:
+        """What a candidate must reach to count: ties with the k-th may still come by a smaller id."""
+        found = self.best.get(row)
+        return bound if found is None or len(found[1]) < self.k else max(bound, float(found[2][-1]))
+
+    def add(self, row: int, query_id: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        if row in self.best:
+            _, old_ids, old_scores = self.best[row]
+            ids, scores = np.concatenate([old_ids, ids]), np.concatenate([old_scores, scores])
+            order = np.lexsort((ids, -scores))[:self.k]
+            ids, scores = ids[order], scores[order]
+        self.best[row] = query_id, ids, scores
+
+    def rows(self) -> pa.RecordBatch:
+        found = list(self.best.items())
+        sizes = [len(x[1]) for _, x in found]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat([row for row, _ in found], sizes)), pa.array(np.repeat([x[0] for _, x in found], sizes)),
+             pa.array(np.concatenate([x[1] for _, x in found])), pa.array(np.concatenate([x[2] for _, x in found]))],
+            names=["query_row", "query_id", "vec_id", "score"])
+
+
 def _search_pairs(pairs: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, score of block pairs (both sides' columns), stored."""
+    """query_row, query_id, vec_id, score of block pairs (both sides' columns), stored: at most k rows of a query and task,
+    or of a query and ``HELD_QUERIES`` queries a task has met."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, bucket = None, None
+        last, bucket, held = None, None, Held(k)
         for batch in batches:
             for row in range(batch.num_rows):
                 get = lambda name, batch=batch, row=row: batch.column(name)[row].as_py()
                 if get("bucket") != last:
                     last, bucket = get("bucket"), Bucket(get("ids"), get("matrix"), get("dim"))
-                ids = np.frombuffer(get("q_ids"), "<i8")
+                rows, ids = np.frombuffer(get("q_ids"), "<i8").reshape(-1, 2).T
                 queries = np.frombuffer(get("q_matrix"), "<i8").reshape(len(ids), -1)
-                found = [x for x in search(bucket, ids, queries, np.frombuffer(get("q_bounds"), "<f8"), k) if len(x[1])]
-                if found:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat([x[0] for x in found], [len(x[1]) for x in found])),
-                         pa.array(np.concatenate([x[1] for x in found])),
-                         pa.array(np.concatenate([x[2] for x in found]))], names=["query_id", "vec_id", "score"])
-
-    return stored(pairs.sortWithinPartitions("bucket").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint"),
-                  "topk-found")
+                bounds = [held.bound(r, b) for r, b in zip(rows.tolist(), np.frombuffer(get("q_bounds"), "<f8").tolist(),
+                                                           strict=True)]
+                names = dict(zip(rows.tolist(), ids.tolist(), strict=True))
+                for q, found, scores in search(bucket, rows, queries, np.array(bounds), k):
+                    if len(found):
+                        held.add(int(q), names[int(q)], found, scores)
+                if len(held.best) >= HELD_QUERIES:
+                    yield held.rows()
+                    held = Held(k)
+        if held.best:
+            yield held.rows()
+
+    return stored(pairs.sortWithinPartitions(F.desc("longest"), "bucket").mapInArrow(
+        run, "query_row bigint, query_id bigint, vec_id bigint, score bigint"), "topk-found")
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id",
@@ -201,9 +246,11 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_co
 
     Components count as floor(scale * x). Ties go to the smaller id; with
     fewer than k other rows all are returned. Rows with a NULL id, a NULL
-    vector or a NULL or non-finite component take no part; of rows that
-    repeat an id the one with the least vector counts; vectors of different
-    dimension are never compared. ``is_query`` is a condition on ``vec_id``.
+    vector or a NULL or non-finite component take no part; rows that repeat an
+    id are candidates, and queries, of their own: only a query's own row is left
+    out; vectors of different dimension are never compared. Ties, also of rows
+    with one id, are cut at k. ``is_query`` is a condition on ``vec_id``. An
+    empty table gives no rows.
     """
     ship(rows.sparkSession)
     vectors = _vectors(rows, id_col, vector_col, scale)
@@ -218,13 +265,13 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_co
     head = buckets.join(first, F.col("bucket") == F.col("first"), "left_semi")
     seeds = _search_pairs(head.join(start, F.col("dim") == F.col("q_dim")), k)
 
-    bounds = seeds.groupBy("query_id").agg(F.count("*").alias("found"), F.min("score").alias("least"))
-    bounded = queries.join(bounds, F.col("vec_id") == F.col("query_id"), "left").withColumn(
-        "bound", F.when(F.col("found") == k, F.col("least").cast("double")).otherwise(F.lit(float("-inf"))))
+    bounds = seeds.groupBy("query_row").agg(F.count("*").alias("found"), F.min("score").alias("least"))
+    bounded = queries.join(bounds, F.col("row") == F.col("query_row"), "left").withColumn(
+        "bound", F.when(F.col("found") >= k, F.col("least").cast("double")).otherwise(F.lit(float("-inf"))))
     later = _query_blocks(bounded, blocks)
     other = buckets.join(first, F.col("bucket") == F.col("first"), "left_anti")
     pairs = other.join(later, (F.col("dim") == F.col("q_dim")) & (F.col("longest") * (1 + 1e-9) >= F.col("q_reach")))
     found = seeds.unionByName(_search_pairs(pairs, k))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

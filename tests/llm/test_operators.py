@@ -281,15 +281,19 @@ def test_top_k_against_all_products(spark):
     r = np.random.default_rng(4)
     rows = [(i, (r.standard_normal(6) * r.choice([0.1, 1, 5])).tolist()) for i in range(300)]
     rows += [(i, rows[0][1]) for i in range(300, 340)] + [(400, None), (401, [float("nan")] * 6), (402, [None] * 6),
-                                                          (None, rows[1][1]), (403, [1.0, 2.0]), (3, rows[3][1])]
+                                                          (None, rows[1][1]), (403, [1.0, 2.0]), (3, rows[3][1]),
+                                                          (5, rows[6][1]), (5, (3 * np.array(rows[7][1])).tolist()),
+                                                          (20, rows[8][1])]  # repeated ids: rows of their own
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("norm", F.lit("x"))
     got = topk.top_k(df, F.col("vec_id") % 20 == 0).collect()
-    v = {i: np.floor(64 * np.array(x, np.float32).astype(float)).astype(int) for i, x in rows
-         if i is not None and i != 403 and x and None not in x and not math.isnan(x[0])}
+    v = [(i, np.floor(64 * np.array(x, np.float32).astype(float)).astype(int)) for i, x in rows
+         if i is not None and i != 403 and x and None not in x and not math.isnan(x[0])]
     want = []
-    for q in (i for i in v if i % 20 == 0):
-        best = sorted(((-int(v[q] @ v[c]), c) for c in v if c != q))[:20]
-        want += [(q, k, c, -s) for k, (s, c) in enumerate(best, 1)]
+    for n, (q, x) in enumerate(v):
+        if q % 20 == 0:
+            best = sorted(((-int(x @ y), c) for m, (c, y) in enumerate(v) if m != n))[:20]
+            want += [(q, k, c, -s) for k, (s, c) in enumerate(best, 1)]
+    assert len(want) > len({w[0] for w in want}) * 20  # the repeated query id has its rows twice
     assert sorted(map(tuple, got)) == sorted(want)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
@@ -298,7 +302,7 @@ def test_pruning_loses_nothing():
     r = np.random.default_rng(8)
     vectors = (r.standard_normal((500, 8)) * 40).astype("<i8")
     vectors = vectors[np.argsort(-np.linalg.norm(vectors, axis=1), kind="stable")]
-    bucket = topk.Bucket(np.arange(500, dtype="<i8").tobytes(), vectors.tobytes(), 8)
+    bucket = topk.Bucket(topk._ids(np.arange(500), np.arange(500)), vectors.tobytes(), 8)
     queries = (r.standard_normal((50, 8)) * 40).astype("<i8")
     scores = queries @ vectors.T
     for quantile in (0.5, 0.9, 0.99):
