@@ -323,3 +323,36 @@ def load_report(spark: SparkSession, csv_path: str, warehouse: str,
     else:
         with journal.step(LOAD_START, LOAD_END):
             work()
+
+
+def extract_report_from_database(spark: SparkSession, url: str, table: str, properties: dict, out_dir: str,
+                                 journal: RunJournal | None = None) -> None:
+    """D3 with the report in a database: table -> CSV folder with header.
+    A report has a row per ledger and period, so one connection reads it."""
+    found = jdbc.read_table(spark, url, table, properties)
+    # database dialects return names in their own case
+    extract_report(spark, found.toDF(*[c.lower() for c in found.columns]), out_dir, journal)
+
+
+def load_report_to_database(spark: SparkSession, csv_path: str, url: str, table: str, properties: dict, batch: str,
+                            journal: RunJournal | None = None, mode: str = "replace_period") -> bool:
+    """D4 with a database target: the edited report CSV into ``table``, its rejects into ``<table>_rejects``.
+
+    The rows move in one transaction under the name ``batch``; a batch loaded
+    before is left out (False). ``replace_period`` removes the periods of the file
+    in that transaction, ``append`` adds the rows to them."""
+    if mode not in ("replace_period", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
+
+    def work() -> bool:
+        found = conform_report_csv(spark, csv_path)
+        jdbc.refresh_table(found.rejects, url, f"{table}_rejects", properties)
+        # widest decimals a database has to take: the report's own scale, 31 digits
+        rows = found.table.select(*[F.col(c).cast("decimal(31,8)").alias(c) if t.startswith("decimal") else F.col(c)
+                                    for c, t in found.table.select(*REPORT.columns).dtypes])
+        return jdbc.append_once(rows, url, table, batch, properties,
+                                replace=REPORT_KEYS[:2] if mode == "replace_period" else ())
+    if journal is None:
+        return work()
+    with journal.step(LOAD_START, LOAD_END):
+        return work()
