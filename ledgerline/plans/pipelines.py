@@ -3,7 +3,7 @@ shared storage.
 
 Layout under ``warehouse``::
 
-    ds/<table>                     conformed inputs (full refresh)
+    ds/<table>                     conformed inputs (full refresh), postings by month
     rejects/<table>                rows that failed conform
     rejects/{turnover_unmatched,accounts_without_ledger,orphan_balances}
                                    rows the marts of the last filled period leave out
@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.model import RUN_STATUSES, Period
 from ledgerline.operators import balance as bal
@@ -39,13 +40,14 @@ from ledgerline.sources import csv as csvio
 from ledgerline.sources import jdbc, sinks
 from ledgerline.sources.ingest import ingest_folder, load_detail_store
 from ledgerline.sources.publish import Release
-from ledgerline.sources.specs import REPORT, REPORT_KEYS
+from ledgerline.sources.specs import REGISTRY, REPORT, REPORT_KEYS
 
 (ETL_START, ETL_END, TURNOVER_START, TURNOVER_END, BALANCE_START, BALANCE_END,
  EXTRACT_START, EXTRACT_END, LOAD_START, LOAD_END) = RUN_STATUSES
 
 TURNOVER_MART = "account_turnover_f"
 BALANCE_MART = "account_balance_f"
+ROLLED = "account_balance_rolled"  # opening days as rolled, before deliveries replaced some of their rows
 REPORT_TABLE = "f101_round_f"
 REPORT_V2 = "f101_round_f_v2"
 # Mart money type: one type for every partition of a mart, wide enough for
@@ -54,6 +56,18 @@ REPORT_V2 = "f101_round_f_v2"
 MART_MONEY = "decimal(38,8)"
 
 
+#: Partition column of the ds tables with a folder per month.
+MONTH = "_month"
+
+
+def _by_month(df: DataFrame, layer: str, name: str) -> tuple[DataFrame, tuple[str, ...]]:
+    """The rows as stored, and their partition columns."""
+    spec = REGISTRY.get(name)
+    if layer != "ds" or spec is None or spec.month_of is None:
+        return df, ()
+    return df.withColumn(MONTH, F.trunc(spec.month_of, "MM")), (MONTH,)
+
+
 def _mart_types(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast(MART_MONEY).alias(c) if t.startswith("decimal") else F.col(c)
                        for c, t in df.dtypes])
@@ -68,14 +82,26 @@ class Warehouse:
         return sinks.table_path(self.root, layer, name)
 
     def read(self, layer: str, name: str) -> DataFrame:
+        return self._stored(layer, name).drop(MONTH)
+
+    def _stored(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 
+    def in_months(self, name: str, period: Period) -> DataFrame:
+        """The rows of a ds table with a folder per month that may lie in the period: only its months are read."""
+        month = F.col(MONTH).cast("string")
+        first, last = period.start.replace(day=1).isoformat(), period.end.replace(day=1).isoformat()
+        found = self._stored("ds", name)
+        # a table of a load without rows has no month
+        return found.where(month.between(first, last)).drop(MONTH) if MONTH in found.columns else found
+
     def journal(self) -> RunJournal:
         return RunJournal(self.spark, self.path("logs", "events"))
 
     def refresh(self, df: DataFrame, layer: str, name: str) -> None:
-        """Replace a whole table."""
-        sinks.full_refresh(df, self.path(layer, name))
+        """Replace a whole table; a ds table with a date of its own in folders per month."""
+        df, columns = _by_month(df, layer, name)
+        sinks.full_refresh(df, self.path(layer, name), columns)
 
     def replace_days(self, df: DataFrame, name: str, first: dt.date, last: dt.date) -> None:
         """Replace the days of a per-day mart, those without rows included."""
@@ -106,12 +132,18 @@ class VersionedWarehouse(Warehouse):
     def __init__(self, spark: SparkSession, root: str):
         super().__init__(spark, root)
         self.release = Release(spark, root)
+        self._empty: dict[str, T.StructType] = {}
 
-    def read(self, layer: str, name: str) -> DataFrame:
-        return self.release.read(f"{layer}/{name}")
+    def _stored(self, layer: str, name: str) -> DataFrame:
+        return self.release.read(f"{layer}/{name}", self._empty.get(f"{layer}/{name}"))
 
     def refresh(self, df: DataFrame, layer: str, name: str) -> None:
-        self.release.write(df, f"{layer}/{name}")
+        df, columns = _by_month(df, layer, name)
+        if columns:
+            self._empty[f"{layer}/{name}"] = df.schema  # should no month have rows
+            self.release.write_parts(df, f"{layer}/{name}", list(columns), lambda part: True)
+        else:
+            self.release.write(df, f"{layer}/{name}")
 
     def replace_days(self, df: DataFrame, name: str, first: dt.date, last: dt.date) -> None:
         rows = df.where(F.col("on_date").between(F.lit(first), F.lit(last)))
@@ -140,7 +172,7 @@ def ingest(wh: Warehouse, landing_dir: str) -> list[str]:
 
 def fill_turnover(wh: Warehouse, period: Period) -> None:
     """dm.account_turnover_f for every day of the period."""
-    t = tov.turnover_fx(wh.read("ds", "ft_posting_f"), wh.read("ds", "md_account_d"),
+    t = tov.turnover_fx(wh.in_months("ft_posting_f", period), wh.read("ds", "md_account_d"),
                         wh.read("ds", "md_exchange_rate_d"), period)
     wh.replace_days(_mart_types(t), TURNOVER_MART, period.start, period.end)
 
@@ -151,26 +183,35 @@ def fill_opening(wh: Warehouse, period: Period, rate_rule: str = "exact") -> Non
     Balances delivered for that date count first. If the month before was run
     (the mart has the day before, too), they replace the rolled rows of their
     accounts and all other accounts keep theirs; else they are the whole day
-    (the source system emptied the whole mart). Where none are delivered the
-    day must have been rolled; it is left alone. With neither there is nothing
-    to start from, which is an error.
+    (the source system emptied the whole mart). The rolled rows of the day are
+    kept aside when deliveries first replace some, so a balance that a later
+    delivery withdraws gives way to the rolled one again. Where none are
+    delivered the day must have been rolled. With neither there is nothing to
+    start from, which is an error.
     """
     o = bal.opening_balance(wh.read("ds", "ft_balance_f"), wh.read("ds", "md_exchange_rate_d"),
                             period.opening, rate_rule)
-    if not o.isEmpty():
+    day = period.opening
+    rolled = wh.has_day(BALANCE_MART, day - dt.timedelta(days=1))
+    delivered = not o.isEmpty()
+    if rolled and delivered and not wh.has_day(ROLLED, day):
+        wh.replace_days(_balance_mart(wh).where(F.col("on_date") == F.lit(day)), ROLLED, day, day)
+    if delivered:
         o = _mart_types(o)
-        if wh.has_day(BALANCE_MART, period.opening - dt.timedelta(days=1)):
-            rolled = _balance_mart(wh).where(F.col("on_date") == F.lit(period.opening))
-            o = o.unionByName(rolled.join(o.select("account_rk"), "account_rk", "left_anti"))
-        wh.replace_days(o, BALANCE_MART, period.opening, period.opening)
+        if rolled:
+            kept = _balance_mart(wh, ROLLED).where(F.col("on_date") == F.lit(day))
+            o = o.unionByName(kept.join(o.select("account_rk"), "account_rk", "left_anti"))
+        wh.replace_days(o, BALANCE_MART, day, day)
+    elif wh.has_day(ROLLED, day):  # all deliveries were withdrawn
+        wh.replace_days(_balance_mart(wh, ROLLED).where(F.col("on_date") == F.lit(day)), BALANCE_MART, day, day)
     elif not wh.has_day(BALANCE_MART, period.opening):
         raise ValueError(f"no balances delivered or rolled for {period.opening}")
 
 
-def _balance_mart(wh: Warehouse) -> DataFrame:
+def _balance_mart(wh: Warehouse, name: str = BALANCE_MART) -> DataFrame:
     # partition column typed explicitly: a day partition is a date
     return wh.read_days(
-        BALANCE_MART, "account_rk bigint, balance_out decimal(38,8), balance_out_rub decimal(38,8), on_date date")
+        name, "account_rk bigint, balance_out decimal(38,8), balance_out_rub decimal(38,8), on_date date")
 
 
 def _turnover_mart(wh: Warehouse, period: Period) -> DataFrame:
@@ -186,6 +227,8 @@ def fill_balance(wh: Warehouse, period: Period) -> None:
     opening = _balance_mart(wh).where(F.col("on_date") == F.lit(period.opening))
     b = bal.daily_balance(wh.read("ds", "md_account_d"), opening, _turnover_mart(wh, period), period)
     wh.replace_days(_mart_types(b), BALANCE_MART, period.start, period.end)
+    if wh.has_day(ROLLED, period.end):  # rolled anew: what was kept aside of the last day is out of date
+        wh.replace_days(_mart_types(b).where(F.lit(False)), ROLLED, period.end, period.end)
 
 
 def fill_report(wh: Warehouse, period: Period) -> None:
@@ -202,7 +245,7 @@ def report_unmatched(wh: Warehouse, period: Period) -> None:
     account, accounts without a ledger, balances of the opening used (delivered
     or rolled) without an account."""
     accounts = wh.read("ds", "md_account_d")
-    turnover = tov.daily_turnover(wh.read("ds", "ft_posting_f"), period)
+    turnover = tov.daily_turnover(wh.in_months("ft_posting_f", period), period)
     found = {"turnover_unmatched": tov.unmatched_turnover(turnover, accounts),
              "accounts_without_ledger": rep.accounts_without_ledger(
                  accounts, wh.read("ds", "md_ledger_account_s"), period),
@@ -221,7 +264,7 @@ def restate(wh: Warehouse, period: Period, since: dt.date) -> None:
     """
     rest_of = Period(since, period.end)
     accounts = wh.read("ds", "md_account_d")
-    new = _mart_types(tov.turnover_fx(wh.read("ds", "ft_posting_f"), accounts, wh.read("ds", "md_exchange_rate_d"),
+    new = _mart_types(tov.turnover_fx(wh.in_months("ft_posting_f", rest_of), accounts, wh.read("ds", "md_exchange_rate_d"),
                                       rest_of))
     changes = rst.turnover_changes(_turnover_mart(wh, rest_of), new)
     wh.refresh(changes, "dm", f"{TURNOVER_MART}_changes")

@@ -36,12 +36,15 @@ def _swap(fs, fresh, target, aside) -> None:
         raise OSError(f"cannot move {fresh} to {target}")
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
+def full_refresh(df: DataFrame, path: str, partition_cols: tuple[str, ...] = ()) -> None:
     """Replace the whole table. The rows are written next to it first, so a
     failing write leaves the old table as it was."""
     root, mark = path.rstrip("/"), uuid.uuid4().hex
     fresh, aside = f"{root}-new-{mark}", f"{root}-old-{mark}"
-    df.write.parquet(fresh)
+    if partition_cols:
+        df.sortWithinPartitions(*partition_cols).write.partitionBy(*partition_cols).parquet(fresh)
+    else:
+        df.write.parquet(fresh)
     fs, make = _fs(df.sparkSession, root)
     _swap(fs, make(fresh), make(root), make(aside))
     fs.delete(make(aside), True)

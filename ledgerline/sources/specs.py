@@ -37,6 +37,8 @@ class TableSpec:
     dedupe_order: tuple[str, ...] = ()
     # whole-row duplicates are dropped (A1); off for fact tables
     drop_identical_rows: bool = True
+    # the stored table has a folder per month of this date
+    month_of: str | None = None
     sep: str = ";"
     layer: str = "ds"
 
@@ -80,7 +82,7 @@ POSTING = TableSpec(
     date_columns=("oper_date",), date_format=DASHED_DATE,
     required=("oper_date", "credit_account_rk", "debet_account_rk"),
     # two identical postings on one day are two postings
-    drop_identical_rows=False,
+    drop_identical_rows=False, month_of="oper_date",
 )
 
 ACCOUNT = TableSpec(
