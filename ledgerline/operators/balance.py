@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import date_days, lit_date
 from ledgerline.functions.ledger import signed_movement
+from ledgerline.functions.money import as_rub, in_roubles
 from ledgerline.model import Period
 from ledgerline.operators.fx import rates_starting_on, with_rate_on
 from ledgerline.operators.sizing import spread_join
@@ -33,7 +34,7 @@ def opening_balance(balances: DataFrame, rates: DataFrame, on_date: dt.date,
         raise ValueError(f"unknown rate rule {rate_rule!r}")
     return valued.select(
         lit_date(on_date).alias("on_date"), "account_rk", "balance_out",
-        (F.col("balance_out") * F.coalesce(F.col("reduced_cource"), F.lit(1))).alias("balance_out_rub"))
+        in_roubles(valued, "balance_out", "reduced_cource").alias("balance_out_rub"))
 
 
 def accounts_in_period(accounts: DataFrame, period: Period) -> DataFrame:
@@ -75,9 +76,8 @@ def movements(base: DataFrame, turnover: DataFrame, rates: DataFrame | None = No
     if rates is None:
         return mv
     mv = with_rate_on(mv, rates, "on_date", "currency_rk", out="_rate")
-    k = F.coalesce(F.col("_rate"), F.lit(1))
-    return (mv.withColumn("credit_amount_rub", F.col("credit_amount") * k)
-            .withColumn("debet_amount_rub", F.col("debet_amount") * k).drop("_rate"))
+    return (mv.withColumn("credit_amount_rub", in_roubles(mv, "credit_amount", "_rate"))
+            .withColumn("debet_amount_rub", in_roubles(mv, "debet_amount", "_rate")).drop("_rate"))
 
 
 def daily_balance(accounts: DataFrame, opening: DataFrame, turnover: DataFrame,
@@ -108,7 +108,7 @@ def daily_balance(accounts: DataFrame, opening: DataFrame, turnover: DataFrame,
     base = acc.join(op, "account_rk", "left").select(
         "account_rk", "char_type", "currency_rk", "first_day", "last_day",
         F.coalesce("_open", F.lit(0)).alias("_open"),
-        F.coalesce("_open_rub", F.lit(0)).alias("_open_rub"))
+        as_rub(F.coalesce("_open_rub", F.lit(0))).alias("_open_rub"))
     mv = movements(base, turnover, rates)
 
     # both windows use the join's partitioning and one sort
@@ -117,12 +117,13 @@ def daily_balance(accounts: DataFrame, opening: DataFrame, turnover: DataFrame,
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     of_version = Window.partitionBy("account_rk", "first_day").orderBy("on_date")
     moved = signed_movement(F.col("debet_amount"), F.col("credit_amount"))
-    moved_rub = signed_movement(F.col("debet_amount_rub"), F.col("credit_amount_rub"))
+    # rouble amounts: a difference of two of their type is exact, and so is a sum of one with a sum cast back
+    moved_rub = as_rub(signed_movement(as_rub("debet_amount_rub"), as_rub("credit_amount_rub")))
     rolled = mv.select(
         "account_rk", "first_day", "last_day", "_open", "_open_rub", "on_date",
-        F.sum(moved).over(upto).alias("_cum"), F.sum(moved_rub).over(upto).alias("_cum_rub"),
+        F.sum(moved).over(upto).alias("_cum"), as_rub(F.sum(moved_rub).over(upto)).alias("_cum_rub"),
         F.coalesce(F.sum(moved).over(before), F.lit(0)).alias("_prior"),
-        F.coalesce(F.sum(moved_rub).over(before), F.lit(0)).alias("_prior_rub"),
+        as_rub(F.coalesce(F.sum(moved_rub).over(before), F.lit(0))).alias("_prior_rub"),
         F.lead("on_date").over(of_version).alias("_next"),
         F.row_number().over(of_version).alias("_k"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import lit_date
 from ledgerline.functions.ledger import currency_class_sums, is_domestic, ledger_code, signed_movement
+from ledgerline.functions.money import as_rub
 from ledgerline.model import Period
 from ledgerline.operators.balance import accounts_in_period, movements
 from ledgerline.operators.sizing import spread_join
@@ -86,15 +87,15 @@ def form101(accounts: DataFrame, ledger: DataFrame, opening: DataFrame,
     base = acc.select(*keys)
     mv = movements(base, in_period(turnover, "on_date", period), rates)
     # grouped, and rolled, on the join key (plus attributes of the account): no shuffle
-    per_account = mv.groupBy(*keys).agg(F.sum("debet_amount_rub").alias("_deb"),
-                                        F.sum("credit_amount_rub").alias("_cre"))
-    bin_ = opening.select("account_rk", F.col("balance_out_rub").alias("_in"))
+    per_account = mv.groupBy(*keys).agg(as_rub(F.sum("debet_amount_rub")).alias("_deb"),
+                                        as_rub(F.sum("credit_amount_rub")).alias("_cre"))
+    bin_ = opening.select("account_rk", as_rub("balance_out_rub").alias("_in"))
     versions = Window.partitionBy("account_rk").orderBy("first_day")
     upto = versions.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = per_account.join(bin_, "account_rk", "left").select(
         "*", (F.row_number().over(versions) == 1).alias("_first"),
         F.lead("first_day").over(versions).isNull().alias("_last"),
-        F.sum(signed_movement(F.col("_deb"), F.col("_cre"))).over(upto).alias("_moved"))
+        as_rub(F.sum(as_rub(signed_movement(F.col("_deb"), F.col("_cre")))).over(upto)).alias("_moved"))
     if closing is not None:
         # the balance of the account's last valid day in the period. The day is a range, not a join
         # key: the join then needs no other partitioning than the account's, which all sides have

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import lit_date
 from ledgerline.model import Period
+from ledgerline.functions.money import in_roubles
 from ledgerline.operators.fx import with_rate_on
 
 
@@ -62,7 +63,7 @@ def value_turnover(turnover: DataFrame, accounts: DataFrame, rates: DataFrame) -
     currency (J3: inner, a movement on an account not valid that day is
     dropped); the rate valid that day converts (J2), 1 when none. Turnover
     is aggregated before valuation: sum(amount) x rate equals
-    sum(amount x rate) exactly in decimal arithmetic, and the join then
+    sum(amount x rate) exactly (:mod:`ledgerline.functions.money`), and the join then
     sees one row per (day, account) instead of one per posting.
     """
     t = turnover.alias("_t")
@@ -74,11 +75,10 @@ def value_turnover(turnover: DataFrame, accounts: DataFrame, rates: DataFrame) -
     joined = t.join(a, cond, "inner").select(
         "_t.on_date", "_t.account_rk", "_a.currency_rk", "_t.credit_amount", "_t.debet_amount")
     rated = with_rate_on(joined, rates, "on_date", "currency_rk", out="_rate")
-    k = F.coalesce(F.col("_rate"), F.lit(1))
     return rated.select(
         "on_date", "account_rk",
-        "credit_amount", (F.col("credit_amount") * k).alias("credit_amount_rub"),
-        "debet_amount", (F.col("debet_amount") * k).alias("debet_amount_rub"))
+        "credit_amount", in_roubles(rated, "credit_amount", "_rate").alias("credit_amount_rub"),
+        "debet_amount", in_roubles(rated, "debet_amount", "_rate").alias("debet_amount_rub"))
 
 
 def unmatched_turnover(turnover: DataFrame, accounts: DataFrame) -> DataFrame:

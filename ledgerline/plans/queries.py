@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import parse_date, render_date
+from ledgerline.functions.money import in_roubles
 from ledgerline.model import DASHED_DATE, DEFAULT_PERIOD, DOTTED_DATE, ISO_DATE, Period
 from ledgerline.operators import balance as bal
 from ledgerline.operators import conform as cf
@@ -342,9 +343,9 @@ def q_turnover_fx_long_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = m.account_parts().select(F.col("account_rk").alias("_rk"), "currency_rk")
     moved = tov.daily_turnover(m.postings()).join(of, F.col("account_rk") == F.col("_rk")).drop("_rk")
     rated = with_rate_on(moved, rates, out="rate")
-    k = F.coalesce("rate", F.lit(1))
-    out = rated.select("on_date", "account_rk", "currency_rk", "rate", (F.col("credit_amount") * k).alias("credit_amount_rub"),
-                       (F.col("debet_amount") * k).alias("debet_amount_rub"))
+    out = rated.select("on_date", "account_rk", "currency_rk", "rate",
+                       in_roubles(rated, "credit_amount", "rate").alias("credit_amount_rub"),
+                       in_roubles(rated, "debet_amount", "rate").alias("debet_amount_rub"))
     return _money_out(out, ["rate", "credit_amount_rub", "debet_amount_rub"])
 
 
