@@ -28,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = table(spark, sf_dir, "labels").where(crc_fold(F.col("doc_id"), 4) != 2)
     model = crf.learn(docs, labels)
-    if "constant" in model:
+    if "constant" in (model or {}):
         return docs
     row = free_name(docs, "_row")
     rows = numbered(docs, row)
