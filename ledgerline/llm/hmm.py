@@ -26,10 +26,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +41,8 @@ from ledgerline.llm.near_dup import mixed
 
 #: The end of a text as a token; no word holds a separator.
 END = "\n"
-#: Tokens per chunk, tokens worked on at a time.
-CHUNK_TOKENS, STEP_TOKENS = 2_000_000, 250_000
+#: Tokens per chunk, tokens and bytes of text worked on at a time.
+CHUNK_TOKENS, STEP_TOKENS, STEP_BYTES = 2_000_000, 250_000, 1_500_000
 #: Buckets of the word table at least, a power of two; (chunk, word) pairs per bucket beyond.
 BUCKETS, BUCKET_PAIRS = 64, 250_000
 #: Buckets or chunks a task gets on average at most.
@@ -58,54 +60,73 @@ def tokenise(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct words, each token's word, tokens per text) by the rules of :func:`tokenise`."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, ends = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    real = pc.not_equal(flat, "")
+    counts = np.diff(np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[ends - ends[0]])
+    coded = flat.filter(real).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), counts
+
+
+def _steps_of(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of about ``STEP_BYTES`` bytes, a text at least."""
+    sizes, at = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + STEP_BYTES)))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def encode(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFrame:
     """The chunks (see module text), stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         from pyspark import TaskContext
 
+        word_hash = partial(xxhash.xxh64_intdigest, seed=HASH_SEED)
         name, number = TaskContext.get().partitionId(), 0
-        words: dict[bytes, int] = {}
-        ids, holds, lengths, tokens, train = [], [], [], [], []
+        words: dict[str, int] = {}
+        ids, holds, lengths, tokens, counted = [], [], [], [], 0
 
         def chunk() -> pa.RecordBatch:
-            flat = np.concatenate(tokens)
-            counts = np.bincount(np.concatenate(train), minlength=len(words)) if train else np.zeros(len(words), int)
-            order = np.argsort(np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), np.uint64, len(words)),
-                               kind="stable")
+            flat, sizes, held_ = np.concatenate(tokens), np.concatenate(lengths), np.concatenate(holds)
+            counts = np.bincount(flat[np.repeat(~held_, sizes)], minlength=len(words))
+            listed = pa.array(words.keys(), pa.string())
+            order = np.argsort(np.fromiter(map(word_hash, words), np.uint64, len(words)), kind="stable")
             place = np.empty(len(words), np.int32)
             place[order] = np.arange(len(words))
-            listed = list(words)
-            values = [f"{name}-{number}", ids, holds, lengths, packed(place[flat]),
-                      [listed[i].decode() for i in order], counts[order].tolist()]
-            kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
-                     pa.list_(pa.string()), pa.list_(pa.int64())]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)],
-                                              names=["chunk", "ids", "held", "lengths", "tokens", "words", "counts"])
-
-        seen = 0
+            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f"{name}-{number}"]), one(pa.concat_arrays(ids)), one(pa.array(held_)),
+                 one(pa.array(sizes.astype(np.int32))), pa.array([packed(place[flat])], pa.binary()),
+                 one(listed.take(pa.array(order))), one(pa.array(counts[order]))],
+                names=["chunk", "ids", "held", "lengths", "tokens", "words", "counts"])
+
         for batch in batches:
-            for key, hold, text in zip(batch.column("id"), batch.column("held"), batch.column("text"), strict=True):
-                found = tokenise(text.as_py())
-                found.append(END.encode())
-                code = np.array([words.setdefault(w, len(words)) for w in found], np.int32)
-                ids.append(key.as_py())
-                holds.append(hold.as_py())
-                lengths.append(len(code))
-                tokens.append(code)
-                if not holds[-1]:
-                    train.append(code)
-                seen += len(code)
-                if seen >= CHUNK_TOKENS:
+            at = 0
+            for texts in _steps_of(batch.column("text")):
+                found, code, size = split_words(texts)
+                end = words.setdefault(END, len(words))
+                of = np.fromiter((words.setdefault(w, len(words)) for w in found), np.int32, len(found))
+                # the end of each text behind its words
+                tokens.append(np.insert(of[code], np.cumsum(size), end).astype(np.int32))
+                lengths.append(size + 1)
+                holds.append(batch.column("held").slice(at, len(texts)).to_numpy(zero_copy_only=False).astype(bool))
+                ids.append(batch.column("id").slice(at, len(texts)))
+                at += len(texts)
+                counted += len(tokens[-1])
+                if counted >= CHUNK_TOKENS:
                     yield chunk()
-                    words, ids, holds, lengths, tokens, train = {}, [], [], [], [], []
-                    seen, number = 0, number + 1
-        if seen:
+                    words, ids, holds, lengths, tokens, counted = {}, [], [], [], [], 0
+                    number += 1
+        if counted:
             yield chunk()
 
     ship(docs.sparkSession)
     return stored(docs.select(F.col(id_col).cast("bigint").alias("id"), held.alias("held"),
-                              F.col(text_col).alias("text")).mapInArrow(run, _CHUNK), "lm-chunks")
+                              F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, _CHUNK), "lm-chunks")
 
 
 def packed(tokens: np.ndarray) -> bytes:
