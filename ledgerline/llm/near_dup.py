@@ -13,9 +13,11 @@ Rows of ``BANDS`` x ``ROWS`` values form buckets. Instead of all pairs of a
 bucket, its most central member (the one that shares most places with others)
 is compared with all members; the verified links make components; then only
 members outside the pivot's component are compared with the members of other
-components. So every pair of a bucket is compared or known to be in one
-component, and a large group of near copies costs its size, not its square.
-Equal sets are one node from the start.
+components, if their sizes and the 512-bit parities of their elements allow a
+link. A pair is compared once, however many buckets it shares. So every pair of
+a bucket is compared, or ruled out exactly, or known to be in one component,
+and a large group of near copies costs its size, not its square. Equal sets
+are one node from the start.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import free_name, numbered, ship, stored
@@ -34,8 +36,8 @@ from ledgerline.llm.common import free_name, numbered, ship, stored
 WORDS, BANDS, ROWS = 5, 40, 7
 #: Elements of texts whose darts are thrown together.
 STEP_ELEMENTS = 150_000
-#: Most row numbers that are broadcast.
-SENT_ROWS = 2_000_000
+#: Most row numbers that are broadcast; 64-bit words of a parity.
+SENT_ROWS, PARITY = 2_000_000, 8
 _GOLD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _COORDINATE, _PLACE, _UNIT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
@@ -177,7 +179,7 @@ def features(texts: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """row, elements (array of 64-bit hashes) of the given rows, stored.
+    """row, elements (array of 64-bit hashes), parity (of the elements by their last bits) of the given rows, stored.
 
     Up to ``SENT_ROWS`` row numbers are sent to the scan's tasks (8 bytes each); beyond that the join shuffles.
     """
@@ -188,14 +190,19 @@ def _sets(texts: DataFrame, rows: DataFrame) -> DataFrame:
                 element, owner = shingles(texts)
                 edge = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
                 lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(_signed(element)))
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(at, len(texts)), lists],
-                                                 names=["row", "elements"])
+                bits = np.zeros((len(texts), 64 * PARITY), bool)
+                np.logical_xor.at(bits, (owner, (element % np.uint64(64 * PARITY)).astype(np.int64)), True)
+                words = np.packbits(bits, axis=1, bitorder="little").view("<i8")
+                parity = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * PARITY, pa.int32()),
+                                                  pa.array(words.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(at, len(texts)), lists, parity],
+                                                 names=["row", "elements", "parity"])
                 at += len(texts)
 
     rows = stored(rows.select(F.col("row").alias("r")), "near-involved")
     rows = F.broadcast(rows) if rows.count() <= SENT_ROWS else rows
     found = texts.select("row", "text").join(rows, F.col("row") == F.col("r"), "left_semi")
-    return stored(found.mapInArrow(run, "row bigint, elements array<bigint>"), "near-sets")
+    return stored(found.mapInArrow(run, "row bigint, elements array<bigint>, parity array<bigint>"), "near-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -210,12 +217,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)),
                                               batch.column("b").filter(pa.array(good))], names=["a", "b"])
 
-    pairs = stored(pairs.distinct(), "near-pairs")
     left = pairs.join(sets.select(F.col("row").alias("ra"), F.col("elements").alias("x")), F.col("a") == F.col("ra"))
     both = left.join(sets.select(F.col("row").alias("rb"), F.col("elements").alias("y")), F.col("b") == F.col("rb"))
     return stored(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "near-links")
 
 
+def _may_link(least: float) -> Column:
+    """False only where sizes or parities rule a link of two sides (a_n, a_parity, b_n, b_parity) out: unequal bits
+    are elements of one side alone, and linked sets have at most (1 - least) / (1 + least) of their sizes of these."""
+    a, b = F.col("a_n"), F.col("b_n")
+    apart = sum((F.bit_count(F.col("a_parity")[i].bitwiseXOR(F.col("b_parity")[i])) for i in range(PARITY)), F.lit(0))
+    return ((F.least(a, b) >= least * F.greatest(a, b) - 1e-9)
+            & (apart * (1 + least) <= (a + b) * (1 - least) + 1e-6))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(row, label): connected components of links (a, b); the label is the smallest row. Stored.
 
@@ -271,8 +286,14 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     with_pivot = members.join(pivots, F.col("bucket") == F.col("p_bucket"))
     ratio = lambda x, y: F.least(x, y) >= least * F.greatest(x, y) - 1e-9
     a, b = F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")
-    links = _verified(with_pivot.where((F.col("row") != F.col("pivot")) & ratio(F.col("n"), F.col("p_n")))
-                      .select(a, b), sets, least)
+    # of each set what tells whether a link is possible
+    size = lambda side: sets.select(F.col("row").alias(f"{side}_row"), F.size("elements").alias(f"{side}_n"),
+                                    F.col("parity").alias(f"{side}_parity"))
+    may = _may_link(least)
+    pairs = stored(with_pivot.where((F.col("row") != F.col("pivot")) & ratio(F.col("n"), F.col("p_n")))
+                   .select(a, b).distinct(), "near-pairs")
+    possible = pairs.join(size("a"), F.col("a") == F.col("a_row")).join(size("b"), F.col("b") == F.col("b_row")).where(may)
+    links = _verified(possible.select("a", "b"), sets, least)
 
     label = components(links).withColumnRenamed("row", "l_row")
     placed = with_pivot.join(label, F.col("row") == F.col("l_row"), "left").select(
@@ -280,23 +301,18 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     pivot_label = label.withColumnRenamed("l_row", "pl_row").withColumnRenamed("label", "pl")
     placed = stored(placed.join(pivot_label, F.col("pivot") == F.col("pl_row"), "left").select(
         "bucket", "row", "n", "own", F.coalesce("pl", "pivot").alias("main"), "pivot"), "near-placed")
-    # outside the pivot's component: compared with every member of another component but the pivot, done above.
-    # The comparison is the join's condition, so only links leave it.
-    x, y = sets.select(F.col("row").alias("x_row"), F.col("elements").alias("x")), sets.select(
-        F.col("row").alias("y_row"), F.col("elements").alias("y"))
+    # outside the pivot's component: compared with every member of another component but the pivot, done above
     outside = placed.where("own <> main").select(
-        F.col("bucket").alias("o_bucket"), F.col("row").alias("o_row"), F.col("n").alias("o_n"),
-        F.col("own").alias("o_own"))
-    open_buckets = stored(outside.select("o_bucket").distinct(), "near-open")
-    inside = placed.where("row <> pivot").join(open_buckets, F.col("bucket") == F.col("o_bucket"), "left_semi")
-    inside = stored(inside.join(x, F.col("row") == F.col("x_row")).drop("x_row", "pivot"), "near-inside")
-    outside = stored(outside.join(y, F.col("o_row") == F.col("y_row")).drop("y_row"), "near-outside")
-    both = F.size(F.array_intersect("x", "y"))
-    more = inside.join(
-        outside, (F.col("bucket") == F.col("o_bucket")) & (F.col("own") != F.col("o_own"))
-        & ((F.col("own") == F.col("main")) | (F.col("row") < F.col("o_row"))) & ratio(F.col("n"), F.col("o_n"))
-        & (both >= least * (F.col("n") + F.col("o_n") - both) - 1e-9))
-    more = more.select(F.least("row", "o_row").alias("a"), F.greatest("row", "o_row").alias("b"))
+        F.col("bucket").alias("o_bucket"), F.col("row").alias("a"), F.col("own").alias("a_own")).join(
+            size("a"), F.col("a") == F.col("a_row")).drop("a_row")
+    open_buckets = stored(outside.select(F.col("o_bucket").alias("open")).distinct(), "near-open")
+    other = placed.where("row <> pivot").join(open_buckets, F.col("bucket") == F.col("open"), "left_semi").select(
+        "bucket", F.col("row").alias("b"), F.col("own").alias("b_own"), (F.col("own") == F.col("main")).alias("inside")).join(
+            size("b"), F.col("b") == F.col("b_row")).drop("b_row")
+    met = other.join(outside, (F.col("bucket") == F.col("o_bucket")) & (F.col("a_own") != F.col("b_own"))
+                     & (F.col("inside") | (F.col("b") < F.col("a"))) & may)
+    pairs = stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    more = _verified(pairs, sets, least)
 
     final = components(links.unionByName(more)).withColumnRenamed("row", "l_row")
     of_node = stored(copies.join(final, F.col("node") == F.col("l_row"), "left").select(
