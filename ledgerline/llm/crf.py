@@ -193,7 +193,16 @@ def fit(texts: list[str], labels: np.ndarray, share: float) -> dict:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_docs: int = 1500, **columns: str) -> dict:
-    """The fitted model, from at most ``sample_docs`` documents of each label (0 and 1) in ``labels``."""
+    """The fitted model, from at most ``sample_docs`` documents of each label (0 and 1) in ``labels``.
+
+    Every second of them labels tokens, the others fit the calibration (all do
+    both below 100 of a label); at most ``CHAIN_DOCS`` / 2 of each label train
+    the chain, of which the ``WEIGHTS`` greatest feature weights above 0.001
+    are kept. Labels other than 0 and 1, and NULL ids, are no examples; of an
+    id labelled twice the smaller label counts; rows of ``docs`` that repeat an
+    id are examples each; NULL texts are empty. With one label only, or none,
+    the model is the constant share of label 1.
+    """
     usable = labels.where(F.col(label).isin(0, 1)).select("doc_id", label)
     counts = {r["y"]: r["n"] for r in usable.groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
@@ -212,7 +221,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_docs:
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, score, spans (array of character offsets) of every document; NULL text counts as empty."""
+    """``id_col``, score, spans (array of character offsets) of every document; NULL text counts as empty.
+
+    Forward-backward runs over the whole text, whatever its length; a text
+    without words has no spans and the score of no toxic token. Equal texts get
+    equal results; repeated rows stay; an empty table gives no rows; other
+    columns play no part.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most WEIGHTS feature weights
     ship(docs.sparkSession)
 

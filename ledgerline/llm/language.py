@@ -83,7 +83,11 @@ def learn(docs: DataFrame, train: Column, lang_col: str = "lang", id_col: str =
     """The model, from the documents where ``train`` holds and the language is not NULL.
 
     Sample bound: ``sample_per_language`` documents of each language build the
-    centroids; document frequencies cover every training document.
+    centroids; document frequencies cover every training document. Whole texts
+    count, whatever their length; an empty text adds no gram. Rows that repeat
+    an id count each in the frequencies and once in the sample, under the
+    smaller of its languages. No training document gives a model without
+    languages. A model of more than ``MODEL_BYTES`` (2,600 languages) is an error.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -131,7 +135,10 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
 
     ``und`` with score 0 where the text is NULL, has no letter, or nothing was
     learned; else the language of the nearest centroid and its cosine, and
-    whether that cosine is below the centroid's limit.
+    whether that cosine is below the centroid's limit. Of equally near
+    centroids the first in the order of languages counts. Whole texts are
+    read; repeated rows get equal results; an empty table gives no rows; other
+    columns play no part.
     """
     spark = docs.sparkSession
     ship(spark)

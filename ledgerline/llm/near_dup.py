@@ -1,8 +1,8 @@
 """Near duplicates by DartMinHash signatures and banded candidate search, verified exactly.
 
 A text is the set of its runs of five words (A-Z lower-cased), each a weighted
-element; the registered query uses weight 1, which makes the similarity the
-Jaccard similarity of the sets. Every unit of an element's weight throws a
+element; the registered query uses weight 1, as its similarity is that of the
+sets (their Jaccard similarity), not of how often a run occurs. Every unit of an element's weight throws a
 Poisson sequence of darts, all of them hashed from the element and the unit
 alone, so two texts throw the same darts at what they share. A dart has a rank
 and a coordinate; per coordinate the dart of least rank is the signature

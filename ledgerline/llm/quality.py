@@ -110,7 +110,14 @@ def fit(texts: list[str], labels: np.ndarray, share: float) -> dict:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_docs: int = 1500, **columns: str) -> dict:
-    """The fitted model, from at most ``sample_docs`` documents of each label (0 and 1) in ``labels``."""
+    """The fitted model, from at most ``sample_docs`` documents of each label (0 and 1) in ``labels``.
+
+    Labels other than 0 and 1, and NULL ids, are no examples; of an id labelled
+    twice the smaller label counts; rows of ``docs`` that repeat an id are
+    examples each. NULL texts are empty. Below 40 documents of a label the same
+    ones build the dictionary and the calibration. With one label only, or
+    none, the model is the constant share of label 1 (0.5 without labels).
+    """
     usable = labels.where(F.col(label).isin(0, 1)).select("doc_id", label)
     counts = {r["y"]: r["n"] for r in usable.groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values())) if counts else 0.5
@@ -138,7 +145,12 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_doc
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
           out: str = "score") -> DataFrame:
-    """``id_col``, score and size_difference of every document; NULL text counts as empty."""
+    """``id_col``, score and size_difference of every document; NULL text counts as empty.
+
+    Whole texts are compressed, block by block; an empty one has difference 0
+    and ratio 1. Equal texts get equal scores; repeated rows stay; an empty table
+    gives no rows; other columns play no part.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of DICTIONARY bytes at most
     ship(docs.sparkSession)
 
