@@ -74,7 +74,7 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, move: np.ndarray) -> np.n
     chains, table = Chains(lengths), np.exp(move)
     weight = np.ones((len(scores), 2))
     weight[:, 1] = np.exp(np.clip(scores, -25.0, 25.0))
-    emit = lambda at: weight[at]
+    emit = lambda at: weight.take(at, axis=0)
     _, rows = chains.forward(emit, np.ones(2), table, keep=True)
     out, pairs = chains.backward(emit, rows, table)
     return out[:, 1] if len(scores) else np.zeros(0), pairs

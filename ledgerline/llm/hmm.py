@@ -42,7 +42,7 @@ from ledgerline.llm.near_dup import mixed
 #: The end of a text as a token; no word holds a separator.
 END = "\n"
 #: Tokens per chunk, tokens and bytes of text worked on at a time.
-CHUNK_TOKENS, STEP_TOKENS, STEP_BYTES = 2_000_000, 250_000, 1_500_000
+CHUNK_TOKENS, STEP_TOKENS, STEP_BYTES = 2_000_000, 250_000, 6_000_000
 #: Buckets of the word table at least, a power of two; (chunk, word) pairs per bucket beyond.
 BUCKETS, BUCKET_PAIRS = 64, 250_000
 #: Buckets or chunks a task gets on average at most.
@@ -188,7 +188,7 @@ def expected_counts(symbols: np.ndarray, lengths: np.ndarray, model: tuple) -> t
     for part in _steps(lengths):
         here = symbols[ends[part.start] - lengths[part.start]:ends[part.stop - 1]]
         chains = Chains(lengths[part])
-        weights = lambda at, here=here: emit[here[at]]
+        weights = lambda at, here=here: emit.take(here.take(at), axis=0)
         _, rows = chains.forward(weights, first, move, keep=True)
         states, pairs = chains.backward(weights, rows, move)
         moves += pairs
@@ -354,9 +354,10 @@ def _score(chunks: DataFrame, n_chunks: int, known: DataFrame, first: np.ndarray
             logs = np.empty(len(lengths))
             for part in _steps(lengths):
                 here = tokens[ends[part.start] - lengths[part.start]:ends[part.stop - 1]]
-                logs[part] = Chains(lengths[part]).forward(lambda at, here=here: emit[here[at]], first, move)[0]
+                logs[part] = Chains(lengths[part]).forward(
+                    lambda at, here=here: emit.take(here.take(at), axis=0), first, move)[0]
             at = ends - lengths
-            sums = [np.add.reduceat(x[tokens], at) for x in (base, (counts > 0).astype(np.int64))]
+            sums = [np.add.reduceat(x.take(tokens), at) for x in (base, (counts > 0).astype(np.int64))]
             out.append(pd.DataFrame({
                 "doc_id": pd.array(list(row.ids), dtype="Int64"), "held_out": np.asarray(row.held, bool),
                 "n_tokens": lengths, "n_known": sums[1], "train_tokens": n, "base_score": sums[0],
