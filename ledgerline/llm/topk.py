@@ -8,9 +8,11 @@ above 1 the bucket is skipped; otherwise the task counts what length pruning
 (the prefix of vectors long enough to reach the bound) and coordinate pruning
 (vectors whose value at one of the query's largest coordinates is possible at
 that cosine) would leave, takes the smaller set, and verifies its products.
-Queries and candidates meet block by block; a pair of blocks is one row. A task
-goes through its buckets from the longest vectors down and keeps the k best of
-each query it has seen, whose least score is the query's bound for the next.
+Neighbouring buckets form a part, query blocks a group; a part meets a group
+only if its longest vector can reach the group's least bound. Such a pair is
+one cogroup, so a pair's buckets and queries travel once and no key grows with
+the table. It goes through its buckets from the longest vectors down and keeps
+the k best of each query, whose least score is the query's bound for the next.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from ledgerline.llm.common import ship, stored
 
 #: Rows per bucket and per query block; coordinates tried per query.
 BUCKET_ROWS, QUERY_ROWS, FOCUS = 4096, 512, 3
-#: Queries whose best candidates a task holds at once.
-HELD_QUERIES = 100_000
+#: Buckets of a part, query blocks of a group: what a cogroup holds at once (24 MB at 64 dimensions).
+PART_BUCKETS, GROUP_BLOCKS = 8, 16
+#: Numbers that the parts of one dimension are dealt over when they are paired with groups.
+SPREAD = 16
 #: Share of a bucket from which a product of whole blocks is cheaper than picked rows.
 DENSE = 0.2
 _EXACT = 2.0 ** 53
@@ -54,7 +58,7 @@ def _ids(rows: np.ndarray, ids: np.ndarray) -> bytes:
 
 
 def _buckets(vectors: DataFrame) -> DataFrame:
-    """bucket, dim, longest, n, ids (two int64 a row: row, vec_id), matrix (int64): rows in falling order of length, stored."""
+    """bucket, part, dim, longest, n, ids (two int64 a row: row, vec_id), matrix (int64): rows in falling order of length, stored."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -66,29 +70,31 @@ def _buckets(vectors: DataFrame) -> DataFrame:
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name * 1_000_000 + number]), pa.array([int(dims[a])], pa.int32()),
+                    [pa.array([name * 1_000_000 + number]), pa.array([name * 1_000_000 + number // PART_BUCKETS]),
+                     pa.array([int(dims[a])], pa.int32()),
                      pa.array([part.column("norm")[0].as_py()]), pa.array([b - a]),
                      pa.array([_ids(part.column("row").to_numpy(), part.column("vec_id").to_numpy())], pa.binary()),
                      pa.array([part.column("v").flatten().to_numpy().astype("<i8").tobytes()], pa.binary())],
-                    names=["bucket", "dim", "longest", "n", "ids", "matrix"])
+                    names=["bucket", "part", "dim", "longest", "n", "ids", "matrix"])
                 number += 1
 
-    parts = max(1, -(-vectors.count() // (8 * BUCKET_ROWS)))
-    ranged = vectors.repartitionByRange(parts, "dim", F.desc("norm"), "vec_id").sortWithinPartitions(
-        "dim", F.desc("norm"), "vec_id").select("row", "vec_id", "v", "norm", "dim")
-    return stored(ranged.mapInArrow(run, "bucket bigint, dim int, longest double, n bigint, ids binary, matrix binary"),
-                  "topk-buckets")
+    parts = max(1, -(-vectors.count() // (PART_BUCKETS * BUCKET_ROWS)))
+    order = ["dim", F.desc("norm"), "vec_id", "row"]
+    ranged = vectors.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("row", "vec_id", "v", "norm", "dim")
+    return stored(ranged.mapInArrow(run, "bucket bigint, part bigint, dim int, longest double, n bigint, ids binary, "
+                                   "matrix binary"), "topk-buckets")
 
 
 def _query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
-    """block, q_dim, q_longest, least bound, q_ids, q_bounds, q_matrix of queries (row, vec_id, v, norm, dim, bound), stored."""
+    """q_group, q_dim, q_reach, q_ids, q_bounds, q_matrix of queries (row, vec_id, v, norm, dim, bound), stored; no vector
+    shorter than ``q_reach`` reaches a bound."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for at in range(0, len(rows), 2 * QUERY_ROWS):
             part = rows.iloc[at:at + 2 * QUERY_ROWS]
             bound = part["bound"].to_numpy(float)
             out.append({
-                "q_dim": key[1], "q_longest": float(part["norm"].max()),
+                "q_group": key[0] // GROUP_BLOCKS, "q_dim": key[1],
                 "q_reach": float((bound / np.maximum(part["norm"].to_numpy(), 1e-300)).min()),
                 "q_ids": _ids(part["row"].to_numpy(), part["vec_id"].to_numpy()), "q_bounds": bound.astype("<f8").tobytes(),
                 "q_matrix": np.stack(part["v"].to_list()).astype("<i8").tobytes()})
@@ -96,7 +102,7 @@ def _query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
 
     block = F.pmod(F.xxhash64("vec_id", "row"), F.lit(blocks)).alias("block")
     found = queries.select("row", "vec_id", "v", "norm", "dim", "bound", block).groupBy("block", "dim").applyInPandas(
-        run, "q_dim int, q_longest double, q_reach double, q_ids binary, q_bounds binary, q_matrix binary")
+        run, "q_group bigint, q_dim int, q_reach double, q_ids binary, q_bounds binary, q_matrix binary")
     return stored(found, "topk-queries")
 
 
@@ -203,40 +209,47 @@ class Held:
             ids, scores = ids[order], scores[order]
         self.best[row] = query_id, ids, scores
 
-    def rows(self) -> pa.RecordBatch:
-        found = list(self.best.items())
-        sizes = [len(x[1]) for _, x in found]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat([row for row, _ in found], sizes)), pa.array(np.repeat([x[0] for _, x in found], sizes)),
-             pa.array(np.concatenate([x[1] for _, x in found])), pa.array(np.concatenate([x[2] for _, x in found]))],
-            names=["query_row", "query_id", "vec_id", "score"])
-
-
-def _search_pairs(pairs: DataFrame, k: int) -> DataFrame:
-    """query_row, query_id, vec_id, score of block pairs (both sides' columns), stored: at most k rows of a query and task,
-    or of a query and ``HELD_QUERIES`` queries a task has met."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, bucket, held = None, None, Held(k)
-        for batch in batches:
-            for row in range(batch.num_rows):
-                get = lambda name, batch=batch, row=row: batch.column(name)[row].as_py()
-                if get("bucket") != last:
-                    last, bucket = get("bucket"), Bucket(get("ids"), get("matrix"), get("dim"))
-                rows, ids = np.frombuffer(get("q_ids"), "<i8").reshape(-1, 2).T
-                queries = np.frombuffer(get("q_matrix"), "<i8").reshape(len(ids), -1)
-                bounds = [held.bound(r, b) for r, b in zip(rows.tolist(), np.frombuffer(get("q_bounds"), "<f8").tolist(),
-                                                           strict=True)]
-                names = dict(zip(rows.tolist(), ids.tolist(), strict=True))
-                for q, found, scores in search(bucket, rows, queries, np.array(bounds), k):
+    def rows(self) -> pd.DataFrame:
+        sizes = [len(ids) for _, ids, _ in self.best.values()]
+        names = np.array([(row, query_id) for row, (query_id, _, _) in self.best.items()], np.int64).reshape(-1, 2)
+        join = lambda i: np.concatenate([x[i] for x in self.best.values()] or [np.zeros(0, np.int64)])
+        return pd.DataFrame({"query_row": np.repeat(names[:, 0], sizes), "query_id": np.repeat(names[:, 1], sizes),
+                             "vec_id": join(1), "score": join(2)})
+
+
+def _search_pairs(buckets: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """query_row, query_id, vec_id, score, stored: of each part and group that may hold results, at most k rows a query."""
+    def run(key: tuple, parts: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
+        held, queries = Held(k), []
+        for g in groups.itertuples(index=False):
+            rows, ids = np.frombuffer(g.q_ids, "<i8").reshape(-1, 2).T
+            queries.append((rows, dict(zip(rows.tolist(), ids.tolist(), strict=True)), g.q_reach,
+                            np.frombuffer(g.q_bounds, "<f8"), np.frombuffer(g.q_matrix, "<i8").reshape(len(ids), -1)))
+        for p in parts.sort_values(["longest", "bucket"], ascending=[False, True]).itertuples(index=False):
+            bucket = None
+            for rows, names, reach, least, matrix in queries:
+                if p.longest * (1 + 1e-9) < reach:
+                    continue
+                bucket = bucket or Bucket(p.ids, p.matrix, p.dim)
+                bounds = np.array([held.bound(r, b) for r, b in zip(rows.tolist(), least.tolist(), strict=True)])
+                for q, found, scores in search(bucket, rows, matrix, bounds, k):
                     if len(found):
                         held.add(int(q), names[int(q)], found, scores)
-                if len(held.best) >= HELD_QUERIES:
-                    yield held.rows()
-                    held = Held(k)
-        if held.best:
-            yield held.rows()
-
-    return stored(pairs.sortWithinPartitions(F.desc("longest"), "bucket").mapInArrow(
+        return held.rows()
+
+    spread = F.pmod(F.xxhash64("part"), F.lit(SPREAD))
+    parts = buckets.groupBy("part", "dim").agg(F.max("longest").alias("longest")).withColumn("spread", spread)
+    groups = blocks.groupBy("q_group", "q_dim").agg(F.min("q_reach").alias("q_reach")).withColumn(
+        "q_spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    pairs = stored(parts.join(groups, (F.col("dim") == F.col("q_dim")) & (F.col("spread") == F.col("q_spread")) &
+                              (F.col("longest") * (1 + 1e-9) >= F.col("q_reach"))).select(
+        F.col("part").alias("a"), F.col("dim").alias("d"), F.col("q_group").alias("g")), "topk-pairs")
+    left = buckets.join(pairs, (F.col("part") == F.col("a")) & (F.col("dim") == F.col("d"))).select(
+        "a", "d", "g", "bucket", "dim", "longest", "ids", "matrix")
+    right = blocks.join(pairs, (F.col("q_group") == F.col("g")) & (F.col("q_dim") == F.col("d"))).select(
+        F.col("a").alias("q_a"), F.col("d").alias("q_d"), F.col("g").alias("q_g"), "q_reach", "q_ids", "q_bounds",
+        "q_matrix")
+    return stored(left.groupBy("a", "d", "g").cogroup(right.groupBy("q_a", "q_d", "q_g")).applyInPandas(
         run, "query_row bigint, query_id bigint, vec_id bigint, score bigint"), "topk-found")
 
 
@@ -263,15 +276,14 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_co
                    .where("at = 1").select(F.col("bucket").alias("first")), "topk-first")
     start = _query_blocks(queries.withColumn("bound", F.lit(float("-inf"))), blocks)
     head = buckets.join(first, F.col("bucket") == F.col("first"), "left_semi")
-    seeds = _search_pairs(head.join(start, F.col("dim") == F.col("q_dim")), k)
+    seeds = _search_pairs(head, start, k)
 
     bounds = seeds.groupBy("query_row").agg(F.count("*").alias("found"), F.min("score").alias("least"))
     bounded = queries.join(bounds, F.col("row") == F.col("query_row"), "left").withColumn(
         "bound", F.when(F.col("found") >= k, F.col("least").cast("double")).otherwise(F.lit(float("-inf"))))
     later = _query_blocks(bounded, blocks)
     other = buckets.join(first, F.col("bucket") == F.col("first"), "left_anti")
-    pairs = other.join(later, (F.col("dim") == F.col("q_dim")) & (F.col("longest") * (1 + 1e-9) >= F.col("q_reach")))
-    found = seeds.unionByName(_search_pairs(pairs, k))
+    found = seeds.unionByName(_search_pairs(other, later, k))
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
