@@ -111,6 +111,10 @@ class Warehouse:
         """Replace the periods (from_date, to_date) that ``df`` has rows of."""
         sinks.refresh_partitions(df, self.path("dm", name), ["from_date", "to_date"])
 
+    def add_to_periods(self, df: DataFrame, name: str) -> None:
+        """Add rows to the periods (from_date, to_date) of a table."""
+        sinks.append(df, self.path("dm", name), ["from_date", "to_date"])
+
     def read_days(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path("dm", name))
 
@@ -153,6 +157,14 @@ class VersionedWarehouse(Warehouse):
     def replace_periods(self, df: DataFrame, name: str) -> None:
         self.release.write_parts(df, f"dm/{name}", ["from_date", "to_date"], lambda part: False)
 
+    def add_to_periods(self, df: DataFrame, name: str) -> None:
+        # a period's folder belongs to one run: the rows it has are written again with the new ones
+        keys, table = ["from_date", "to_date"], f"dm/{name}"
+        if self.release.has(table):
+            old = self.release.read(table, df.schema).select(*df.columns)
+            df = df.unionByName(old.join(df.select(*keys).distinct(), keys, "left_semi"))
+        self.release.write_parts(df, table, keys, lambda part: False)
+
     def read_days(self, name: str, schema: str) -> DataFrame:
         return self.release.read(f"dm/{name}", schema)
 
@@ -163,6 +175,10 @@ class VersionedWarehouse(Warehouse):
         self.release.publish()
 
 
+def open_warehouse(spark: SparkSession, root: str, versioned: bool = False) -> Warehouse:
+    return VersionedWarehouse(spark, root) if versioned else Warehouse(spark, root)
+
+
 def ingest(wh: Warehouse, landing_dir: str) -> list[str]:
     """CSV landing folder -> ds tables. Returns the unknown files."""
     result = ingest_folder(wh.spark, landing_dir)
@@ -282,7 +298,7 @@ def run_fill_procedure(spark: SparkSession, landing_dir: str, warehouse: str,
     With ``versioned`` the run's tables are published together at its end: a
     run that breaks off, or is refused because another one was published
     meanwhile, leaves the last version as it was."""
-    wh = VersionedWarehouse(spark, warehouse) if versioned else Warehouse(spark, warehouse)
+    wh = open_warehouse(spark, warehouse, versioned)
     j = wh.journal()
     with j.step(ETL_START, ETL_END) as run_id:
         ingest(wh, landing_dir)
@@ -297,6 +313,21 @@ def run_fill_procedure(spark: SparkSession, landing_dir: str, warehouse: str,
     return run_id
 
 
+def run_restatement(spark: SparkSession, landing_dir: str, warehouse: str, period: Period, since: dt.date,
+                    versioned: bool = False) -> str:
+    """D1 after a late delivery: ingest, then the marts of the filled period
+    restated from ``since`` on, journalled. Returns the log id."""
+    if not period.start <= since <= period.end:
+        raise ValueError(f"{since} is not in the period")
+    wh = open_warehouse(spark, warehouse, versioned)
+    with wh.journal().step(ETL_START, ETL_END) as run_id:
+        ingest(wh, landing_dir)
+        restate(wh, period, since)
+        report_unmatched(wh, period)
+        wh.publish()
+    return run_id
+
+
 def load_to_database(spark: SparkSession, landing_dir: str, url: str, properties: dict,
                      schema: str = "ds", drop_identical_rows: bool | None = None) -> dict[str, str]:
     """Landing CSVs -> database tables, each fully refreshed. Whole-row
@@ -340,9 +371,9 @@ def read_report_csv(spark: SparkSession, path: str) -> DataFrame:
     return conform_report_csv(spark, path).table
 
 
-def load_report(spark: SparkSession, csv_path: str, warehouse: str,
+def load_report(spark: SparkSession, csv_path: str, warehouse: str | Warehouse,
                 journal: RunJournal | None = None, mode: str = "replace_period") -> None:
-    """Edited report CSV -> dm.f101_round_f_v2.
+    """Edited report CSV -> dm.f101_round_f_v2 of a warehouse (or its root).
 
     ``replace_period`` (default): each (from_date, to_date) period in the
     file replaces the same period in the table, so a daily re-run does not
@@ -351,16 +382,17 @@ def load_report(spark: SparkSession, csv_path: str, warehouse: str,
     and text, to rejects/f101_round_f_v2, replaced by every load."""
     if mode not in ("replace_period", "append"):
         raise ValueError(f"unknown mode {mode!r}")
+    wh = Warehouse(spark, warehouse) if isinstance(warehouse, str) else warehouse
 
     def work():
         found = conform_report_csv(spark, csv_path)
-        sinks.full_refresh(found.rejects, sinks.table_path(warehouse, "rejects", REPORT_V2))
+        wh.refresh(found.rejects, "rejects", REPORT_V2)
         df = found.table.select(*REPORT.columns)
-        path, keys = sinks.table_path(warehouse, "dm", REPORT_V2), list(REPORT_KEYS[:2])
         if mode == "append":
-            sinks.append(df, path, keys)
+            wh.add_to_periods(df, REPORT_V2)
         else:
-            sinks.refresh_partitions(df, path, keys)
+            wh.replace_periods(df, REPORT_V2)
+        wh.publish()
     if journal is None:
         work()
     else:

@@ -11,10 +11,14 @@ publish the next one; if another run has published meanwhile, it is refused
 and nothing it wrote counts. The move never replaces a file: on HDFS and
 object stores that rename without overwriting it is atomic, so one of two runs
 at the same moment fails.
+
+Versions are kept until ``expire`` removes old ones, with the folders no kept
+version names.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections.abc import Callable
@@ -25,6 +29,10 @@ from pyspark.sql import types as T
 
 from ledgerline.sources.sinks import _fs
 
+RUNS = "_runs"
+#: A folder that no version names may belong to a run that is not done; after this long it counts as broken off.
+LONGEST_RUN = dt.timedelta(days=2)
+
 
 class PublishRefused(RuntimeError):
     """Another run published a version since this one began."""
@@ -80,6 +88,33 @@ class Releases:
                 raise PublishRefused(f"version {number} was published by another run") from e
             raise
 
+    def expire(self, keep: int = 3, longest_run: dt.timedelta = LONGEST_RUN) -> tuple[list[int], list[str]]:
+        """Remove all but the last ``keep`` versions and the folders none of them names: (versions, folders) removed.
+
+        A folder goes only if nothing was written to it for ``longest_run``, so
+        runs that are not yet published keep theirs, and those of runs that
+        broke off go in time. Manifests go first: broken off anywhere, no
+        version is left whose folders are gone, and the next call removes the
+        rest. Readers of a removed version fail; the last version always stays.
+        """
+        if keep < 1:
+            raise ValueError("the last version stays")
+        numbers = self.numbers()
+        old, kept = numbers[:-keep], numbers[-keep:]
+        named = {run for n in kept for parts in self.manifest(n).values() for run in parts.values()}
+        fs, make = _fs(self.spark, self.root)
+        for number in old:
+            fs.delete(make(self._name(number)), False)
+        removed, limit = [], (dt.datetime.now(dt.UTC) - longest_run).timestamp() * 1000
+        for folder in fs.globStatus(make(f"{self.root}/{RUNS}/*")) or []:
+            name = f"{RUNS}/{folder.getPath().getName()}"
+            # a run's second level (layer/table) is written anew with every table
+            times = [st.getModificationTime() for st in fs.globStatus(make(f"{self.root}/{name}/*/*")) or []]
+            if name not in named and max([folder.getModificationTime(), *times]) <= limit:
+                fs.delete(folder.getPath(), True)
+                removed.append(name)
+        return old, sorted(removed)
+
 
 class Release:
     """The tables as one run sees them: the version it began with, and over it what it has written itself."""
@@ -87,7 +122,7 @@ class Release:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.releases = spark, Releases(spark, root)
         self.number, self.tables = self.releases.last()
-        self.run = f"_runs/{uuid.uuid4().hex}"
+        self.run = f"{RUNS}/{uuid.uuid4().hex}"
 
     def _folder(self, run: str, name: str) -> str:
         return f"{self.releases.root}/{run}/{name}"
