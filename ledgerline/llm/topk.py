@@ -33,6 +33,8 @@ BUCKET_ROWS, QUERY_ROWS, FOCUS = 4096, 512, 3
 PART_BUCKETS, GROUP_BLOCKS = 8, 16
 #: Numbers that the parts of one dimension are dealt over when they are paired with groups.
 SPREAD = 16
+#: Buckets are numbered by range of lengths and within it.
+RANGE = 1_000_000
 #: Share of a bucket from which a product of whole blocks is cheaper than picked rows.
 DENSE = 0.2
 _EXACT = 2.0 ** 53
@@ -70,19 +72,22 @@ def _buckets(vectors: DataFrame) -> DataFrame:
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name * 1_000_000 + number]), pa.array([name * 1_000_000 + number // PART_BUCKETS]),
-                     pa.array([int(dims[a])], pa.int32()),
+                    [pa.array([name * RANGE + number]), pa.array([int(dims[a])], pa.int32()),
                      pa.array([part.column("norm")[0].as_py()]), pa.array([b - a]),
                      pa.array([_ids(part.column("row").to_numpy(), part.column("vec_id").to_numpy())], pa.binary()),
                      pa.array([part.column("v").flatten().to_numpy().astype("<i8").tobytes()], pa.binary())],
-                    names=["bucket", "part", "dim", "longest", "n", "ids", "matrix"])
+                    names=["bucket", "dim", "longest", "n", "ids", "matrix"])
                 number += 1
 
     parts = max(1, -(-vectors.count() // (PART_BUCKETS * BUCKET_ROWS)))
     order = ["dim", F.desc("norm"), "vec_id", "row"]
     ranged = vectors.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("row", "vec_id", "v", "norm", "dim")
-    return stored(ranged.mapInArrow(run, "bucket bigint, part bigint, dim int, longest double, n bigint, ids binary, "
-                                   "matrix binary"), "topk-buckets")
+    found = stored(ranged.mapInArrow(run, "bucket bigint, dim int, longest double, n bigint, ids binary, matrix binary"),
+                   "topk-buckets")
+    # neighbouring ranges make up a part where a session has cut more of them than asked for
+    ranges = (found.agg(F.max("bucket")).first()[0] or 0) // RANGE + 1
+    at, number = F.expr(f"bucket div {RANGE}"), F.col("bucket") % RANGE
+    return found.withColumn("part", F.floor(at * min(parts, ranges) / ranges) * RANGE + F.floor(number / PART_BUCKETS))
 
 
 def _query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
