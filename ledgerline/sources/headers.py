@@ -22,13 +22,17 @@ from ledgerline.sources.specs import RAW_LINE, TableSpec
 def header_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """file, header: the first line of every file that has one.
 
-    A text scan whose tasks keep one line per file; only a file's first split
-    can hold it, and inside a task lines come in order.
+    Only a file's first split can hold it, and inside a task lines come in
+    order. One text scan finds the least line number of every file, a second
+    one fetches these lines: a task holds a number per file, never the lines
+    (``min_by`` of a string would sort them). Both scans cut the files into
+    the same splits, so a line has the same number in both.
     """
     lines = spark.read.text(paths).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at"))
-    return lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+        F.monotonically_increasing_id().alias("at")).where("start = 0")
+    first = lines.groupBy("file").agg(F.min("at").alias("at")).select("at")
+    return lines.join(F.broadcast(first), "at", "left_semi").select("file", F.col("value").alias("header"))
 
 
 def names_of(header: str, sep: str) -> tuple[str, ...]:

@@ -128,3 +128,18 @@ def test_no_file_gives_no_rows(spark, tmp_path):
     (tmp_path / "landing").mkdir()
     (tmp_path / "landing" / "ft_posting_f.csv").write_text("")
     assert headers.read_aligned(spark, str(tmp_path / "landing"), POSTING).collect() == []
+
+
+def test_header_scan_does_not_sort_lines(spark, tmp_path):
+    folder = tmp_path / "landing"
+    _file(folder, "ft_posting_f.1.csv", *[_line(1, n) for n in range(3000)])
+    _file(folder, "ft_posting_f.2.csv", "1;2", header="debet_account_rk;credit_account_rk")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        found = headers.header_lines(spark, str(folder))
+        got = {r.file.rsplit("/", 1)[1]: r.header for r in found.collect()}
+        assert got == {"ft_posting_f.1.csv": HEADER, "ft_posting_f.2.csv": "debet_account_rk;credit_account_rk"}
+        assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
