@@ -9,6 +9,7 @@ and return the lazy read-back.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -26,6 +27,7 @@ from ledgerline.operators import runlog
 from ledgerline.operators import turnover as tov
 from ledgerline.operators import versions as ver
 from ledgerline.operators.fx import with_rate_on
+from ledgerline.operators.sizing import estimated_bytes
 from ledgerline.session import shared_dir
 from ledgerline.sources import csv as csvio
 from ledgerline.plans import pipelines as pl
@@ -475,17 +477,33 @@ def q_posting_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _money_out(back.select(*POSTING.columns), ["credit_amount", "debet_amount"])
 
 
+#: Bytes of ``lineitem`` a delivered file of postings stands for, once a delivery has more than four.
+FILE_BYTES = 32 << 20
+
+
+def _delivered_files(m: Model) -> int:
+    """Files of a delivery, an even number: four, and more as the postings grow, so that no task writes a quarter of them.
+
+    From the size of the table's files, so it costs no job."""
+    return max(4, 2 * math.ceil(estimated_bytes(m.db.table("lineitem")) / FILE_BYTES / 2))
+
+
+def _dealt(part: DataFrame, files: int) -> DataFrame:
+    """Postings in the source layout, dealt to the files by their content: a delivery made again has the same files,
+    in any order of rows, and no key has a file of its own."""
+    return csvio.to_source_layout(part, POSTING).repartition(files, *POSTING.columns)
+
+
 def q_landing_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings delivered in two loads, the second of which brings all files of the first again, under another name."""
     m = Model(spark, sf_dir)
     root = shared_dir(spark, "redelivered")
     landing, warehouse = f"{root}/landing", f"{root}/warehouse"
     first = F.col("debet_account_rk") % 2 == 0
+    files = _delivered_files(m)
 
     def deliver(part: DataFrame, name: str) -> None:
-        # dealt by key, so a second delivery has the same files, in any order of rows
-        dealt = csvio.to_source_layout(part, POSTING).repartition(4, "credit_account_rk")
-        csvio.write_delimited(dealt, f"{landing}/{POSTING.name}.{name}.csv", sep=POSTING.sep)
+        csvio.write_delimited(_dealt(part, files), f"{landing}/{POSTING.name}.{name}.csv", sep=POSTING.sep)
 
     deliver(m.postings().where(first), "1")
     reg.ingest_new(spark, landing, warehouse, "monday")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import render_date
@@ -23,8 +25,8 @@ def every_field_checked(df: DataFrame, spec: TableSpec) -> DataFrame:
     for those, so a count could accept a line that a full read rejects. The
     condition always holds; it keeps the typed columns in the scan.
     """
-    typed = [f.name for f in spec.schema.fields if f.dataType.typeName() != "string"]
-    return df.withColumn(RAW_LINE, F.when(F.xxhash64(*typed) % 2 < 2, F.col(RAW_LINE))) if typed else df
+    typed = [F.col(f.name).isNull().cast("int") for f in spec.schema.fields if f.dataType.typeName() != "string"]
+    return df.withColumn(RAW_LINE, F.when(reduce(Column.__add__, typed) >= 0, F.col(RAW_LINE))) if typed else df
 
 
 def read_typed(spark: SparkSession, path: str | list[str], spec: TableSpec) -> DataFrame:

@@ -10,6 +10,8 @@ Batch and stream share it.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +29,17 @@ _ENTRY = "table_name string, file string, digest string, n_rows bigint"
 def file_digests(rows: DataFrame, columns: list[str]) -> DataFrame:
     """file, digest, n_rows of every ``FILE`` among rows as read (``columns`` and ``RAW_LINE``)."""
     content = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in (*columns, RAW_LINE)]
-    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), *content).cast("decimal(38,0)"))
-    found = rows.groupBy(F.col(FILE).alias("file")).agg(
-        F.count("*").alias("n_rows"), total(1).alias("a"), total(2).alias("b"))
+    hashed = rows.select(F.col(FILE).alias("file"), F.spark_partition_id().alias("_task"),
+                         *[F.xxhash64(F.lit(seed), *content).alias(name) for seed, name in ((1, "a"), (2, "b"))])
+    # exact sums in 64 bits: the halves of each hash apart, per file and task of the scan; decimals only across tasks
+    halves = {f"{name}_high": F.shiftright(name, 32) for name in "ab"} | {
+        f"{name}_low": F.col(name).bitwiseAND(0xFFFFFFFF) for name in "ab"}
+    tasks = hashed.groupBy("file", "_task").agg(
+        F.count("*").alias("n_rows"), *[F.sum(half).alias(name) for name, half in halves.items()])
+    wide = lambda name: F.col(name).cast("decimal(20,0)")
+    total = lambda name: F.sum((wide(f"{name}_high") * F.lit(1 << 32).cast("decimal(10,0)") + wide(f"{name}_low"))
+                               .cast("decimal(38,0)"))
+    found = tasks.groupBy("file").agg(F.sum("n_rows").alias("n_rows"), total("a").alias("a"), total("b").alias("b"))
     return found.select("file", F.concat_ws("-", *[F.col(c).cast("string") for c in ("n_rows", "a", "b")]).alias("digest"),
                         "n_rows")
 
@@ -85,9 +95,13 @@ def take_new(rows: DataFrame, spec: TableSpec, warehouse: str, load: str) -> Dat
     _write(found, listed, key)
     files = spark.read.parquet(f"{listed}/{LOAD}={key}")
     fresh = stage(raw.join(files.select(F.col("file").alias("_new")), F.col(FILE) == F.col("_new"), "left_semi"), spec)
-    _write(accept(fresh, spec), table_path(warehouse, spec.layer, spec.name), load)
-    _write(reject(fresh).select(*spec.columns, RAW_LINE, FILE, REJECT_REASON),
-           table_path(warehouse, "rejects", spec.name), load)
+    # independent jobs, submitted together: one fills the cores the other's last tasks leave
+    writes = [(accept(fresh, spec), table_path(warehouse, spec.layer, spec.name), load),
+              (reject(fresh).select(*spec.columns, RAW_LINE, FILE, REJECT_REASON),
+               table_path(warehouse, "rejects", spec.name), load)]
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for f in [pool.submit(_write, *w) for w in writes]:
+            f.result()
     register.record(files, spec.name, load)
     fs, make = _fs(spark, staging)
     fs.delete(make(f"{staging}/{LOAD}={key}"), True)
