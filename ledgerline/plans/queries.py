@@ -533,11 +533,12 @@ def q_turnover_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Model(spark, sf_dir)
     root = shared_dir(spark, "turnover-stream")
     landing, mart = f"{root}/landing/{POSTING.name}", f"{root}/dm/account_turnover_f"
-    source = csvio.to_source_layout(m.postings(), POSTING)
+    files = _delivered_files(m)
     for n in range(2):
-        part = source.where(F.col("debet_account_rk") % 2 == n).repartition(4)
-        csvio.write_delimited(part, landing, sep=POSTING.sep, mode="append")
-        st.stream_turnover(spark, landing, mart, f"{root}/_checkpoint", max_files_per_trigger=2).awaitTermination()
+        part = m.postings().where(F.col("debet_account_rk") % 2 == n)
+        csvio.write_delimited(_dealt(part, files), landing, sep=POSTING.sep, mode="append")
+        # half of the delivery in a micro-batch
+        st.stream_turnover(spark, landing, mart, f"{root}/_checkpoint", max_files_per_trigger=files // 2).awaitTermination()
         if n == 0:
             st.compact(spark, mart, max(b for _, b, _ in st.folders(spark, mart)), m.period.start)
     return _money_out(st.read_turnover(spark, mart), ["credit_amount", "debet_amount"])

@@ -75,10 +75,20 @@ def _read(spark: SparkSession, mart: str, some: list[tuple[dt.date, int, int]])
     return spark.read.schema(_SCHEMA).option("basePath", mart).parquet(*[_path(mart, *x) for x in some])
 
 
+def _summed(sums: DataFrame) -> DataFrame:
+    """Sums of several folders, added up.
+
+    Brought together by key first: each folder has a (day, account) once, so
+    sums inside the tasks before the shuffle would merge next to nothing, and
+    no key has more rows than its month has folders.
+    """
+    return sums.repartition("on_date", "account_rk").groupBy("on_date", "account_rk").agg(
+        F.sum("credit_amount").alias("credit_amount"), F.sum("debet_amount").alias("debet_amount"))
+
+
 def read_turnover(spark: SparkSession, mart: str) -> DataFrame:
     """on_date, account_rk, credit_amount, debet_amount: the turnover of all postings taken so far."""
-    return _read(spark, mart, live_folders(folders(spark, mart))).groupBy("on_date", "account_rk").agg(
-        F.sum("credit_amount").alias("credit_amount"), F.sum("debet_amount").alias("debet_amount"))
+    return _summed(_read(spark, mart, live_folders(folders(spark, mart))))
 
 
 def compact(spark: SparkSession, mart: str, upto: int, before: dt.date) -> None:
@@ -92,8 +102,7 @@ def compact(spark: SparkSession, mart: str, upto: int, before: dt.date) -> None:
     live = [x for x in live_folders(folders(spark, mart)) if quiet(x[0]) and x[1] <= upto]
     several = {m for m, n in Counter(m for m, _, _ in live).items() if n > 1}  # one folder is folded as it is
     taken = [x for x in live if x[0] in several]
-    _write(_read(spark, mart, taken).groupBy("on_date", "account_rk").agg(
-        F.sum("credit_amount").alias("credit_amount"), F.sum("debet_amount").alias("debet_amount")), mart, upto, upto)
+    _write(_summed(_read(spark, mart, taken)), mart, upto, upto)
     found = folders(spark, mart)
     counting = set(live_folders(found))
     fs, make = _fs(spark, mart)

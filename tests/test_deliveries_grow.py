@@ -1,0 +1,70 @@
+"""Deliveries have more files as the postings grow; loads and the stream take the whole of them."""
+
+import pytest
+from conftest import SF_SMALL
+from helpers import POSTINGS, D, M, frame
+from pyspark.sql import functions as F
+
+from ledgerline.plans import queries as q
+from ledgerline.sources import register as reg
+from ledgerline.sources.files import list_folder
+from ledgerline.sources.specs import RAW_LINE
+from ledgerline.streaming import turnover as st
+
+
+@pytest.fixture
+def grown(monkeypatch, tmp_path):
+    """Query folders under tmp_path; a delivery of the smallest tables has ten files instead of four."""
+    monkeypatch.setattr(q, "_delivered_files", lambda m: 10)
+    monkeypatch.setattr(q, "shared_dir", lambda spark, purpose: str(tmp_path / purpose))
+    return tmp_path
+
+
+def test_files_follow_the_size(spark, monkeypatch):
+    model = q.Model(spark, SF_SMALL)
+    assert q._delivered_files(model) == 4
+    size = q.estimated_bytes(model.db.table("lineitem"))
+    monkeypatch.setattr(q, "FILE_BYTES", size // 9)
+    assert q._delivered_files(model) == 10
+
+
+def test_redelivery_in_more_files(spark, grown):
+    got = q.q_landing_redelivered(spark, SF_SMALL)
+    expected = q._money_out(q.Model(spark, SF_SMALL).postings(), ["credit_amount", "debet_amount"])
+    assert got.exceptAll(expected).isEmpty() and got.count() == expected.count()
+    landing = str(grown / "redelivered" / "landing")
+    for name in list_folder(spark, landing):
+        assert sum(n.endswith(".csv") for n in list_folder(spark, f"{landing}/{name}")) == 10
+    assert spark.read.parquet(str(grown / "redelivered/warehouse/register/deliveries")).count() == 20
+
+
+def test_stream_of_more_files(spark, grown):
+    got = q.q_turnover_stream(spark, SF_SMALL).count()
+    postings = q.Model(spark, SF_SMALL).postings()
+    assert got == postings.select("oper_date", F.explode(F.array("credit_account_rk", "debet_account_rk"))).distinct().count()
+    assert sum(n.endswith(".csv") for n in list_folder(spark, str(grown / "turnover-stream/landing/ft_posting_f"))) == 20
+    assert {b for _, b, _ in st.folders(spark, str(grown / "turnover-stream/dm/account_turnover_f"))} <= {0, 1, 2, 3}
+
+
+def test_digest_is_the_sum_of_whole_hashes(spark):
+    rows = spark.range(0, 3000, 1, 7).selectExpr("cast(id % 90 as string) a", "if(id % 5 = 0, null, id) b", "cast(null as string) _raw",
+                                                 "concat('f', id % 3) _f").toDF("a", "b", RAW_LINE, reg.FILE)
+    content = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in ("a", "b", RAW_LINE)]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *content).cast("decimal(38,0)")) for seed in (1, 2)]
+    expected = {(r[0], f"{r[1]}-{r[2]}-{r[3]}", r[1]) for r in rows.groupBy(reg.FILE).agg(F.count("*"), *sums).collect()}
+    found = reg.file_digests(rows, ["a", "b"])
+    assert {tuple(r) for r in found.collect()} == expected
+    # the first sums are of the halves, not of wide decimals row by row
+    assert "shiftright" in found._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_sums_of_folders_meet_before_they_are_added(spark, tmp_path):
+    mart = str(tmp_path / "mart")
+    rows = [(D(2018, 1, 5), 1, 2, M("1.5"), M("2.5")), (D(2018, 2, 5), 1, 3, M("4"), None)]
+    for batch in range(3):
+        st.write_batch(frame(spark, POSTINGS, rows), mart, batch)
+    found = st.read_turnover(spark, mart)
+    assert {tuple(r) for r in found.collect()} == {
+        (D(2018, 1, 5), 1, M("4.5"), M(0)), (D(2018, 1, 5), 2, M(0), M("7.5")),
+        (D(2018, 2, 5), 1, M(12), M(0)), (D(2018, 2, 5), 3, M(0), None)}
+    assert "RepartitionByExpression" in found._jdf.queryExecution().optimizedPlan().toString()
